@@ -4,160 +4,140 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-_FULL = (
-    "january february march april may june july august september october "
-    "november december"
-).split()
-_NAME = f"(?:{'|'.join(_FULL)}|{'|'.join(_MONTHS)})"
-
-
-def _month_number(name: Column) -> Column:
-    position = F.instr(F.lit("".join(_MONTHS)), F.lower(F.substring(name, 1, 3)))
-    return F.floor((position + 2) / 3).cast("int")
-
-
-def _century(two_digits: Column) -> Column:
-    """Two-digit years: 69-99 belong to the 1900s, 00-68 to the 2000s."""
-    year = two_digits.cast("int")
-    return F.when(year >= 69, year + 1900).otherwise(year + 2000)
-
-
-def calendar_date(year: Column, month: Column, day: Column) -> Column:
-    """A DATE, or NULL where the parts do not name a day of the calendar."""
-    # Days per month; the last day of February comes from the leap-year rule.
-    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
-    longest = (
-        F.when(month.isin(4, 6, 9, 11), 30)
-        .when((month == 2) & leap, 29)
-        .when(month == 2, 28)
-        .otherwise(31)
-    )
-    valid = year.between(1, 9999) & month.between(1, 12) & day.between(1, longest)
-    return F.when(valid, F.make_date(year, month, day))
+_NAME = (
+    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+    "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+)
 
 
 class _Shape:
-    """A way to write a date: a regular expression and the part each group is.
+    """A way to write a date: what it looks like and how it is read.
 
-    Parts: Y year, y two-digit year, m month, b month name, d day.
+    ``to`` rearranges the groups of ``regex`` into text for the date pattern.
+    Month names are cut to three letters and two-digit years get a century
+    before, where the pattern asks for them.
     """
 
-    def __init__(self, parts: str, regex: str):
-        self.parts = parts
+    def __init__(self, regex: str, pattern: str, to: str | None = None, century: str = ""):
         self.regex = rf"(?i)^{regex}\z"
-
-    def matches(self, c: Column) -> Column:
-        return c.rlike(self.regex)
+        self.pattern = pattern
+        self.to = to
+        self.century = century
 
     def date(self, c: Column) -> Column:
-        found = {"m": F.lit(1), "d": F.lit(1)}
-        for group, part in enumerate(self.parts, start=1):
-            text = F.regexp_extract(c, self.regex, group)
-            if part == "y":
-                found["Y"] = _century(text)
-            elif part == "b":
-                found["m"] = _month_number(text)
-            else:
-                found[part] = text.cast("int")
-        return calendar_date(found["Y"], found["m"], found["d"])
+        text = c if self.to is None else F.regexp_replace(c, self.regex, self.to)
+        if "MMM" in self.pattern:
+            text = F.regexp_replace(text, r"(?i)([a-z]{3})[a-z]+", "$1")
+        # 69-99 belong to the 1900s, 00-68 to the 2000s.
+        if self.century == "last":
+            text = F.regexp_replace(text, r"(?<=\D)(69|[7-9]\d)$", "19$1")
+            text = F.regexp_replace(text, r"(?<=\D)([0-6]\d)$", "20$1")
+        elif self.century == "first":
+            text = F.regexp_replace(text, r"^(69|[7-9]\d)(?!\d)", "19$1")
+            text = F.regexp_replace(text, r"^([0-6]\d)(?!\d)", "20$1")
+        return F.when(c.rlike(self.regex), F.try_to_date(text, self.pattern))
 
 
 # Accepted spellings, by precision.  Shapes of one list exclude each other.
 _DAY = [
-    _Shape("Ymd", r"(\d{4})-(\d{1,2})-(\d{1,2})(?:T(?:2[0-3]|[01]?\d):[0-5]?\d:(?:6[01]|[0-5]?\d)Z)?"),
-    _Shape("dmY", r"(\d{1,2})\s+(\d{1,2})\s+(\d{4})"),
-    _Shape("mdy", r"(\d{1,2})/(\d{1,2})/(\d{2})"),
-    _Shape("dbY", rf"(\d{{1,2}})\s+({_NAME})\s+(\d{{4}})"),
-    _Shape("dby", rf"(\d{{1,2}})\s+({_NAME})\s+(\d{{2}})"),
-    _Shape("dmY", r"(\d{1,2})-(\d{1,2})-(\d{4})"),
+    _Shape(
+        r"(\d{4}-\d{1,2}-\d{1,2})(?:T(?:2[0-3]|[01]?\d):[0-5]?\d:(?:6[01]|[0-5]?\d)Z)?",
+        "yyyy-M-d", "$1",
+    ),
+    _Shape(r"(\d{1,2})\s+(\d{1,2})\s+(\d{4})", "d-M-yyyy", "$1-$2-$3"),
+    _Shape(r"\d{1,2}/\d{1,2}/\d{2}", "M/d/yyyy", century="last"),
+    _Shape(rf"(\d{{1,2}})\s+({_NAME})\s+(\d{{4}})", "d-MMM-yyyy", "$1-$2-$3"),
+    _Shape(rf"(\d{{1,2}})\s+({_NAME})\s+(\d{{2}})", "d-MMM-yyyy", "$1-$2-$3", "last"),
+    _Shape(r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
 ]
 _MONTH = [
-    _Shape("Ym", r"(\d{4})-(\d{1,2})"),
-    _Shape("Yb", rf"(\d{{4}})\s+({_NAME})"),
-    _Shape("bY", rf"({_NAME})\s+(\d{{4}})"),
-    _Shape("ym", r"(\d{2})-(\d{1,2})"),
-    _Shape("yb", rf"(\d{{2}})\s+({_NAME})"),
-    _Shape("by", rf"({_NAME})\s+(\d{{2}})"),
+    _Shape(r"\d{4}-\d{1,2}", "yyyy-M"),
+    _Shape(rf"(\d{{4}})\s+({_NAME})", "yyyy-MMM", "$1-$2"),
+    _Shape(rf"({_NAME})\s+(\d{{4}})", "yyyy-MMM", "$2-$1"),
+    _Shape(r"\d{2}-\d{1,2}", "yyyy-M", century="first"),
+    _Shape(rf"(\d{{2}})\s+({_NAME})", "yyyy-MMM", "$1-$2", "first"),
+    _Shape(rf"({_NAME})\s+(\d{{2}})", "yyyy-MMM", "$2-$1", "first"),
 ]
-_YEAR = [_Shape("Y", r"(\d{4})"), _Shape("y", r"(\d{2})")]
+_YEAR = [_Shape(r"\d{4}", "yyyy"), _Shape(r"\d{2}", "yyyy", century="first")]
 # Last resort: further spellings, filled up to a whole date.
 _FREE = [
-    _Shape("Ymd", r"\s*(\d{4})[/.](\d{1,2})[/.](\d{1,2})\s*"),
-    _Shape("mY", r"(\d{1,2})[-/](\d{4})"),
-    _Shape("Ybd", rf"(\d{{4}})\s+({_NAME})\.?\s+(\d{{1,2}})"),
-    _Shape("bdY", rf"({_NAME})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?(?:,\s*|\s+)(\d{{4}})"),
-    _Shape("dbY", rf"(\d{{1,2}})(?:st|nd|rd|th)?\s+({_NAME})\.?,\s*(\d{{4}})"),
-    _Shape("bY", rf"({_NAME})\.?,\s*(\d{{4}})"),
+    _Shape(r"\s*(\d{4})[/.](\d{1,2})[/.](\d{1,2})\s*", "yyyy-M-d", "$1-$2-$3"),
+    _Shape(r"(\d{1,2})[-/](\d{4})", "yyyy-M", "$2-$1"),
+    _Shape(rf"(\d{{4}})\s+({_NAME})\.?\s+(\d{{1,2}})", "yyyy-MMM-d", "$1-$2-$3"),
+    _Shape(
+        rf"({_NAME})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?(?:,\s*|\s+)(\d{{4}})", "yyyy-MMM-d", "$3-$1-$2"
+    ),
+    _Shape(rf"(\d{{1,2}})(?:st|nd|rd|th)?\s+({_NAME})\.?,\s*(\d{{4}})", "yyyy-MMM-d", "$3-$2-$1"),
+    _Shape(rf"({_NAME})\.?,\s*(\d{{4}})", "yyyy-MMM", "$2-$1"),
     _Shape(
-        "dbY",
         rf"(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+(\d{{1,2}})\s+({_NAME})\s+(\d{{4}})"
         r"(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?(?:\s*(?:[A-Z]{1,4}|[+-]\d{4}))?",
+        "yyyy-MMM-d", "$3-$2-$1",
     ),
-    _Shape("Ymd", r"(\d{4})(\d{2})(\d{2})"),
-    _Shape("mdY", r"(\d{1,2})/(\d{1,2})/(\d{4})"),
+    _Shape(r"(\d{4})(\d{2})(\d{2})", "yyyy-M-d", "$1-$2-$3"),
+    # The month comes first unless it cannot be one.
+    _Shape(r"(?:0?\d|1[0-2])/\d{1,2}/\d{4}", "M/d/yyyy"),
+    _Shape(r"(?:1[3-9]|2\d|3[01])/\d{1,2}/\d{4}", "d/M/yyyy"),
 ]
 
 
 def _first(shapes: list[_Shape], c: Column) -> Column:
-    result = F.lit(None).cast("date")
-    for shape in reversed(shapes):
-        result = F.when(shape.matches(c), shape.date(c)).otherwise(result)
-    return result
+    return F.coalesce(*[shape.date(c) for shape in shapes])
 
 
-def parse_date(raw: Column) -> Column:
-    """Struct of ``value`` (ISO text), ``date`` and ``precision``.
+def format_date(raw: Column) -> Column:
+    """ISO text of the precision that is given: day, month or year.
 
-    Precision is ``day``, ``month``, ``year``, or ``raw`` when the text is not
-    understood; such text is returned unchanged.  Text with more than one dash
-    is tried as a month by its first two parts and as a year by its first.
+    Text with more than one dash is tried as a month by its first two parts
+    and as a year by its first.  Text that is not understood is returned
+    unchanged.
     """
     text = raw.cast("string")
-    day = _first(_DAY, text)
-    month = _first(_MONTH, F.substring_index(text, "-", 2))
-    year = _first(_YEAR, F.substring_index(text, "-", 1))
-    free = _first(_FREE, text)
-
-    def found(date: Column, pattern: str, precision: str) -> Column:
-        return F.struct(
-            F.date_format(date, pattern).alias("value"),
-            date.alias("date"),
-            F.lit(precision).alias("precision"),
-        )
-
-    raw_text = F.struct(
-        text.alias("value"), F.lit(None).cast("date").alias("date"), F.lit("raw").alias("precision")
-    )
-    return (
-        F.when(day.isNotNull(), found(day, "yyyy-MM-dd", "day"))
-        .when(month.isNotNull(), found(month, "yyyy-MM", "month"))
-        .when(year.isNotNull(), found(year, "yyyy", "year"))
-        .when(free.isNotNull(), found(free, "yyyy-MM-dd", "day"))
-        .otherwise(raw_text)
+    return F.coalesce(
+        F.date_format(_first(_DAY, text), "yyyy-MM-dd"),
+        F.date_format(_first(_MONTH, F.substring_index(text, "-", 2)), "yyyy-MM"),
+        F.date_format(_first(_YEAR, F.substring_index(text, "-", 1)), "yyyy"),
+        F.date_format(_first(_FREE, text), "yyyy-MM-dd"),
+        text,
     )
 
 
-def format_date(raw: Column) -> Column:
-    return parse_date(raw)["value"]
+_ISO = r"^(?!0000)\d{4}(?:-\d{2}){0,2}\z"
+
+
+def precision(formatted: Column) -> Column:
+    """``day``, ``month`` or ``year`` of formatted text, ``raw`` for any other."""
+    dashes = F.length(formatted) - F.length(F.replace(formatted, F.lit("-"), F.lit("")))
+    return F.when(
+        formatted.rlike(_ISO), F.element_at(F.array(*map(F.lit, ("year", "month", "day"))), dashes + 1)
+    ).otherwise("raw")
 
 
 def format_year(raw: Column) -> Column:
     """Year of a date in any accepted spelling, 0 if it has none."""
-    return F.coalesce(F.year(parse_date(raw)["date"]), F.lit(0))
+    iso = F.regexp_extract(format_date(raw), _ISO, 0)
+    return F.coalesce(F.substring(iso, 1, 4).try_cast("int"), F.lit(0))
 
 
 def pad_iso_date(iso: Column) -> Column:
     """A whole ISO date from ``YYYY``, ``YYYY-MM`` or ``YYYY-MM-DD`` text."""
-    shape = r"^(\d{1,4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$"
+    date = F.coalesce(
+        *[
+            F.when(iso.rlike(regex), F.try_to_date(iso, pattern))
+            for regex, pattern in (
+                (r"^\d{4}-\d{1,2}-\d{1,2}\z", "yyyy-M-d"),
+                (r"^\d{4}-\d{1,2}\z", "yyyy-M"),
+                (r"^(?!0000)\d{4}\z", "yyyy"),
+            )
+        ]
+    )
+    return F.date_format(date, "yyyy-MM-dd")
 
-    def part(group: int) -> Column:
-        return F.coalesce(
-            F.nullif(F.regexp_extract(iso, shape, group), F.lit("")).cast("int"), F.lit(1)
-        )
 
-    date = F.when(iso.rlike(shape), calendar_date(part(1), part(2), part(3)))
-    return F.date_format(date, "yyyy-MM-dd")
+def calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """A DATE, or NULL where the parts do not name a day of the calendar."""
+    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month.cast("string"), day.cast("string"))
+    return F.try_to_date(text, "yyyy-M-d")
 
 
 # Strftime directives and the date patterns that render them.

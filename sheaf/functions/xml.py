@@ -98,8 +98,10 @@ def protect_markup(c: Column, tags: Iterable[str]) -> Column:
 
 
 def prepare_xml(node: Column, mixed: Iterable[str] = ()) -> Column:
+    """Text that ``from_xml`` reads without loss, without namespace prefixes."""
     node = decode_char_refs(_inline_cdata(node))
-    return protect_markup(node, mixed) if mixed else node
+    node = protect_markup(node, mixed) if mixed else node
+    return F.regexp_replace(node, r"<(/?)[A-Za-z]\w*:", "<$1")
 
 
 _INLINE = (

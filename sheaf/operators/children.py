@@ -12,19 +12,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def explode_list(df: DataFrame, column: str, position: str, item: str) -> DataFrame:
+    """One row per element of a list, numbered from 0, in place of the list.
+
+    An outer explode with a filter on the position: for an inner one the
+    optimizer would compute the list a second time to filter out empty ones.
+    """
+    rest = [c for c in df.columns if c != column]
+    exploded = df.select(*rest, F.posexplode_outer(column).alias(position, item))
+    return exploded.where(F.col(position).isNotNull())
+
+
 def explode_authors(records: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per author, with ``seq`` for the order."""
-    return records.select(key, F.posexplode("authors").alias("seq", "author")).select(
+    return explode_list(records.select(key, "authors"), "authors", "seq", "author").select(
         key, "seq", "author.*"
     )
 
 
 def explode_affiliations(records: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per author and affiliation."""
-    authors = explode_authors(records, key)
-    return authors.select(
-        key, "seq", "full_name", F.posexplode("affiliations").alias("aff_seq", "aff")
-    ).select(key, "seq", "full_name", "aff_seq", "aff.*")
+    authors = explode_authors(records, key).select(key, "seq", "full_name", "affiliations")
+    return explode_list(authors, "affiliations", "aff_seq", "aff").select(
+        key, "seq", "full_name", "aff_seq", "aff.*"
+    )
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], position: Column | str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf import dims
 from sheaf.functions import arrays, ids, licenses, names
-from sheaf.parsers.common import is_empty, select_record, strings, with_lineage
+from sheaf.parsers.common import computed_once, is_empty, select_record, strings, with_lineage
 
 PAGE_SCHEMA = """
   data ARRAY<STRUCT<
@@ -28,10 +28,10 @@ PAGE_SCHEMA = """
 
 def pages_to_articles(documents: DataFrame) -> DataFrame:
     """One row per article of each page; a bad page stays one row."""
-    parsed = with_lineage(documents).withColumn(
-        "_page",
-        F.from_json("payload", " ".join(PAGE_SCHEMA.split()), {"columnNameOfCorruptRecord": "_corrupt_record"}),
+    page = F.from_json(
+        "payload", " ".join(PAGE_SCHEMA.split()), {"columnNameOfCorruptRecord": "_corrupt_record"}
     )
+    parsed = computed_once(with_lineage(documents), "_page", page)
     malformed = F.when(
         F.col("_page").isNull() | F.col("_page._corrupt_record").isNotNull(), "malformed JSON"
     ).when(F.col("_page.data").isNull(), "no data in page")

@@ -29,16 +29,23 @@ def with_lineage(documents: DataFrame) -> DataFrame:
     return documents.withColumns(missing) if missing else documents
 
 
+def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that is evaluated once per row.
+
+    In a plain projection the optimizer copies the expression into every
+    filter it pushes down, and a filter on an exploded list is inferred for
+    each explode.  The explode of a one-element array is a step that filters
+    and other projections do not cross.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
 def parse_documents(
     documents: DataFrame, fields_ddl: str, node: Column, mixed: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Add the parsed document as ``doc`` and the reason of a failure.
-
-    The parse has a projection of its own, so that Catalyst runs it once
-    however many fields are read from it.
-    """
-    prepared = with_lineage(documents).withColumn("_node", prepare_xml(node, mixed))
-    parsed = prepared.withColumn("doc", parse_xml(F.col("_node"), fields_ddl))
+    """Add the parsed document as ``doc`` and the reason of a failure."""
+    prepared = computed_once(with_lineage(documents), "_node", prepare_xml(node, mixed))
+    parsed = computed_once(prepared, "doc", parse_xml(F.col("_node"), fields_ddl))
     return parsed.withColumn(
         "_malformed",
         F.when(F.coalesce(F.col("_node"), F.lit("")) == "", "no document element").when(

@@ -40,7 +40,9 @@ _AFF_PART = (
 
 def parse_articles(documents: DataFrame, extract_related: bool = False) -> DataFrame:
     """Everything the article itself tells; a missing DOI is an error."""
-    nodes = documents.withColumn("payload", F.explode_outer(_article_nodes(documents)))
+    nodes = documents.withColumn(
+        "payload", F.explode_outer(xml.nodes(F.col("payload"), ROOTS))
+    )
     trimmed = xml.drop_elements(F.col("payload"), ("body", "tail"))
     parsed = parse_documents(nodes, FIELDS, trimmed, MIXED).withColumn(
         "_head", F.coalesce(F.col("doc.head"), F.col("doc.`simple-head`"))
@@ -81,10 +83,6 @@ def parse_articles(documents: DataFrame, extract_related: bool = False) -> DataF
     )
 
 
-def _article_nodes(documents: DataFrame) -> Column:
-    return F.regexp_extract_all("payload", F.lit(xml.node_pattern(ROOTS)), F.lit(0))
-
-
 # --- authors -----------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ def text(value: Column | str) -> Column:
     return escape_xml((F.col(value) if isinstance(value, str) else value).cast("string"))
 
 
-def element(tag: str, *content: Column | str, **attributes: Column | str) -> Column:
+def element(tag: str, /, *content: Column | str, **attributes: Column | str) -> Column:
     """An element; strings are literal markup, attribute names use ``_`` for ``-``."""
     parts = [F.lit(f"<{tag}")]
     for name, value in attributes.items():
