@@ -18,15 +18,13 @@ _FIELDS = """
 
 def fields(tag: str) -> Column:
     """Data fields with the tag."""
-    return F.filter(F.col("doc.datafield"), lambda d: d["_tag"] == tag)
+    return F.expr(f"filter(doc.datafield, d -> d._tag = '{tag}')")
 
 
 def subfields(field: Column, *codes: str) -> Column:
     """Values of a field's subfields, in order."""
-    chosen = F.filter(field["subfield"], lambda s: s["_code"].isin(*codes))
-    return F.filter(
-        F.transform(chosen, lambda s: s["_VALUE"]), lambda v: v.isNotNull() & (v != "")
-    )
+    chosen = F.filter(field["subfield"], lambda s: s["_code"].isin(*codes) & (s["_VALUE"] != ""))
+    return F.transform(chosen, lambda s: s["_VALUE"])
 
 
 def subfield(field: Column, code: str) -> Column:
@@ -34,7 +32,11 @@ def subfield(field: Column, code: str) -> Column:
 
 
 def values(tag: str, code: str) -> Column:
-    return arrays.flat_map(fields(tag), lambda d: subfields(d, code))
+    """Values of one subfield of all fields with the tag."""
+    return F.expr(
+        f"""flatten(transform(filter(doc.datafield, d -> d._tag = '{tag}'), d ->
+              transform(filter(d.subfield, s -> s._code = '{code}' AND s._VALUE <> ''), s -> s._VALUE)))"""
+    )
 
 
 def value(tag: str, code: str) -> Column:

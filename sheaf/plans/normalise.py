@@ -109,7 +109,7 @@ def normalise(parsed: DataFrame, rules: Mapping[str, FieldRule] | None = None) -
     def column(field: T.StructField) -> Column:
         name = field.name
         if name not in given:
-            return F.lit(None).cast(field.dataType).alias(name)
+            return F.expr(f"CAST(NULL AS {field.dataType.simpleString()}) AS `{name}`")
         value = F.col(name)
         if name in active:
             value = active[name].apply(value, isinstance(given[name], T.ArrayType))

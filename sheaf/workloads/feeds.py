@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from xml.sax.saxutils import escape
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.functions.xml import escape_xml
@@ -22,47 +24,61 @@ def text(value: Column | str) -> Column:
     return escape_xml((F.col(value) if isinstance(value, str) else value).cast("string"))
 
 
-def element(tag: str, /, *content: Column | str, **attributes: Column | str) -> Column:
+class Markup:
+    """Pieces of a document: literal markup and columns, in order."""
+
+    def __init__(self, *pieces: Markup | Column | str):
+        self.pieces: list[Column | str] = []
+        for piece in pieces:
+            for part in piece.pieces if isinstance(piece, Markup) else [piece]:
+                if isinstance(part, str) and self.pieces and isinstance(self.pieces[-1], str):
+                    self.pieces[-1] += part
+                else:
+                    self.pieces.append(part)
+
+    def column(self) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in self.pieces])
+
+
+def render(*pieces: Markup | Column | str) -> Column:
+    return Markup(*pieces).column()
+
+
+def element(tag: str, /, *content: Markup | Column | str, **attributes: Column | str) -> Markup:
     """An element; strings are literal markup, attribute names use ``_`` for ``-``."""
-    parts = [F.lit(f"<{tag}")]
+    written: list[Column | str] = []
     for name, value in attributes.items():
-        written = escape_xml(value if isinstance(value, Column) else F.lit(value))
-        parts += [F.lit(f' {name.rstrip("_").replace("_", "-")}="'), written, F.lit('"')]
-    parts.append(F.lit(">"))
-    parts += [F.lit(c) if isinstance(c, str) else c for c in content]
-    parts.append(F.lit(f"</{tag}>"))
-    return F.concat(*parts)
+        quoted = escape_xml(value) if isinstance(value, Column) else escape(value, {'"': "&quot;"})
+        written += [f' {name.replace("_", "-")}="', quoted, '"']
+    return Markup(f"<{tag}", *written, ">", *content, f"</{tag}>")
 
 
-def optional(condition: Column, content: Column | str) -> Column:
-    return F.when(condition, content).otherwise("")
+def optional(condition: Column, content: Markup | str) -> Column:
+    return F.when(condition, render(content)).otherwise("")
 
 
-def datafield(tag: str, *subfields: tuple[str, Column], ind1: str = " ") -> Column:
+def datafield(tag: str, *subfields: tuple[str, Column | Markup | str], ind1: str = " ") -> Markup:
     """A MARC data field with a prefixed name, as feeds have them."""
     inner = [element("marc:subfield", value, code=code) for code, value in subfields]
     return element("marc:datafield", *inner, tag=tag, ind1=ind1, ind2=" ")
 
 
-def marc_record(identifier: Column, *fields: Column) -> Column:
-    return F.concat(
-        F.lit('<marc:record xmlns:marc="http://www.loc.gov/MARC21/slim" type="Bibliographic">'),
+def marc_record(identifier: Column, *fields: Markup) -> Markup:
+    return Markup(
+        '<marc:record xmlns:marc="http://www.loc.gov/MARC21/slim" type="Bibliographic">',
         element("marc:controlfield", identifier, tag="001"),
         *fields,
-        F.lit("</marc:record>"),
+        "</marc:record>",
     )
 
 
-def oai_page(*records: Column) -> Column:
+def oai_page(*records: Markup) -> Markup:
     """Records in the envelope of a harvesting response."""
     wrapped = [
-        F.concat(F.lit("<record><header/><metadata>\n"), r, F.lit("\n</metadata></record>"))
-        for r in records
+        Markup("<record><header/><metadata>\n", r, "\n</metadata></record>") for r in records
     ]
-    return F.concat(
-        F.lit('<?xml version="1.0"?><OAI-PMH><ListRecords>'),
-        *wrapped,
-        F.lit("</ListRecords></OAI-PMH>"),
+    return Markup(
+        '<?xml version="1.0"?><OAI-PMH><ListRecords>', *wrapped, "</ListRecords></OAI-PMH>"
     )
 
 
@@ -71,9 +87,9 @@ def letter(number: Column) -> Column:
     return F.char((number % 26 + 65).cast("int"))
 
 
-def documents(df: DataFrame, doc_id: Column, payload: Column) -> DataFrame:
+def documents(df: DataFrame, doc_id: Column, payload: Markup | Column) -> DataFrame:
     return df.select(
         doc_id.cast("string").alias("doc_id"),
         F.concat(F.lit("/landed/"), doc_id.cast("string"), F.lit(".xml")).alias("path"),
-        payload.alias("payload"),
+        render(payload).alias("payload"),
     )
