@@ -75,7 +75,7 @@ def distinct_in_order(
     df: DataFrame, keys: Sequence[str], value: str, seq: Column | str
 ) -> DataFrame:
     """Distinct values per key, each with the place it was first seen."""
-    return df.groupBy(*keys, value).agg(F.min(seq).alias("first_seq"))
+    return df.groupBy(*keys, value).agg(F.min(seq).alias("first_seen"))
 
 
 def regroup(

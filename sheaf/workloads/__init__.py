@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("publishers",)
+_MODULES = ("publishers", "fields", "tables", "runs")
 
 
 def query(sql: str | None = None):
