@@ -11,6 +11,14 @@ def as_column(value) -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it.
+
+    Inside lambdas Spark does not share common expressions.
+    """
+    return F.get(F.transform(F.array(value), lambda x: fn(x)), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

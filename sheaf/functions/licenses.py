@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from sheaf import dims
+from sheaf.functions.arrays import let
 
 _EMPTY = "array<struct<license:string,url:string>>"
 
@@ -24,9 +25,14 @@ def license_name(url: Column) -> Column:
 
 def license_by_url(url: Column) -> Column:
     """One entry for any URL that is given, no entry otherwise."""
-    return F.when(
-        F.coalesce(url, F.lit("")) != "", F.array(license_entry(license_name(url), url))
-    ).otherwise(F.array().cast(_EMPTY))
+    none = F.array().cast(_EMPTY)
+
+    def entry(u: Column) -> Column:
+        return F.when(
+            F.coalesce(u, F.lit("")) != "", F.array(license_entry(license_name(u), u))
+        ).otherwise(none)
+
+    return let(url, entry)
 
 
 def license_by_text(text: Column) -> Column:
@@ -41,8 +47,12 @@ def get_license(url: Column, text: Column | None = None) -> Column:
     """By URL where there is one, else by text."""
     if text is None:
         return license_by_url(url)
-    has_url = F.coalesce(url, F.lit("")) != ""
-    return F.when(has_url, license_by_url(url)).otherwise(license_by_text(text))
+    return let(
+        F.struct(url.alias("url"), text.alias("text")),
+        lambda given: F.when(
+            F.coalesce(given["url"], F.lit("")) != "", license_by_url(given["url"])
+        ).otherwise(license_by_text(given["text"])),
+    )
 
 
 _VERSION = r"[0-9]+\.[0-9]"

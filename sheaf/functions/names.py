@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from sheaf.functions.arrays import let
 from sheaf.functions.text import clean_affiliation, strip, title_case
 
 
@@ -19,22 +20,20 @@ def split_fullname(c: Column, switch_name_order: bool = False) -> Column:
     ``switch_name_order`` turns both round.
     """
     has_comma = F.contains(c, F.lit(","))
+    surname_first = ~has_comma if switch_name_order else has_comma
     tokens = F.when(has_comma, F.transform(F.split(c, ",", -1), strip)).otherwise(
         F.split(strip(c), r"(?U)\s+", -1)
     )
-    count = F.size(tokens)
-    surname_first = ~has_comma if switch_name_order else has_comma
-    surname = F.when(surname_first, F.get(tokens, F.lit(0))).otherwise(
-        F.try_element_at(tokens, F.lit(-1))
-    )
-    given = F.when(surname_first, F.slice(tokens, F.lit(2), count)).otherwise(
-        F.slice(tokens, F.lit(1), count - 1)
-    )
-    empty = F.coalesce(c, F.lit("")) == ""
-    return F.struct(
-        F.when(empty, "").otherwise(surname).alias("surname"),
-        F.when(empty, "").otherwise(F.array_join(given, " ")).alias("given_names"),
-    )
+
+    def split(t: Column) -> Column:
+        rest = F.when(surname_first, F.slice(t, F.lit(2), F.size(t))).otherwise(
+            F.slice(t, F.lit(1), F.size(t) - 1)
+        )
+        surname = F.try_element_at(t, F.when(surname_first, 1).otherwise(-1))
+        return F.struct(surname.alias("surname"), F.array_join(rest, " ").alias("given_names"))
+
+    empty = F.struct(F.lit("").alias("surname"), F.lit("").alias("given_names"))
+    return F.when(F.coalesce(c, F.lit("")) == "", empty).otherwise(let(tokens, split))
 
 
 def full_name(surname: Column, given_names: Column) -> Column:
@@ -90,24 +89,27 @@ def author(
 
 def normalise_author(a: Column) -> Column:
     """Complete an author's name parts and clean the affiliations."""
-    parts = split_fullname(a["raw_name"])
+    given_parts = F.struct(a["surname"].alias("surname"), a["given_names"].alias("given_names"))
     derived = a["surname"].isNull() & a["raw_name"].isNotNull()
-    surname = F.when(derived, parts["surname"]).otherwise(a["surname"])
-    given = F.when(derived, parts["given_names"]).otherwise(a["given_names"])
-    return F.struct(
-        surname.alias("surname"),
-        collapse_initials(given).alias("given_names"),
-        full_name(surname, given).alias("full_name"),
-        a["raw_name"].alias("raw_name"),
-        a["email"].alias("email"),
-        a["orcid"].alias("orcid"),
-        F.transform(
-            a["affiliations"],
-            lambda x: full_affiliation(
-                clean_affiliation(x["value"]), x["organization"], x["country"]
-            ),
-        ).alias("affiliations"),
-    )
+    parts = F.when(derived, split_fullname(a["raw_name"])).otherwise(given_parts)
+
+    def complete(p: Column) -> Column:
+        return F.struct(
+            p["surname"].alias("surname"),
+            collapse_initials(p["given_names"]).alias("given_names"),
+            full_name(p["surname"], p["given_names"]).alias("full_name"),
+            a["raw_name"].alias("raw_name"),
+            a["email"].alias("email"),
+            a["orcid"].alias("orcid"),
+            F.transform(
+                a["affiliations"],
+                lambda x: full_affiliation(
+                    clean_affiliation(x["value"]), x["organization"], x["country"]
+                ),
+            ).alias("affiliations"),
+        )
+
+    return let(parts, complete)
 
 
 def thesis_supervisor(a: Column) -> Column:

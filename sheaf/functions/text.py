@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 from sheaf import dims
+from sheaf.functions.arrays import let
 
 # White space as Unicode knows it, plus the four information separators.
 _SPACE = r"[\s\x1c-\x1f]"
@@ -97,14 +98,18 @@ def strip_attributes(c: Column) -> Column:
     return F.when(c.rlike("[<>&]"), F.translate(x, "\u0001\u0002", "<>")).otherwise(c)
 
 
+def _without_markup(c: Column) -> Column:
+    """Bare text, but for formulas, whose tags lose their attributes."""
+    return strip(remove_tags(let(c, strip_attributes), keep=dims.MATHML_ELEMENTS))
+
+
 def clean_title(c: Column) -> Column:
-    c = fix_title_capitalization(html_scripts_to_latex(clean_whitespace(c)))
-    return strip(remove_tags(strip_attributes(c), keep=dims.MATHML_ELEMENTS))
+    c = html_scripts_to_latex(clean_whitespace(c))
+    return _without_markup(let(c, fix_title_capitalization))
 
 
 def clean_abstract(c: Column) -> Column:
-    c = strip_attributes(html_scripts_to_latex(clean_whitespace(c)))
-    return strip(remove_tags(c, keep=dims.MATHML_ELEMENTS))
+    return _without_markup(html_scripts_to_latex(clean_whitespace(c)))
 
 
 def clean_keyword(c: Column) -> Column:

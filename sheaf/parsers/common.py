@@ -44,12 +44,12 @@ def parse_documents(
     documents: DataFrame, fields_ddl: str, node: Column, mixed: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add the parsed document as ``doc`` and the reason of a failure."""
-    prepared = computed_once(with_lineage(documents), "_node", prepare_xml(node, mixed))
-    parsed = computed_once(prepared, "doc", parse_xml(F.col("_node"), fields_ddl))
+    prepared = F.nullif(prepare_xml(node, mixed), F.lit(""))
+    parsed = computed_once(with_lineage(documents), "doc", parse_xml(prepared, fields_ddl))
     return parsed.withColumn(
         "_malformed",
-        F.when(F.coalesce(F.col("_node"), F.lit("")) == "", "no document element").when(
-            F.col("doc._corrupt_record").isNotNull() | F.col("doc").isNull(), "malformed XML"
+        F.when(F.col("doc").isNull(), "no document element").when(
+            F.col("doc._corrupt_record").isNotNull(), "malformed XML"
         ),
     )
 
