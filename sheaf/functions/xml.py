@@ -113,7 +113,9 @@ _INLINE = (
 def direct_text(c: Column) -> Column:
     """Text pieces directly under an element, leaving out inline elements."""
     pieces = F.filter(F.split(c, _INLINE, -1), lambda x: F.trim(x) != "")
-    return F.when(F.contains(c, F.lit("<")), pieces).otherwise(F.array(c))
+    return F.when(
+        F.contains(c, F.lit("<")), F.transform(pieces, lambda x: unescape_xml(x))
+    ).otherwise(F.array(c))
 
 
 def plain_text(c: Column) -> Column:

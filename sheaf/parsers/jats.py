@@ -119,7 +119,7 @@ def authors() -> Column:
 def collaborations() -> Column:
     return arrays.flat_map(
         contributors(),
-        lambda c: arrays.flat_map(c["collab"], lambda v: F.transform(xml.direct_text(v), xml.unescape_xml)),
+        lambda c: arrays.flat_map(c["collab"], xml.direct_text),
     )
 
 
