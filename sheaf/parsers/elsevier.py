@@ -148,8 +148,15 @@ def complete(articles: DataFrame, manifest: DataFrame) -> DataFrame:
     Articles the manifest does not list become errors.
     """
     own = articles.columns
-    listed = manifest.withColumn("_listed", F.lit(True)).drop("item_pos")
-    joined = articles.join(listed, ["package_path", "doi"], "left")
+    listed = (
+        manifest.withColumn("_listed", F.lit(True))
+        .drop("item_pos")
+        .withColumnRenamed("doi", "_key")
+    )
+    # Articles without a DOI match nothing; a key of their own keeps them from
+    # meeting in one task.
+    key = F.coalesce("doi", F.concat(F.lit("no DOI: "), "doc_id"))
+    joined = articles.withColumn("_key", key).join(listed, ["package_path", "_key"], "left")
     pages = ids.page_count(F.col("first_page"), F.col("last_page"))
     both_given = F.col("first_page").isNotNull() & F.col("last_page").isNotNull()
     ok = F.col("error").isNull()

@@ -12,7 +12,7 @@ from sheaf.parsers.common import with_lineage
 from sheaf.plans.normalise import normalise
 from sheaf.plans.registry import SourceSpec, source as find_source
 from sheaf.sources import landing, manifest, packages
-from sheaf.sources.sinks import read_runs, write_run
+from sheaf.sources.sinks import read_runs, run_path, write_run
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -27,12 +27,13 @@ def run_stages(df: DataFrame, stages: Sequence[tuple[int, Stage]]) -> DataFrame:
 def package_documents(spec: SourceSpec, archives: DataFrame) -> DataFrame:
     """Members of archives that a source takes, as documents.
 
-    A few large archives become many documents, so they are spread before the
-    costly parsing starts.
+    A few large archives become many documents, so these are spread before
+    the costly parsing starts.
     """
     members = packages.unpack(archives, spec.member_suffixes)
     documents = packages.documents(members)
-    return spec.route(documents) if spec.route else documents
+    routed = spec.route(documents) if spec.route else documents
+    return landing.spread(routed, like=archives)
 
 
 def load_documents(
@@ -45,13 +46,29 @@ def load_documents(
     if spec.kind == "feed":
         return landing.read_feed(spark, path, spec.tags[0])
     if spec.kind == "package":
-        archives = packages.read_packages(spark, path, landed, force)
-        documents = package_documents(spec, archives)
-        return documents.repartition(documents.sparkSession.sparkContext.defaultParallelism)
+        return package_documents(spec, packages.read_packages(spark, path, landed, force))
     documents = landing.read_documents(spark, path)
     return landing.split_nodes(documents, spec.tags) if spec.tags else documents
 
 
+def write_documents(
+    documents: DataFrame,
+    source: str,
+    results: str,
+    run_id: str,
+    batch_id: int = 0,
+    stages: Sequence[tuple[int, Stage]] = (),
+    window: tuple[str | None, str | None] = (None, None),
+    **options,
+) -> DataFrame:
+    """Harvest documents into the results folder; returns the log entry."""
+    started_at = datetime.datetime.now(datetime.timezone.utc)
+    if find_source(source).needs_manifest:
+        documents = packages.stage(documents, run_path(results, "members", run_id, batch_id))
+    records = harvest_documents(documents, source, stages, **options)
+    return write_run(records, results, run_id, source, batch_id, started_at, window)
+
+
 def parse_source(spec: SourceSpec, documents: DataFrame, **options) -> DataFrame:
     """Raw fields of a source's documents."""
     options = {**spec.defaults, **options}
@@ -142,21 +159,20 @@ def harvest(
     The window applies to the time files landed.  With ``incremental`` it
     starts at the last successful run.
     """
-    started_at = datetime.datetime.now(datetime.timezone.utc)
     if incremental and not from_date:
         from_date = next_from_date(_runs_or_none(spark, results), source)
     spec = find_source(source)
     documents = load_documents(spark, spec, path, force=force)
     if "harvested_at" in documents.columns:
         documents = in_window(documents, "harvested_at", from_date, until_date)
-    records = harvest_documents(documents, source, stages, **options)
-    return write_run(
-        records,
+    return write_documents(
+        documents,
+        source,
         results,
         run_id or uuid.uuid4().hex,
-        source,
-        started_at=started_at,
+        stages=stages,
         window=(from_date, until_date),
+        **options,
     )
 
 

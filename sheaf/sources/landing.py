@@ -40,19 +40,20 @@ def join_path(*parts: Column | str) -> Column:
 # --- reading -----------------------------------------------------------------
 
 
-def read_feed(spark: SparkSession, path: str, tag: str) -> DataFrame:
+def read_feed(
+    spark: SparkSession, path: str, tag: str, stream: bool = False, max_files: int = 1000
+) -> DataFrame:
     """Records of feed files, one row for each ``tag`` element.
 
     The closing tag is the line separator, so a feed of any size is read by
     many tasks in parallel and no file is held in memory as a whole.
     """
     end = f"</{tag}>"
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if stream else spark.read
+    lines = reader.option("lineSep", end).option("recursiveFileLookup", "true").text(path)
     record = F.concat(F.regexp_extract("value", rf"(?s)<{tag}[\s>].*$", 0), F.lit(end))
     return (
-        spark.read.option("lineSep", end)
-        .option("recursiveFileLookup", "true")
-        .text(path)
-        .where(F.col("value").rlike(rf"<{tag}[\s>]"))
+        lines.where(F.col("value").rlike(rf"<{tag}[\s>]"))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_modification_time").alias("harvested_at"),
@@ -67,12 +68,12 @@ def content_id(payload: Column) -> Column:
     return F.md5(payload.cast("binary"))
 
 
-def read_documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, stream: bool = False, max_files: int = 1000
+) -> DataFrame:
     """One row per text file."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path, wholetext=True).select(
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if stream else spark.read
+    return reader.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_path").alias("doc_id"),
         F.col("_metadata.file_modification_time").alias("harvested_at"),
@@ -197,12 +198,14 @@ def route_springer(members: DataFrame) -> DataFrame:
     return _route(members, "springer")
 
 
-def spread(documents: DataFrame) -> DataFrame:
+def spread(documents: DataFrame, like: DataFrame | None = None) -> DataFrame:
     """Spread documents over the cores when their files do not.
 
     Parsing is bound by the processor, so a few small files would leave most
-    cores idle.  Inputs with enough partitions pass through without a shuffle.
+    cores idle.  Inputs with as many partitions as cores pass through without
+    a shuffle.  ``like`` is what to count instead, for documents that come
+    out of Python workers.
     """
     cores = documents.sparkSession.sparkContext.defaultParallelism
-    partitions = documents.rdd.getNumPartitions()
+    partitions = (documents if like is None else like).rdd.getNumPartitions()
     return documents.repartition(cores) if partitions < cores else documents

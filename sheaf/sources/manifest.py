@@ -74,10 +74,11 @@ def dataset_issues(datasets: DataFrame) -> DataFrame:
 
 def issue_entries(issues: DataFrame, documents: DataFrame) -> DataFrame:
     """Articles listed by the issues' own files, with their pages."""
-    files = documents.select("package_path", "member_path", "payload")
-    opened = issues.join(
-        files.withColumnRenamed("member_path", "issue_file"), ["package_path", "issue_file"]
+    # Only files that list articles take part in the join, not the articles.
+    files = documents.where(F.contains("payload", F.lit("include-item>"))).select(
+        "package_path", F.col("member_path").alias("issue_file"), "payload"
     )
+    opened = issues.join(files, ["package_path", "issue_file"])
     entries = opened.select(
         "package_path",
         "issue_pos",

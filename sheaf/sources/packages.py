@@ -135,6 +135,16 @@ def documents(members: DataFrame) -> DataFrame:
     )
 
 
+def stage(documents: DataFrame, path: str) -> DataFrame:
+    """Write documents that several parts of a plan read, and read them back.
+
+    Without this every part would open and unpack the archives again.
+    """
+    kind = F.when(F.contains("member_path", F.lit("dataset.xml")), "dataset").otherwise("document")
+    documents.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
 def unreadable(members: DataFrame) -> DataFrame:
     """Packages and members that could not be read, for the quarantine."""
     return members.where(F.col("error").isNotNull()).select(

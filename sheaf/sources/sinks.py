@@ -23,7 +23,7 @@ def write_json(records: DataFrame, path: str, partition_by: str = "spider") -> i
     return seen.get["n"]
 
 
-def _run_path(root: str, table: str, run_id: str, batch_id: int) -> str:
+def run_path(root: str, table: str, run_id: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/{table}/run_id={run_id}/batch_id={batch_id}"
 
 
@@ -44,7 +44,7 @@ def write_run(
     """
     spark = records.sparkSession
     started_at = started_at or _now()
-    results = _run_path(root, "records", run_id, batch_id)
+    results = run_path(root, "records", run_id, batch_id)
     ok = F.col("error").isNull()
     seen = Observation("run")
     observed = records.observe(
@@ -70,7 +70,7 @@ def write_run(
         ],
         RUN_DDL,
     )
-    log = _run_path(root, "runs", run_id, batch_id)
+    log = run_path(root, "runs", run_id, batch_id)
     entry.drop("run_id", "batch_id").coalesce(1).write.mode("overwrite").parquet(log)
     return entry
 

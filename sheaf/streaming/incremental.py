@@ -7,16 +7,14 @@ which makes a batch repeated after a failure leave no copies.
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sheaf.plans.harvest import Stage, harvest_documents, package_documents
+from sheaf.plans.harvest import Stage, package_documents, write_documents
 from sheaf.plans.registry import SourceSpec, source as find_source
-from sheaf.sources.landing import is_package, split_nodes
-from sheaf.sources.sinks import write_run
+from sheaf.sources.landing import is_package, read_documents, read_feed, split_nodes
 
 _BINARY = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -25,30 +23,19 @@ def read_landing_stream(
     spark: SparkSession, spec: SourceSpec, path: str, max_files: int = 1000
 ) -> DataFrame:
     """New files of a source as a stream of documents or archives."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files).option(
-        "recursiveFileLookup", "true"
-    )
+    if spec.kind == "feed":
+        return read_feed(spark, path, spec.tags[0], stream=True, max_files=max_files)
     if spec.kind == "package":
         archives = (
-            reader.format("binaryFile")
+            spark.readStream.format("binaryFile")
             .schema(_BINARY)
+            .option("maxFilesPerTrigger", max_files)
+            .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.{zip,tar}")
             .load(path)
         )
         return archives.where(is_package(F.col("path")))
-    documents = (
-        reader.format("text")
-        .schema("value STRING")
-        .option("wholetext", "true")
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_path").alias("doc_id"),
-            F.col("_metadata.file_modification_time").alias("harvested_at"),
-            F.col("value").alias("payload"),
-        )
-    )
-    return documents
+    return read_documents(spark, path, stream=True, max_files=max_files)
 
 
 def stream_harvest(
@@ -69,13 +56,11 @@ def stream_harvest(
     spec = find_source(source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        started_at = datetime.datetime.now(datetime.timezone.utc)
         if spec.kind == "package":
-            documents = package_documents(spec, batch)
-        else:
-            documents = split_nodes(batch, spec.tags) if spec.tags else batch
-        records = harvest_documents(documents, source, stages, **options)
-        write_run(records, results, run_id, source, batch_id, started_at)
+            batch = package_documents(spec, batch)
+        elif spec.kind == "page" and spec.tags:
+            batch = split_nodes(batch, spec.tags)
+        write_documents(batch, source, results, run_id, batch_id, stages, **options)
 
     return (
         read_landing_stream(spark, spec, path, max_files)

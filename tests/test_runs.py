@@ -141,6 +141,29 @@ def test_package_stream(spark, archives, tmp_path):
     assert sinks.read_records(spark, results).count() == 2
 
 
+def test_manifest_package_harvest(spark, tmp_path):
+    """Packages with a manifest, as a run and as a stream."""
+    folder = tmp_path / "els"
+    folder.mkdir()
+    dataset = """<dataset><journal-item><journal-item-unique-ids><doi>10.5/x</doi><jid-aid><jid>PLB</jid></jid-aid>
+      </journal-item-unique-ids><files-info><ml><pathname>a.xml</pathname></ml><web-pdf><pathname>a/main.pdf</pathname></web-pdf>
+      </files-info></journal-item></dataset>"""
+    article = "<article docsubtype='fla'><item-info><ce:doi>10.5/x</ce:doi></item-info><head><ce:title>T</ce:title></head></article>"
+    with zipfile.ZipFile(folder / "vtex1.zip", "w") as z:
+        z.writestr("vtex1/dataset.xml", dataset)
+        z.writestr("vtex1/a.xml", article)
+        z.writestr("vtex1/b.xml", article.replace("10.5/x", "10.5/unlisted"))
+    results = str(tmp_path / "out")
+    entry = sheaf.harvest(spark, "Elsevier", str(folder), results, run_id="e", as_of="2020-01-01").first()
+    assert (entry["n_records"], entry["n_errors"]) == (1, 1)
+    stream_harvest(spark, "Elsevier", str(folder), results, str(tmp_path / "cp"), "es", as_of="2020-01-01").awaitTermination()
+    for record in sinks.read_records(spark, results).collect():
+        assert (record["journal_title"], record["date_published"]) == ("Physics Letters B", "2020-01-01")
+        paths = {f["value"]["filetype"]: f["value"]["path"] for f in record["local_files"]}
+        assert paths == {"xml": "vtex1/a.xml", "pdf": "vtex1/a/main.pdf", "pdfa": "vtex1/a/main_a-2b.pdf"}
+    assert {r["error"] for r in sinks.read_quarantine(spark, results).collect()} == {"DOI not in manifest"}
+
+
 def test_routes(spark):
     members = spark.createDataFrame(
         [("/in/x.xml.zip", "a/b.xml"), ("/in/x.pdf.zip", "a/b.pdf"), ("/in/x.xml.zip", "a/b.xml.Meta"), ("/in/y.zip", "a/c.xml.scoap")],
