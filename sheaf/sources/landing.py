@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.functions import ids
 from sheaf.functions.xml import nodes
+from sheaf.operators.children import explode_list
 
 
 def base_name(path: Column) -> Column:
@@ -83,10 +84,8 @@ def read_documents(
 
 def split_nodes(documents: DataFrame, tags: Iterable[str]) -> DataFrame:
     """One row per element of the given tags, in document order."""
-    rest = [c for c in documents.columns if c not in ("payload", "doc_id")]
-    split = documents.select(
-        *rest, "doc_id", F.posexplode(nodes(F.col("payload"), tags)).alias("node_pos", "payload")
-    )
+    listed = documents.withColumn("payload", nodes(F.col("payload"), tags))
+    split = explode_list(listed, "payload", "node_pos", "payload")
     return split.withColumn("doc_id", F.concat_ws("#", "doc_id", "node_pos"))
 
 

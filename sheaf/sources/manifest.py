@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf import dims
 from sheaf.functions import arrays, xml
+from sheaf.operators.children import explode_list
+from sheaf.parsers.common import computed_once
 from sheaf.sources.landing import base_name, join_path, package_stem, vtex_pdfa_path
 
 _VOLUME = "`volume-issue-number`: STRUCT<`vol-first`: ARRAY<STRING>, suppl: ARRAY<STRING>>"
@@ -35,14 +37,12 @@ def is_dataset(member_path: Column) -> Column:
 
 def _elements(documents: DataFrame, tag: str, ddl: str, position: str) -> DataFrame:
     """One parsed row per element of the tag, with its place in the document."""
-    found = documents.select(
-        "package_path",
-        "member_path",
-        F.posexplode(xml.nodes(F.col("payload"), [tag])).alias(position, "_node"),
-    )
-    return found.withColumn("doc", xml.parse_xml(xml.prepare_xml(F.col("_node")), ddl)).where(
-        F.col("doc._corrupt_record").isNull()
+    listed = documents.select(
+        "package_path", "member_path", xml.nodes(F.col("payload"), [tag]).alias("_nodes")
     )
+    found = explode_list(listed, "_nodes", position, "_node")
+    parsed = computed_once(found, "doc", xml.parse_xml(xml.prepare_xml(F.col("_node")), ddl))
+    return parsed.where(F.col("doc._corrupt_record").isNull())
 
 
 def _pathname(kind: str) -> Column:
@@ -79,12 +79,14 @@ def issue_entries(issues: DataFrame, documents: DataFrame) -> DataFrame:
         "package_path", F.col("member_path").alias("issue_file"), "payload"
     )
     opened = issues.join(files, ["package_path", "issue_file"])
-    entries = opened.select(
+    listed = opened.select(
         "package_path",
         "issue_pos",
         "volume",
-        F.explode(xml.nodes(F.col("payload"), ["include-item", "ce:include-item"])).alias("_node"),
-    ).withColumn("doc", xml.parse_xml(xml.prepare_xml(F.col("_node")), _ENTRY))
+        xml.nodes(F.col("payload"), ["include-item", "ce:include-item"]).alias("_nodes"),
+    )
+    found = explode_list(listed, "_nodes", "_pos", "_node")
+    entries = computed_once(found, "doc", xml.parse_xml(xml.prepare_xml(F.col("_node")), _ENTRY))
     pages = arrays.first(F.col("doc.pages"))
     return entries.select(
         "package_path",

@@ -81,14 +81,14 @@ def affiliation_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT orderkey, partkey, suppkey, quantity FROM (
   SELECT l_orderkey AS orderkey, l_partkey AS partkey, l_suppkey AS suppkey, l_quantity AS quantity,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_suppkey DESC, l_partkey DESC) AS rn
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_suppkey DESC, l_partkey DESC, l_quantity DESC) AS rn
   FROM lineitem) WHERE rn = 1
 """)
 def id_map_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"), F.col("l_partkey").alias("partkey"),
         F.col("l_suppkey").alias("suppkey"), F.col("l_quantity").alias("quantity"),
-        F.struct("l_linenumber", "l_suppkey", "l_partkey").alias("_pos"),
+        F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_quantity").alias("_pos"),
     )
     return last_wins(lines, ["orderkey"], "_pos").drop("_pos")
 
@@ -107,7 +107,7 @@ def first_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber DESC, l_partkey DESC) AS rn FROM lineitem)
+WITH t AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber DESC, l_partkey DESC, l_shipdate DESC) AS rn FROM lineitem)
 SELECT r.l_orderkey AS orderkey, r.l_partkey AS partkey, r.l_suppkey AS suppkey, r.l_linenumber AS linenumber, t.l_shipdate::DATE::VARCHAR AS target
 FROM lineitem r JOIN t ON r.l_orderkey = t.l_orderkey AND r.l_suppkey = t.l_suppkey AND t.rn = 1 AND t.l_returnflag <> 'Z'
 """)
@@ -118,7 +118,7 @@ def linked_references(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("suppkey"), F.col("l_linenumber").alias("linenumber"), "l_shipdate",
     )
     targets = lines.select(
-        "orderkey", "suppkey", F.struct("linenumber", "partkey").alias("_pos"),
+        "orderkey", "suppkey", F.struct("linenumber", "partkey", "l_shipdate").alias("_pos"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("target"),
     )
     return link_references(lines.drop("l_shipdate"), targets, ["orderkey"], "suppkey", "_pos")
