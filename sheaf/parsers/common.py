@@ -16,6 +16,8 @@ LINEAGE = {
     "pdf_path": "string",
     "pdfa_path": "string",
     "harvested_at": "timestamp",
+    # Why a document could not be read at all, e.g. from a damaged archive.
+    "landing_error": "string",
 }
 
 
@@ -62,11 +64,10 @@ def select_record(
     error: Column | None = None,
 ) -> DataFrame:
     """Project fields, warnings and the error of each parsed document."""
-    malformed = F.col("_malformed")
-    problem = malformed if error is None else F.coalesce(malformed, error)
+    problem = F.coalesce("landing_error", "_malformed", F.lit(None) if error is None else error)
     projected = parsed.select(
         F.lit(spider).alias("spider"),
-        *LINEAGE,
+        *[name for name in LINEAGE if name != "landing_error"],
         *[value.alias(name) for name, value in fields.items()],
         problem.alias("error"),
         F.col("payload"),

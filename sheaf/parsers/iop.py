@@ -10,7 +10,9 @@ from sheaf.parsers import jats
 from sheaf.parsers.common import select_record, strings
 
 
-def parse(documents: DataFrame, as_of=None, extract_related: bool = False) -> DataFrame:
+def parse(
+    documents: DataFrame, as_of=None, extract_related: bool = False, with_keywords: bool = False
+) -> DataFrame:
     """A licence other than CC-BY sends the document to quarantine."""
     parsed = jats.parse_jats(documents)
     eprints = arrays.map_values(
@@ -26,7 +28,7 @@ def parse(documents: DataFrame, as_of=None, extract_related: bool = False) -> Da
     urls = arrays.map_values(jats.meta("permissions/license"), lambda l: l["_href"])
     published = jats.published_date(as_of)
     record = {
-        **jats.common_fields(extract_related),
+        **jats.common_fields(extract_related, with_keywords),
         "journal_doctype": F.when(
             F.col("doc.`_article-type`").isNotNull(),
             dims.translate(F.col("doc.`_article-type`"), dims.JATS_DOCTYPES, "other"),

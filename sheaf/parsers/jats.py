@@ -195,10 +195,12 @@ def related_dois(enabled: bool) -> Column:
     return F.when(F.lit(enabled) & wanted, found)
 
 
-def common_fields(extract_related: bool) -> dict[str, Column]:
+def common_fields(extract_related: bool, with_keywords: bool) -> dict[str, Column]:
     free, pacs = keywords()
     pages = F.transform(meta("counts/page-count"), lambda p: p["_count"])
+    words = {"free_keywords": free, "classification_numbers": pacs} if with_keywords else {}
     return {
+        **words,
         "dois": article_ids("doi"),
         "related_article_doi": related_dois(extract_related),
         "page_nr": ids.all_ints(arrays.empty_to_null(pages)),
@@ -206,8 +208,6 @@ def common_fields(extract_related: bool) -> dict[str, Column]:
         "subtitle": arrays.flat_map(meta("title-group/subtitle"), xml.direct_text),
         "authors": authors(),
         "collaborations": collaborations(),
-        "free_keywords": free,
-        "classification_numbers": pacs,
         "journal_title": journal_title(),
         "journal_issue": meta("issue"),
         "journal_volume": meta("volume"),

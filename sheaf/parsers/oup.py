@@ -10,7 +10,9 @@ from sheaf.parsers import jats
 from sheaf.parsers.common import select_record, strings
 
 
-def parse(documents: DataFrame, as_of=None, extract_related: bool = False) -> DataFrame:
+def parse(
+    documents: DataFrame, as_of=None, extract_related: bool = False, with_keywords: bool = False
+) -> DataFrame:
     parsed = jats.parse_jats(documents)
     eprints = arrays.map_values(
         jats.article_ids("arxiv"),
@@ -22,7 +24,7 @@ def parse(documents: DataFrame, as_of=None, extract_related: bool = False) -> Da
         lambda l: arrays.flat_map(l["license-p"], lambda p: p["ext-link"]),
     )
     record = {
-        **jats.common_fields(extract_related),
+        **jats.common_fields(extract_related, with_keywords),
         "journal_doctype": F.when(
             F.col("doc.`_article-type`").isNotNull(),
             dims.translate(F.col("doc.`_article-type`"), dims.JATS_DOCTYPES, "other"),

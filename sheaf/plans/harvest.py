@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sheaf.operators.lookups import union_sources
 from sheaf.parsers.common import with_lineage
 from sheaf.plans.normalise import normalise
 from sheaf.plans.registry import SourceSpec, source as find_source
@@ -72,14 +73,18 @@ def write_documents(
 def parse_source(spec: SourceSpec, documents: DataFrame, **options) -> DataFrame:
     """Raw fields of a source's documents."""
     options = {**spec.defaults, **options}
-    if spec.needs_manifest:
-        as_of = options.pop("as_of", None)
-        listed = manifest.build_manifest(documents, as_of)
-        articles = documents.where(
-            F.size(F.regexp_extract_all("payload", F.lit(r"<(?:simple-)?article[\s>]"), F.lit(0))) > 0
-        )
-        return spec.parse(articles, listed, **options)
-    return spec.parse(documents, **options)
+    if not spec.needs_manifest:
+        return spec.parse(documents, **options)
+    listed = manifest.build_manifest(documents, options.pop("as_of", None))
+    is_article = F.col("payload").rlike(r"<(?:simple-)?article[\s>]")
+    articles = documents.where(is_article | F.col("landing_error").isNotNull())
+    problems = manifest.manifest_problems(documents).select(
+        F.lit(spec.name).alias("spider"),
+        F.concat_ws("#", "package_path", "doi").alias("doc_id"),
+        "package_path",
+        "error",
+    )
+    return union_sources(spec.parse(articles, listed, **options), problems)
 
 
 def harvest_documents(

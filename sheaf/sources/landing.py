@@ -180,12 +180,15 @@ def member_role(member: Column, layout: str) -> Column:
 
 
 def _route(members: DataFrame, layout: str) -> DataFrame:
-    chosen = members.where(member_role(F.col("member_path"), layout) == "xml")
+    wanted = member_role(F.col("member_path"), layout) == "xml"
+    chosen = members.where(wanted | F.col("landing_error").isNotNull())
     return chosen.withColumns(sibling_paths(F.col("path"), layout))
 
 
 def route_oup(members: DataFrame) -> DataFrame:
-    xml_packages = members.where(package_role(F.col("package_path")) == "xml")
+    xml_packages = members.where(
+        (package_role(F.col("package_path")) == "xml") | F.col("landing_error").isNotNull()
+    )
     return _route(xml_packages, "oup")
 
 

@@ -143,23 +143,42 @@ def join_manifest(items: DataFrame, entries: DataFrame) -> DataFrame:
 
 def entries_without_item(items: DataFrame, entries: DataFrame) -> DataFrame:
     """Articles an issue lists but the manifest does not deliver."""
+    key = ["package_path", "doi"]
     return (
-        entries.join(items, ["package_path", "doi"], "left_anti")
-        .select("package_path", "doi")
+        entries.join(items, key, "left_anti")
+        .select(*key)
         .distinct()
-        .withColumns({"stage": F.lit("manifest"), "error": F.lit("issue lists a DOI without item")})
+        .withColumn("error", F.lit("issue lists a DOI without item"))
     )
 
 
-def items_without_article(manifest: DataFrame, articles: DataFrame) -> DataFrame:
-    """Items whose article did not come with the package."""
-    return manifest.join(articles, ["package_path", "doi"], "left_anti").select(
-        "package_path", "doi", F.lit("manifest").alias("stage"), F.lit("item without article").alias("error")
+def items_without_file(manifest: DataFrame, documents: DataFrame) -> DataFrame:
+    """Items whose article did not come with the package; only names are read."""
+    delivered = documents.select("package_path", F.col("member_path").alias("xml_file"))
+    return manifest.join(delivered, ["package_path", "xml_file"], "left_anti").select(
+        "package_path", "doi", F.lit("item without article file").alias("error")
     )
 
 
+def _of_kind(documents: DataFrame, kind: str) -> DataFrame:
+    """Staged documents know their kind; for others the content decides."""
+    return documents.where(F.col("kind") == kind) if "kind" in documents.columns else documents
+
+
+def _parts(documents: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
+    datasets = _of_kind(documents, "dataset").where(is_dataset(F.col("member_path")))
+    entries = issue_entries(dataset_issues(datasets), _of_kind(documents, "issue"))
+    return dataset_items(datasets, as_of), entries
+
+
 def build_manifest(documents: DataFrame, as_of=None) -> DataFrame:
     """Manifest of all packages from their members."""
-    datasets = documents.where(is_dataset(F.col("member_path")))
-    entries = issue_entries(dataset_issues(datasets), documents)
-    return join_manifest(dataset_items(datasets, as_of), entries)
+    return join_manifest(*_parts(documents, as_of))
+
+
+def manifest_problems(documents: DataFrame) -> DataFrame:
+    """What manifests and issues promise but packages do not hold."""
+    items, entries = _parts(documents)
+    return entries_without_item(items, entries).unionByName(
+        items_without_file(join_manifest(items, entries), documents)
+    )

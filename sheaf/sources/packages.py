@@ -124,31 +124,33 @@ def read_packages(
 
 
 def documents(members: DataFrame) -> DataFrame:
-    """Readable members as a document table with text payloads."""
+    """Members as a document table with text payloads.
+
+    What could not be read is kept without a payload and with the reason as
+    ``landing_error``, and ends in the quarantine.
+    """
     location = F.concat_ws("/", "package_path", "member_path")
-    return members.where(F.col("error").isNull()).select(
+    return members.select(
         "package_path",
         "member_path",
         location.alias("path"),
         location.alias("doc_id"),
         F.decode("content", "UTF-8").alias("payload"),
+        F.col("error").alias("landing_error"),
     )
 
 
 def stage(documents: DataFrame, path: str) -> DataFrame:
     """Write documents that several parts of a plan read, and read them back.
 
-    Without this every part would open and unpack the archives again.
+    Without this every part would open and unpack the archives again.  The
+    kinds are partitions: manifests and issues are found without reading
+    articles.
     """
-    kind = F.when(F.contains("member_path", F.lit("dataset.xml")), "dataset").otherwise("document")
+    kind = (
+        F.when(F.contains("member_path", F.lit("dataset.xml")), "dataset")
+        .when(F.contains("payload", F.lit("include-item>")), "issue")
+        .otherwise("document")
+    )
     documents.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(path)
     return documents.sparkSession.read.parquet(path)
-
-
-def unreadable(members: DataFrame) -> DataFrame:
-    """Packages and members that could not be read, for the quarantine."""
-    return members.where(F.col("error").isNotNull()).select(
-        F.concat_ws("/", "package_path", "member_path").alias("doc_id"),
-        F.lit("unpack").alias("stage"),
-        "error",
-    )

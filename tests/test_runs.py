@@ -109,9 +109,10 @@ def archives(tmp_path):
 def test_unpack(spark, archives):
     read = packages.read_packages(spark, str(archives))
     members = packages.unpack(read, (".xml",)).cache()
-    ok = packages.documents(members).collect()
+    rows = packages.documents(members).collect()
+    ok = [r for r in rows if r["landing_error"] is None]
     assert sorted(r["member_path"] for r in ok) == ["d/.hidden.xml", "d/a.xml", "e/b.xml"]
-    errors = {r["error"].split(":")[0] for r in packages.unreadable(members).collect()}
+    errors = {r["landing_error"].split(":")[0] for r in rows if r["payload"] is None}
     assert errors == {"unsafe member name", "unreadable package"}
     assert packages.unpack(read).count() == 6
 
@@ -129,7 +130,9 @@ def test_skip_existing(spark, archives):
 
 def test_package_harvest(spark, archives, tmp_path):
     entry = sheaf.harvest(spark, "IOP", str(archives), str(tmp_path / "out"), run_id="p").first()
-    assert entry["n_records"] == 2
+    assert (entry["n_records"], entry["n_errors"]) == (2, 2)
+    bad = {r["error"].split(":")[0] for r in sinks.read_quarantine(spark, str(tmp_path / "out")).collect()}
+    assert bad == {"unsafe member name", "unreadable package"}
     records = sinks.read_records(spark, str(tmp_path / "out")).orderBy("path").collect()
     files = {f["value"]["filetype"]: f["value"]["path"].split("/packages/")[1] for f in records[0]["local_files"]}
     assert files == {"xml": "one.zip/d/a.xml", "pdf": "one.zip/d/a.pdf"}
@@ -145,7 +148,8 @@ def test_manifest_package_harvest(spark, tmp_path):
     """Packages with a manifest, as a run and as a stream."""
     folder = tmp_path / "els"
     folder.mkdir()
-    dataset = """<dataset><journal-item><journal-item-unique-ids><doi>10.5/x</doi><jid-aid><jid>PLB</jid></jid-aid>
+    gone = "<journal-item><journal-item-unique-ids><doi>10.5/gone</doi></journal-item-unique-ids></journal-item>"
+    dataset = "<dataset>" + gone + """<journal-item><journal-item-unique-ids><doi>10.5/x</doi><jid-aid><jid>PLB</jid></jid-aid>
       </journal-item-unique-ids><files-info><ml><pathname>a.xml</pathname></ml><web-pdf><pathname>a/main.pdf</pathname></web-pdf>
       </files-info></journal-item></dataset>"""
     article = "<article docsubtype='fla'><item-info><ce:doi>10.5/x</ce:doi></item-info><head><ce:title>T</ce:title></head></article>"
@@ -155,20 +159,22 @@ def test_manifest_package_harvest(spark, tmp_path):
         z.writestr("vtex1/b.xml", article.replace("10.5/x", "10.5/unlisted"))
     results = str(tmp_path / "out")
     entry = sheaf.harvest(spark, "Elsevier", str(folder), results, run_id="e", as_of="2020-01-01").first()
-    assert (entry["n_records"], entry["n_errors"]) == (1, 1)
+    assert (entry["n_records"], entry["n_errors"]) == (1, 2)
     stream_harvest(spark, "Elsevier", str(folder), results, str(tmp_path / "cp"), "es", as_of="2020-01-01").awaitTermination()
     for record in sinks.read_records(spark, results).collect():
         assert (record["journal_title"], record["date_published"]) == ("Physics Letters B", "2020-01-01")
         paths = {f["value"]["filetype"]: f["value"]["path"] for f in record["local_files"]}
         assert paths == {"xml": "vtex1/a.xml", "pdf": "vtex1/a/main.pdf", "pdfa": "vtex1/a/main_a-2b.pdf"}
-    assert {r["error"] for r in sinks.read_quarantine(spark, results).collect()} == {"DOI not in manifest"}
+    assert {r["error"] for r in sinks.read_quarantine(spark, results).collect()} == {
+        "DOI not in manifest", "item without article file",
+    }
 
 
 def test_routes(spark):
     members = spark.createDataFrame(
         [("/in/x.xml.zip", "a/b.xml"), ("/in/x.pdf.zip", "a/b.pdf"), ("/in/x.xml.zip", "a/b.xml.Meta"), ("/in/y.zip", "a/c.xml.scoap")],
         "package_path STRING, member_path STRING",
-    ).withColumn("path", F.concat_ws("/", "package_path", "member_path"))
+    ).withColumns({"path": F.concat_ws("/", "package_path", "member_path"), "landing_error": F.lit(None).cast("string")})
     oup = landing.route_oup(members).collect()
     assert [(r["member_path"], r["pdfa_path"]) for r in oup] == [("a/b.xml", "/in/x.xml.zip/a/archival/b.pdf")]
     springer = {r["member_path"]: r["pdfa_path"] for r in landing.route_springer(members).collect()}
@@ -208,10 +214,8 @@ def test_manifest_keeps_each_issue(spark):
     entries = manifest.issue_entries(manifest.dataset_issues(datasets), docs)
     orphans = manifest.entries_without_item(manifest.dataset_items(datasets), entries).collect()
     assert [r["doi"] for r in orphans] == ["10.5/gone"]
-    missing = manifest.items_without_article(
-        manifest.build_manifest(docs), spark.createDataFrame([("/in/P.zip", "10.5/1")], "package_path STRING, doi STRING")
-    )
-    assert sorted(r["doi"] for r in missing.collect()) == ["10.5/2", "10.5/3"]
+    problems = sorted((r["doi"], r["error"].split()[0]) for r in manifest.manifest_problems(docs).collect())
+    assert problems == [("10.5/1", "item"), ("10.5/2", "item"), ("10.5/3", "item"), ("10.5/gone", "issue")]
 
 
 def brute_ranges(values):
