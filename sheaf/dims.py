@@ -160,9 +160,15 @@ THESIS_WORDS = tuple(
 # --- use in plans ------------------------------------------------------------
 
 
+def _quoted(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def as_map(mapping: Mapping[str, str]) -> Column:
     """A literal map, folded into the plan."""
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    pairs = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in mapping.items())
+    return F.expr(f"map({pairs})")
 
 
 def translate(c: Column, mapping: Mapping[str, str], default: Column | str) -> Column:
