@@ -6,8 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-_REST = 1 << 30
-
 
 def escape_xml(c: Column) -> Column:
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -97,6 +98,21 @@ DEFAULT_RULES: dict[str, FieldRule] = {
 }
 
 
+@lru_cache(maxsize=1024)
+def _field(
+    application: str, name: str, kind: T.DataType, rule: FieldRule | None, is_array: bool
+) -> Column:
+    """Column of a field.
+
+    It refers to columns by name only, so that one serves all tables, and
+    micro-batches do not build it anew.
+    """
+    value = F.col(name)
+    if rule is not None:
+        value = rule.apply(value, is_array)
+    return value.cast(kind).alias(name)
+
+
 def normalise(parsed: DataFrame, rules: Mapping[str, FieldRule] | None = None) -> DataFrame:
     """Canonical records with their lineage.
 
@@ -105,16 +121,16 @@ def normalise(parsed: DataFrame, rules: Mapping[str, FieldRule] | None = None) -
     """
     active = {**DEFAULT_RULES, **(rules or {})}
     given = {f.name: f.dataType for f in parsed.schema.fields}
+    application = parsed.sparkSession.sparkContext.applicationId
 
     def column(field: T.StructField) -> Column:
         name = field.name
         if name not in given:
             return F.expr(f"CAST(NULL AS {field.dataType.simpleString()}) AS `{name}`")
-        value = F.col(name)
-        if name in active:
-            value = active[name].apply(value, isinstance(given[name], T.ArrayType))
-        return value.cast(field.dataType).alias(name)
+        is_array = isinstance(given[name], T.ArrayType)
+        return _field(application, name, field.dataType, active.get(name), is_array)
 
     return parsed.select(
-        *[column(f) for f in lineage_schema().fields], *[column(f) for f in canonical_schema().fields]
+        *[column(f) for f in lineage_schema().fields],
+        *[column(f) for f in canonical_schema().fields],
     )
