@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontaminate, secrets, tokens
+from sheaf.llm import decontaminate, html_text, pii, secrets, tokens, toxicity
 from sheaf.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_words"), hit).alias("contaminated"),
     )
+
+
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.extract(pages, html_text.learn(pages))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = F.col("found")
+    base = F.filter(found, lambda s: s["base"])
+    return pii.scan(documents, pii.fit(documents)).select(
+        "doc_id",
+        *(n_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        spans_text(found).alias("spans"),
+        (F.size(found) - F.size(base)).cast("bigint").alias("n_added"),
+    )
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(documents, toxicity.fit(documents, labels))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
