@@ -1,7 +1,7 @@
 """Toxicity by Levenshtein automata over a lexicon trie, with context-window scores.
 
 The lexicon is learned: whole words and stems (prefixes that stand for all
-their inflections) that occur in toxic but hardly in clean labelled texts,
+their inflections, some only if a text has two words of them) that occur in toxic but hardly in clean labelled texts,
 chosen one after another by how many toxic texts they explain that the terms
 before them do not.  At run time every word is looked up in the trie of the
 lexicon; for long terms the Levenshtein automaton of the word walks the trie,
@@ -31,6 +31,8 @@ REJECT = 0.7
 STEMS = range(3, 9)
 #: Terms that go from the counts to the choice, at most: the most frequent in toxic texts.
 CANDIDATES = 3000
+#: Clean texts with a term for each toxic one, at most.
+CLEAN = 0.08
 #: Words a worker remembers.
 REMEMBERED = 400_000
 #: Words before and after a hit that are its context.
@@ -102,10 +104,14 @@ def intersect(word: str, trie: Trie, limit: int = 1) -> list[tuple[str, int]]:
 
 @dataclass
 class Lexicon:
-    """Whole terms and stems; terms of ``fuzzy_from`` letters and more may be misspelled."""
+    """Whole terms, stems, and stems of which a text needs two words.
+
+    Whole terms of ``fuzzy_from`` letters and more may be misspelled.
+    """
 
     words: frozenset[str] = frozenset()
     stems: frozenset[str] = frozenset()
+    paired: frozenset[str] = frozenset()
     benign: frozenset[str] = frozenset()
     fuzzy_from: int = 5
     _seen: dict = field(default_factory=dict, repr=False)
@@ -113,7 +119,7 @@ class Lexicon:
     def __post_init__(self) -> None:
         long = [w for w in self.words if len(w) >= self.fuzzy_from]
         self.trie = Trie(long)
-        self.stem_lengths = sorted({len(s) for s in self.stems})
+        self.stem_lengths = sorted({len(s) for s in self.stems | self.paired})
         # With one edit, the first or the last two letters of a long term are untouched.
         self.heads, self.tails = {w[:2] for w in long}, {w[-2:] for w in long}
 
@@ -137,7 +143,7 @@ class Lexicon:
         if word in self.words:
             return word, 0
         for n in self.stem_lengths:
-            if word[:n] in self.stems:
+            if len(word) > n and (word[:n] in self.stems or word[:n] in self.paired):
                 return word[:n], 0
         if len(word) >= self.fuzzy_from - 1 and word not in self.benign and (
             word[:2] in self.heads or word[-2:] in self.tails
@@ -174,7 +180,8 @@ def hits(text: str, lexicon: Lexicon) -> list[dict]:
                 "at": i,
             }
         )
-    return found
+    times = Counter(h["term"] for h in found)
+    return [h for h in found if h["term"] not in lexicon.paired or times[h["term"]] > 1]
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
@@ -203,16 +210,20 @@ class Model:
 
 
 def terms_of(text: str) -> set[str]:
-    """Whole words (marked by a blank at the end) and stems of a text."""
-    out = set()
-    for w in set(WORD.findall(text.lower())):
+    """Whole words, stems and paired stems of a text; a last ``.`` or ``+`` marks the first and the last."""
+    out, once, twice = set(), set(), set()
+    for w, times in Counter(WORD.findall(text.lower())).items():
         if len(w) >= 3:
-            out.add(w + " ")
-            out.update(w[:n] for n in STEMS if n < len(w))
+            out.add(w + ".")
+            stems = {w[:n] for n in STEMS if n < len(w)}
+            twice |= stems if times > 1 else once & stems
+            once |= stems
+    out |= once
+    out.update(s + "+" for s in twice)
     return out
 
 
-def choose(candidates: dict[str, tuple[int, int]], toxic: list[set[str]], clean_rate: float = 0.05) -> list[str]:
+def choose(candidates: dict[str, tuple[int, int]], toxic: list[set[str]], clean_rate: float = CLEAN) -> list[str]:
     """Terms that explain toxic texts which the terms before them do not.
 
     A text counts 0.4 to the power of the terms that it already has, so that
@@ -225,20 +236,20 @@ def choose(candidates: dict[str, tuple[int, int]], toxic: list[set[str]], clean_
         for t in terms:
             if t in candidates:
                 holds.setdefault(t, []).append(i)
-    # A stem that is no more frequent than a longer one of its own stands for less.
     chosen: list[str] = []
     left = {t for t, at in holds.items() if candidates[t][1] <= clean_rate * candidates[t][0]}
     least = max(1.5, 0.003 * len(toxic))
     while left:
         gains = {t: sum(weight[i] for i in holds[t]) - 4 * candidates[t][1] for t in left}
         # Whole words, then longer stems, win ties: they claim less.
-        best = max(left, key=lambda t: (round(gains[t], 6), t.endswith(" "), len(t), t))
+        best = max(left, key=lambda t: (round(gains[t], 6), t.endswith("."), len(t), t))
         if gains[best] < least:
             break
         chosen.append(best)
         for i in holds[best]:
             weight[i] *= 0.4
-        left = {t for t in left if t != best and gains[t] >= least and not (t.startswith(best) and not best.endswith(" "))}
+        stem = best.rstrip("+")
+        left = {t for t in left if t != best and gains[t] >= least and not t.startswith(stem)}
     return chosen
 
 
@@ -302,7 +313,7 @@ def fit(
     best = (
         counted.groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter((F.col("toxic") >= 2) & (F.col("clean") <= 0.05 * F.col("toxic")))
+        .filter((F.col("toxic") >= 2) & (F.col("clean") <= CLEAN * F.col("toxic")))
         .orderBy(F.desc("toxic"), "clean", "term")
         .limit(CANDIDATES)
         .collect()
@@ -314,9 +325,10 @@ def fit(
 
     toxic = [set(r.terms) for r in map_texts(rows.filter("__y = 1"), ["__text"], held, "terms array<string>").collect()]
     chosen_terms = choose(candidates, toxic)
-    words = frozenset(t[:-1] for t in chosen_terms if t.endswith(" "))
-    stems = frozenset(t for t in chosen_terms if not t.endswith(" "))
-    lexicon = Lexicon(words, stems)
+    words = frozenset(t[:-1] for t in chosen_terms if t.endswith("."))
+    paired = frozenset(t[:-1] for t in chosen_terms if t.endswith("+"))
+    stems = frozenset(t for t in chosen_terms if t[-1] not in ".+")
+    lexicon = Lexicon(words, stems, paired)
 
     def measure(texts, ys):
         out = {"y": list(ys), "x": [features(v, lexicon) for v in texts], "near": []}
@@ -332,7 +344,7 @@ def fit(
     benign = frozenset(w for r in measured for w in r.near)
     x, y = np.array([r.x for r in measured]), np.array([float(r.y) for r in measured])
     bias, weights = regression(x, y)
-    return Model(Lexicon(words, stems, benign), bias, weights)
+    return Model(Lexicon(words, stems, paired, benign), bias, weights)
 
 
 def score(
