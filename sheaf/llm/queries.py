@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontaminate, html_text, pii, secrets, tokens, toxicity
+from sheaf.llm import decontaminate, html_text, jaccard, pii, secrets, tokens, toxicity
 from sheaf.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
     )
+
+
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
