@@ -89,17 +89,18 @@ class Scheme:
         """(cost, plain, loose, slack) of the divisions that bear ``differ`` differences."""
         size = (low + high) / 2
         need = differ + 1
-        for slack in sorted({0, 1, 2, 4, 4 + need // 32}):
+        for slack in sorted({0, 1, 2, 3, 4 + need // 32, 4 + need // 16, 4 + need // 12}):
             for loose in sorted({0, 1, 2, (need + slack) // 4, (need + slack + 1) // 2}):
                 plain = max(0, need + slack - 2 * loose)
                 if plain + loose == 0 or 2 * loose > need + slack + 1:
                     continue
                 mean = size / (plain + 2 * loose)
                 rows = plain + loose * (1 + 2 * mean)
+                # Poor segments of a set are about Poisson; beyond the slack all of them are indexed.
                 poor = plain * (1 + mean) * math.exp(-mean)
-                left = max(0.0, poor - slack) + (1.0 if poor > slack / 2 else 0.0)
-                # A false meeting costs what hundreds of rows do; two shingles alone meet a tenth as often.
-                false = 300 * left + 20 * plain * math.exp(-mean) * mean * mean / 2
+                within = sum(math.exp(-poor) * poor**i / math.factorial(i) for i in range(min(slack, 100) + 1))
+                # A poor segment meets what hundreds of rows cost, one of two shingles as much as two.
+                false = 400 * poor * max(0.0, 1 - within) + 2 * plain * math.exp(-mean) * mean * mean / 2
                 yield rows + false, plain, loose, slack
 
     def keys(self, h: np.ndarray) -> np.ndarray:

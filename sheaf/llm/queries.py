@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontaminate, html_text, jaccard, pii, secrets, tokens, toxicity
+from sheaf.llm import decontaminate, fingerprints, html_text, jaccard, line_dedup, pii, secrets, sentencepiece, tokens, toxicity
 from sheaf.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    documents = table(spark, sf_dir, "documents")
+    encoded = sentencepiece.encode(documents, model, keep=("doc_id", "text"))
+    return sentencepiece.decode(encoded.withColumnRenamed("text", "own"), model, keep=("doc_id", "own", "ids")).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_pieces"),
+        "ids",
+        (F.coalesce("own", F.lit("")) == F.col("text")).alias("restored"),
+    )
+
+
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that keeps lines, with what is left of it."""
+    documents = table(spark, sf_dir, "documents")
+    dropped = line_dedup.duplicate_lines(documents)
+    return line_dedup.without_lines(documents, dropped, n_chars="n_chars")
