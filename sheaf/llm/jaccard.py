@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.linking import FIELDS, TaskBuckets, linked, shared_buckets
@@ -28,6 +28,9 @@ from sheaf.llm.shared import map_texts, staged
 #: Words a worker remembers the hashes of.
 REMEMBERED = 500_000
 
+#: Parts of the universe in which the shingles of a set are counted, to tell sets apart cheaply.
+COUNTERS = 128
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3D4B5)
 
@@ -186,27 +189,64 @@ def jaccard_components(
     Rows that repeat a ``doc_id`` all stay; an empty table gives an empty
     result.  Copies are one set from the start and never paired.
     """
-    base = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
+    group = groups(docs, doc_id, text, words, num, den)
+    least = group.filter("group is not null").groupBy("group").agg(F.min("doc").alias("least"))
+    return group.join(least, "group", "left").select(
+        F.col("doc").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("least", "doc").alias("component_id"),
+    )
+
+
+def without_copies(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 4,
+    num: int = 85,
+    den: int = 100,
+) -> DataFrame:
+    """``docs`` with one document of every component: that of the smallest id, then text hash.
+
+    Documents without shingles all stay.  Rows that repeat both id and text
+    are one document and stay or go together.
+    """
+    group = groups(docs, doc_id, text, words, num, den).filter("group is not null")
+    place = F.struct("doc", "mark")
+    first = group.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    more = (
+        group.join(first.select("group", "first"), "group")
+        .filter(~place.eqNullSafe(F.col("first")))
+        .select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"))
+        .distinct()
+    )
+    return docs.join(
+        more, docs[doc_id].eqNullSafe(more["__doc"]) & (text_mark(docs[text]) == more["__mark"]), "left_anti"
+    )
+
+
+def text_mark(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def groups(docs: DataFrame, doc_id: str, text: str, words: int, num: int, den: int) -> DataFrame:
+    """(doc, mark, n, group) of every row: id, text hash, shingles, and what names its component; null without shingles."""
+    base = docs.select(
+        F.col(doc_id).alias("doc"), text_mark(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
+    )
 
     def measure(texts):
         sets = [shingles(t, words) for t in texts]
         return {"n": [len(h) for h in sets], "set": [set_id(h) if len(h) else None for h in sets]}
 
-    sets = staged(map_texts(base, ["text"], measure, "n bigint, set bigint", keep=("doc",)))
-
+    sets = staged(map_texts(base, ["text"], measure, "n bigint, set bigint", keep=("doc", "mark")))
     buckets = staged(shared_buckets(index_rows(base, words, num, den)))
     wanted = buckets.select("id").unionByName(buckets.select(F.col("lead").alias("id"))).distinct()
     whole = whole_sets(base, sets, wanted, words)
     label = linked(buckets, lambda pairs: similar(pairs, whole, num, den))
-
-    group = sets.join(label.select(F.col("id").alias("set"), "component"), "set", "left").select(
-        "doc", "n", F.coalesce("component", "set").alias("group")
-    )
-    least = group.filter("group is not null").groupBy("group").agg(F.min("doc").alias("least"))
-    return group.join(least, "group", "left").select(
-        F.col("doc").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.coalesce("least", "doc").alias("component_id"),
+    return sets.join(label.select(F.col("id").alias("set"), "component"), "set", "left").select(
+        "doc", "mark", "n", F.coalesce("component", "set").alias("group")
     )
 
 
@@ -231,33 +271,50 @@ def index_rows(base: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 
 def whole_sets(base: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(id, n, h): the whole sets of the wanted ids, each from one of its texts."""
-    texts = sets.join(wanted, sets["set"] == wanted["id"]).groupBy("id").agg(F.min("doc").alias("doc"))
+    """(id, n, counts, h): size, counters and whole sets of the wanted ids, each from one of its texts."""
+    texts = (
+        sets.join(wanted, sets["set"] == wanted["id"])
+        .groupBy("id")
+        .agg(F.min(F.struct("doc", "mark")).alias("of"))
+        .select("id", F.col("of.doc").alias("doc"), F.col("of.mark").alias("mark"))
+    )
 
     def build(names, texts):
-        out = {"id": [], "n": [], "h": []}
-        for name, value in zip(names, texts, strict=True):
+        out = {"id": names, "n": [], "counts": [], "h": []}
+        for value in texts:
             h = shingles(value, words)
-            if len(h) and set_id(h) == name:
-                out["id"].append(name)
-                out["n"].append(len(h))
-                out["h"].append(h.view(np.int64).tolist())
+            out["n"].append(len(h))
+            # Cut off at 127, counters still differ by no more than the sets do.
+            counts = np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=COUNTERS)
+            out["counts"].append(np.minimum(counts, 127).tolist())
+            out["h"].append(h.view(np.int64).tolist())
         return out
 
-    picked = base.join(texts, "doc").select("id", "text")
-    # Rows that repeat a doc_id may give a set twice.
-    return staged(map_texts(picked, ["id", "text"], build, "id bigint, n bigint, h array<bigint>").dropDuplicates(["id"]))
+    same = base["doc"].eqNullSafe(texts["doc"]) & (base["mark"] == texts["mark"])
+    picked = base.join(texts, same).select("id", "text")
+    # Rows that repeat both id and text give a set again; pairs are made distinct behind it.
+    return staged(map_texts(picked, ["id", "text"], build, "id bigint, n bigint, counts array<tinyint>, h array<bigint>"))
 
 
 def similar(pairs: DataFrame, whole: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of sets within the similarity."""
-    size = lambda c: whole.select(F.col("id").alias(c), F.col("n").alias("n" + c))
+    """Pairs (a, b) of sets within the similarity.
+
+    First by what needs no set: the sizes, and the counters, whose differences
+    sum to no more than the sets differ.
+    """
+    count = lambda c: whole.select(F.col("id").alias(c), F.col("n").alias("n" + c), F.col("counts").alias("c" + c))
     held = lambda c: whole.select(F.col("id").alias(c), F.col("h").alias("h" + c))
+    least, most = F.least("na", "nb"), F.greatest("na", "nb")
+    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, d: s + d)
+    # Sets that differ in d shingles share (na + nb - d) / 2 of (na + nb + d) / 2.
     near = (
-        pairs.join(size("a"), "a")
-        .join(size("b"), "b")
-        .filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+        pairs.join(count("a"), "a")
+        .join(count("b"), "b")
+        .filter(least * den >= most * num)
+        .filter((F.col("na") + F.col("nb") - apart) * den >= (F.col("na") + F.col("nb") + apart) * num)
+        .select("a", "b", "na", "nb")
+        .distinct()
     )
     both = near.join(held("a"), "a").join(held("b"), "b")
     common = F.size(F.array_intersect("ha", "hb"))
-    return both.filter(common * den >= (F.col("na") + F.col("nb") - common) * num).select("a", "b")
+    return both.filter(common * den >= (F.col("na") + F.col("nb") - common) * num).select("a", "b").distinct()
