@@ -94,27 +94,39 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
     """(id, component) of all items with a link; ``buckets`` as :func:`shared_buckets` gives them.
 
     ``verify`` takes distinct pairs (a, b), a < b, and returns those that are
-    links.  Three rounds: every item with its smallest leader; with its other
-    leaders, where these are still in another component; and the pairs of
-    different components that meet in a bucket.
+    links.  Three rounds: every item with the most central item that it meets,
+    the one with the largest buckets, of which copies are made rather than from
+    each other; with the other leaders of its buckets, where these are still in
+    another component; and the pairs of different components that meet in a
+    bucket.
     """
     pair = (F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
-    stars = buckets.filter("lead <> id")
-    first = stars.groupBy("id").agg(F.min("lead").alias("lead")).select(*pair).distinct()
+    members = buckets.select("key", "id").unionByName(buckets.select("key", F.col("lead").alias("id"))).distinct()
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    central = staged(members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("weight")))
+    weighed = members.join(central, "id")
+    leads = weighed.groupBy("key").agg(F.max(F.struct("weight", "id")).alias("top"))
+    stars = staged(
+        weighed.join(leads, "key")
+        .filter("id <> top.id")
+        .groupBy("id", F.col("top.id").alias("lead"))
+        .agg(F.max("top.weight").alias("weight"))
+    )
+    first = stars.groupBy("id").agg(F.max(F.struct("weight", "lead"))["lead"].alias("lead")).select(*pair).distinct()
     edges = staged(verify(first))
     label = components(edges)
 
-    rest = _apart(stars.select(*pair).distinct(), label)
+    every = stars.select(*pair).unionByName(buckets.filter("lead <> id").select(*pair)).distinct()
+    rest = _apart(every, label)
     more = staged(verify(rest.join(first, ["a", "b"], "left_anti")))
     edges = edges.unionByName(more)
     label = staged(components(edges))
 
-    members = buckets.select("key", "id").unionByName(buckets.select("key", F.col("lead").alias("id"))).distinct()
     own = members.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     # By component of a key: how many items; the largest one is only compared with the others.
-    sizes = own.groupBy("key", "component").agg(F.count("*").alias("n"))
+    parts = own.groupBy("key", "component").agg(F.count("*").alias("n"))
     keys = (
-        sizes.groupBy("key")
+        parts.groupBy("key")
         .agg(F.count("*").alias("parts"), F.max(F.struct("n", "component"))["component"].alias("largest"))
         .filter("parts > 1")
         .select("key", "largest")
@@ -123,8 +135,7 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
     small = mixed.filter("component <> largest").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
     other = mixed.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
     across = small.join(other, "key").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    tested = stars.select(*pair).distinct()
-    last = staged(verify(across.join(tested, ["a", "b"], "left_anti")))
+    last = staged(verify(across.join(every, ["a", "b"], "left_anti")))
     return components(edges.unionByName(last))
 
 
