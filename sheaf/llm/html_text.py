@@ -57,6 +57,8 @@ _NAMES = re.compile(r"[A-Za-z]+")
 
 #: Weights of what no labelled page has, and the bounds of the learned ones.
 WORD, OPEN_TAG, LEAST, MOST = 1.0, -1.5, -6.0, 3.0
+#: Tags before a block, and blocks that are left out anyway, cost no more: an article goes on behind them.
+BETWEEN = -4.0
 
 
 class Piece:
@@ -187,12 +189,12 @@ def region(found: list[Piece], weights: dict[str, float]) -> tuple[int, int]:
     total, start = 0.0, 0
     for i, piece in enumerate(found):
         cost = sum(weights.get("tag " + t, OPEN_TAG if t[0] != "/" else 0.0) for t in piece.tags)
-        # Between blocks of one article, tags never cost more than a few words.
-        total += max(cost, -4.0)
+        total += max(cost, BETWEEN)
         if total <= 0:
             total, start = 0.0, i
         default = -WORD if piece.apart else WORD
-        total += weights.get("word " + piece.key, default) * len(piece.text.split())
+        value = weights.get("word " + piece.key, default) * len(piece.text.split())
+        total += max(value, BETWEEN) if piece.apart else value
         if total > best:
             best, best_at = total, (start, i + 1)
         if total < 0:

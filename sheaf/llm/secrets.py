@@ -40,7 +40,7 @@ NEAR = 48
 #: Characters of surrounding text on either side that prime the dictionary.
 AROUND = 1024
 #: Least marginal bytes for each character, and in all.
-RATE, BYTES = 0.62, 11
+RATE, BYTES = 0.7, 11
 
 #: Identifiers and words of code that prime every dictionary.
 IDENTIFIERS = (
@@ -70,7 +70,7 @@ def novelty(candidate: str, before: str, after: str, identifiers: str = IDENTIFI
     """Marginal compressed bytes of ``candidate`` against its surroundings."""
     prime = (identifiers + "\n" + after + "\n" + before).encode("utf-8", "surrogatepass")
     words = zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    packer = zstandard.ZstdCompressor(level=3, dict_data=words, write_content_size=False, write_dict_id=False)
+    packer = zstandard.ZstdCompressor(level=9, dict_data=words, write_content_size=False, write_dict_id=False)
     return len(packer.compress(candidate.encode("utf-8", "surrogatepass"))) - _plain_size()
 
 
