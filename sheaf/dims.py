@@ -37,31 +37,65 @@ JATS_DOCTYPES = {
 }
 
 ELSEVIER_DOCTYPES = {
-    **dict.fromkeys("article sco fla abs rev".split(), "article"),
+    "article": "article",
+    "sco": "article",
+    "fla": "article",
+    "abs": "article",
+    "rev": "article",
     "add": "addendum",
-    **dict.fromkeys("edb edi".split(), "editorial"),
+    "edb": "editorial",
+    "edi": "editorial",
     "err": "erratum",
-    **dict.fromkeys("ret rem".split(), "retraction"),
-    **dict.fromkeys(
-        "adv ann brv cal chp cnf con cop cor crp dis dup exm ind lit mis nws ocn "
-        "pgl pnt prp prv pub req ssu".split(),
-        "other",
-    ),
+    "ret": "retraction",
+    "rem": "retraction",
+    "adv": "other",
+    "ann": "other",
+    "brv": "other",
+    "cal": "other",
+    "chp": "other",
+    "cnf": "other",
+    "con": "other",
+    "cop": "other",
+    "cor": "other",
+    "crp": "other",
+    "dis": "other",
+    "dup": "other",
+    "exm": "other",
+    "ind": "other",
+    "lit": "other",
+    "mis": "other",
+    "nws": "other",
+    "ocn": "other",
+    "pgl": "other",
+    "pnt": "other",
+    "prp": "other",
+    "prv": "other",
+    "pub": "other",
+    "req": "other",
+    "ssu": "other",
 }
 
 SPRINGER_DOCTYPES = {
     "OriginalPaper": "article",
-    "BriefCommunication": "article",
     "ReviewPaper": "review",
-    "BookReview": "review",
+    "BriefCommunication": "article",
     "EditorialNotes": "editorial",
+    "BookReview": "review",
+    "ContinuingEducation": "other",
+    "Interview": "other",
+    "Letter": "other",
     "Erratum": "erratum",
-    **dict.fromkeys(
-        "ContinuingEducation Interview Letter Legacy Abstract Report Announcement "
-        "News Events Acknowledgments MediaReport BibliographicalNote ProductNotes "
-        "Unknown".split(),
-        "other",
-    ),
+    "Legacy": "other",
+    "Abstract": "other",
+    "Report": "other",
+    "Announcement": "other",
+    "News": "other",
+    "Events": "other",
+    "Acknowledgments": "other",
+    "MediaReport": "other",
+    "BibliographicalNote": "other",
+    "ProductNotes": "other",
+    "Unknown": "other",
 }
 
 # --- fixed values: journals --------------------------------------------------
@@ -105,56 +139,206 @@ LICENSE_TEXTS = {
 # --- fixed values: languages -------------------------------------------------
 
 LANGUAGES = {
-    "fr": "French", "fre": "French",
-    "ru": "Russian", "rus": "Russian",
-    "ge": "German", "ger": "German",
-    "es": "Spanish", "esp": "Spanish",
-    "la": "Latin", "lat": "Latin",
-    "it": "Italian", "ita": "Italian",
-    "ja": "Japanese", "jap": "Japanese",
-    "pt": "Portuguese", "por": "Portuguese",
-    "cn": "Chinese", "chi": "Chinese",
-    "ro": "Romanian", "rom": "Romanian",
-    "pl": "Polish", "pol": "Polish",
-    "nl": "Dutch", "dut": "Dutch",
-    "cs": "Czech", "cze": "Czech",
-    "id": "Indonesian", "ind": "Indonesian",
-    "no": "Norwegian", "nor": "Norwegian",
-    "sv": "Swedish", "swe": "Swedish",
-    "he": "Hebrew", "heb": "Hebrew",
-    "hu": "Hungarian", "hun": "Hungarian",
-    "ko": "Korean", "kor": "Korean",
+    "fr": "French",
+    "ru": "Russian",
+    "ge": "German",
+    "es": "Spanish",
+    "la": "Latin",
+    "it": "Italian",
+    "ja": "Japanese",
+    "pt": "Portuguese",
+    "cn": "Chinese",
+    "ro": "Romanian",
+    "pl": "Polish",
+    "nl": "Dutch",
+    "cs": "Czech",
+    "id": "Indonesian",
+    "no": "Norwegian",
+    "sv": "Swedish",
+    "he": "Hebrew",
+    "hu": "Hungarian",
+    "ko": "Korean",
+    "fre": "French",
+    "rus": "Russian",
+    "ger": "German",
+    "esp": "Spanish",
+    "lat": "Latin",
+    "ita": "Italian",
+    "jap": "Japanese",
+    "por": "Portuguese",
+    "chi": "Chinese",
+    "rom": "Romanian",
+    "pol": "Polish",
+    "dut": "Dutch",
+    "cze": "Czech",
+    "ind": "Indonesian",
+    "nor": "Norwegian",
+    "swe": "Swedish",
+    "heb": "Hebrew",
+    "hun": "Hungarian",
+    "kor": "Korean",
 }
 
 # --- fixed values: words -----------------------------------------------------
 
-COMMON_ACRONYMS = tuple(
-    "LHC CFT QCD QED QFT ABJM NLO LO NNLO IIB IIA MSSM NMSSM SYM WIMP ATLAS CMS "
-    "ALICE RHIC DESY HERA CDF D0 BELLE BABAR BFKL DGLAP SUSY QM UV IR BRST PET GPS "
-    "NMR XXZ CMB LISA CPT KEK TRIUMF PHENIX VLBI NGC SNR HESS AKARI GALEX ESO "
-    "J-PARC CERN XFEL FAIUR ILC CLIC SPS BNL CEBAF SRF LINAC HERMES ZEUS H1 "
-    "GRB".split()
+COMMON_ACRONYMS = (
+    "LHC",
+    "CFT",
+    "QCD",
+    "QED",
+    "QFT",
+    "ABJM",
+    "NLO",
+    "LO",
+    "NNLO",
+    "IIB",
+    "IIA",
+    "MSSM",
+    "NMSSM",
+    "SYM",
+    "WIMP",
+    "ATLAS",
+    "CMS",
+    "ALICE",
+    "RHIC",
+    "DESY",
+    "HERA",
+    "CDF",
+    "D0",
+    "BELLE",
+    "BABAR",
+    "BFKL",
+    "DGLAP",
+    "SUSY",
+    "QM",
+    "UV",
+    "IR",
+    "BRST",
+    "PET",
+    "GPS",
+    "NMR",
+    "XXZ",
+    "CMB",
+    "LISA",
+    "CPT",
+    "KEK",
+    "TRIUMF",
+    "PHENIX",
+    "VLBI",
+    "NGC",
+    "SNR",
+    "HESS",
+    "AKARI",
+    "GALEX",
+    "ESO",
+    "J-PARC",
+    "CERN",
+    "XFEL",
+    "FAIUR",
+    "ILC",
+    "CLIC",
+    "SPS",
+    "BNL",
+    "CEBAF",
+    "SRF",
+    "LINAC",
+    "HERMES",
+    "ZEUS",
+    "H1",
+    "GRB",
 )
 
-MATHML_ELEMENTS = tuple(
-    "annotation annotation-xml maction math merror mfenced mfrac mi mmultiscripts "
-    "mn mo mover mpadded mphantom mprescripts mroot mrow mspace msqrt mstyle msub "
-    "msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+MATHML_ELEMENTS = (
+    "annotation",
+    "annotation-xml",
+    "maction",
+    "math",
+    "merror",
+    "mfenced",
+    "mfrac",
+    "mi",
+    "mmultiscripts",
+    "mn",
+    "mo",
+    "mover",
+    "mpadded",
+    "mphantom",
+    "mprescripts",
+    "mroot",
+    "mrow",
+    "mspace",
+    "msqrt",
+    "mstyle",
+    "msub",
+    "msubsup",
+    "msup",
+    "mtable",
+    "mtd",
+    "mtext",
+    "mtr",
+    "munder",
+    "munderover",
+    "none",
+    "semantics",
 )
 
-CONFERENCE_WORDS = tuple(
-    "colloquium colloquiums conf conference conferences contrib contributed "
-    "contribution contributions forum lecture lectures meeting meetings pres "
-    "presented proc proceeding proceedings rencontre rencontres school schools "
-    "seminar seminars symp symposium symposiums talk talks workshop "
-    "workshops".split()
+CONFERENCE_WORDS = (
+    "colloquium",
+    "colloquiums",
+    "conf",
+    "conference",
+    "conferences",
+    "contrib",
+    "contributed",
+    "contribution",
+    "contributions",
+    "forum",
+    "lecture",
+    "lectures",
+    "meeting",
+    "meetings",
+    "pres",
+    "presented",
+    "proc",
+    "proceeding",
+    "proceedings",
+    "rencontre",
+    "rencontres",
+    "school",
+    "schools",
+    "seminar",
+    "seminars",
+    "symp",
+    "symposium",
+    "symposiums",
+    "talk",
+    "talks",
+    "workshop",
+    "workshops",
 )
 
-THESIS_WORDS = tuple(
-    "diploma diplomarbeit diplome dissertation doctoraal doctoral doctorat "
-    "doctorate doktorarbeit dottorato habilitationsschrift hochschule "
-    "inauguraldissertation memoire phd proefschrift schlussbericht "
-    "staatsexamensarbeit tesi thesis travail".split()
+THESIS_WORDS = (
+    "diploma",
+    "diplomarbeit",
+    "diplome",
+    "dissertation",
+    "doctoraal",
+    "doctoral",
+    "doctorat",
+    "doctorate",
+    "doktorarbeit",
+    "dottorato",
+    "habilitationsschrift",
+    "hochschule",
+    "inauguraldissertation",
+    "memoire",
+    "phd",
+    "proefschrift",
+    "schlussbericht",
+    "staatsexamensarbeit",
+    "tesi",
+    "thesis",
+    "travail",
 )
 
 # --- use in plans ------------------------------------------------------------
@@ -178,5 +362,5 @@ def translate(c: Column, mapping: Mapping[str, str], default: Column | str) -> C
 
 
 def as_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
-    """A fixed mapping as a two-column table for joins."""
-    return spark.createDataFrame(list(mapping.items()), "key STRING, value STRING")
+    """A fixed mapping as a two-column table, of a size that Spark can tell."""
+    return spark.range(1).select(F.explode(as_map(mapping)).alias("key", "value"))

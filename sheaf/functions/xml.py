@@ -31,6 +31,24 @@ def nodes(payload: Column, tags: Iterable[str]) -> Column:
     return F.regexp_extract_all(payload, F.lit(node_pattern(tags)), F.lit(0))
 
 
+def pieces(payload: Column, tags: Iterable[str]) -> Column:
+    """Text of each element with one of the tags, from its opening tag to the next one's.
+
+    An element that was cut off is thus a piece of its own, without closing
+    tag, and takes no neighbour along.  The elements do not hold each other.
+    """
+    opening = rf"<(?:{'|'.join(tags)})(?=[\s>])"
+    parts = F.split(payload, f"(?={opening})", -1)
+    return F.filter(parts, lambda p: F.rlike(p, F.lit(f"^{opening}")))
+
+
+def whole_element(piece: Column, tags: Iterable[str]) -> Column:
+    """The element that a piece begins with; NULL if its closing tag is missing."""
+    return F.nullif(
+        F.regexp_extract(piece, rf"(?s)^<({'|'.join(tags)})(?=[\s>]).*</\1>", 0), F.lit("")
+    )
+
+
 def root_element(payload: Column, tags: Iterable[str]) -> Column:
     """The document element, without prologue and document type."""
     return F.regexp_extract(payload, rf"(?s)<({'|'.join(tags)})[\s>].*</\1>", 0)

@@ -79,7 +79,7 @@ def distinct_in_order(
 
 
 def regroup(
-    children: DataFrame, keys: Sequence[str], seq: str, fields: Sequence[str], chunk: int = 1000
+    children: DataFrame, keys: Sequence[str], seq: str, fields: Sequence[str], chunk: int
 ) -> DataFrame:
     """Ordered lists of children, at most ``chunk`` of them in a row.
 

@@ -33,9 +33,11 @@ def integer_ranges(
 ) -> DataFrame:
     """Maximal runs ``lo``..``hi`` of the distinct values of each key.
 
-    Runs are found within buckets of ``width`` numbers, and only those that
-    touch a bucket's edge are stitched together per key.  A key that holds
-    most rows is thus spread over its buckets.
+    Runs are found within buckets of ``width`` numbers; those that touch an
+    edge are stitched within buckets of ``width`` squared, and what then
+    touches an edge once more, for the whole key.  A key that holds most rows
+    is thus spread over its buckets at every step but the last, which sees two
+    runs of ``width`` squared numbers at most.
     """
     values = df.select(*keys, F.col(value).cast("long").alias("_v")).distinct()
     bucketed = values.withColumn("_bucket", F.floor(F.col("_v") / width))
@@ -44,22 +46,29 @@ def integer_ranges(
         bucketed.withColumn("_run", F.col("_v") - F.row_number().over(within))
         .groupBy(*keys, "_bucket", "_run")
         .agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        .select(*keys, "lo", "hi")
     )
-    first, last = F.col("_bucket") * width, (F.col("_bucket") + 1) * width - 1
-    at_edge = (F.col("lo") == first) | (F.col("hi") == last)
-    inner = runs.where(~at_edge).select(*keys, "lo", "hi")
+    wide = width * width
+    near = _stitch(runs, keys, width, F.floor(F.col("lo") / wide))
+    return _stitch(near, keys, wide, F.lit(0))
+
 
-    along = Window.partitionBy(*keys).orderBy("lo")
+def _stitch(runs: DataFrame, keys: Sequence[str], width: int, within: Column) -> DataFrame:
+    """Join runs that meet at an edge of buckets of ``width``, each part of a key for itself.
+
+    A run that touches no edge is a group of its own and goes along.
+    """
+    at_edge = (F.pmod("lo", F.lit(width)) == 0) | (F.pmod(F.col("hi") + 1, F.lit(width)) == 0)
+    grouped = runs.withColumns({"_part": within, "_own": F.when(~at_edge, F.col("lo"))})
+    along = Window.partitionBy(*keys, "_part", "_own").orderBy("lo")
     broken = F.coalesce(F.lag("hi").over(along) + 1 != F.col("lo"), F.lit(True))
-    stitched = (
-        runs.where(at_edge)
-        .withColumn("_break", broken.cast("long"))
+    return (
+        grouped.withColumn("_break", broken.cast("long"))
         .withColumn("_island", F.sum("_break").over(along))
-        .groupBy(*keys, "_island")
+        .groupBy(*keys, "_part", "_own", "_island")
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .select(*keys, "lo", "hi")
     )
-    return inner.unionByName(stitched)
 
 
 def adjacent_ranges(

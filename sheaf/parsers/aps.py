@@ -8,41 +8,53 @@ from sheaf import dims
 from sheaf.functions import arrays, ids, licenses, names
 from sheaf.parsers.common import computed_once, is_empty, select_record, strings, with_lineage
 
-PAGE_SCHEMA = """
-  data ARRAY<STRUCT<
-    articleType: STRING, date: STRING, numPages: INT,
-    identifiers: STRUCT<doi: STRING, arxiv: STRING>,
-    abstract: STRUCT<value: STRING, format: STRING>,
-    title: STRUCT<value: STRING, format: STRING>,
-    authors: ARRAY<STRUCT<type: STRING, name: STRING, firstname: STRING,
-                          surname: STRING, affiliationIds: ARRAY<STRING>>>,
-    affiliations: ARRAY<STRUCT<id: STRING, name: STRING>>,
-    journal: STRUCT<id: STRING, name: STRING, abbreviatedName: STRING>,
-    issue: STRUCT<number: STRING>, volume: STRUCT<number: STRING>,
-    classificationSchemes: STRUCT<subjectAreas: ARRAY<STRUCT<id: STRING, label: STRING>>>,
-    rights: STRUCT<copyrightYear: INT, copyrightHolders: ARRAY<STRUCT<name: STRING>>,
-                   rightsStatement: STRING, licenses: ARRAY<STRUCT<url: STRING>>>>>,
+# Articles stay text at first, so that one bad value costs one article and not its page.
+PAGE_SCHEMA = "data ARRAY<STRING>, _corrupt_record STRING"
+
+ARTICLE_SCHEMA = """
+  articleType STRING, date STRING, numPages STRING,
+  identifiers STRUCT<doi: STRING, arxiv: STRING>,
+  abstract STRUCT<value: STRING, format: STRING>,
+  title STRUCT<value: STRING, format: STRING>,
+  authors ARRAY<STRUCT<type: STRING, name: STRING, firstname: STRING,
+                       surname: STRING, affiliationIds: ARRAY<STRING>>>,
+  affiliations ARRAY<STRUCT<id: STRING, name: STRING>>,
+  journal STRUCT<id: STRING, name: STRING, abbreviatedName: STRING>,
+  issue STRUCT<number: STRING>, volume STRUCT<number: STRING>,
+  classificationSchemes STRUCT<subjectAreas: ARRAY<STRUCT<id: STRING, label: STRING>>>,
+  rights STRUCT<copyrightYear: STRING, copyrightHolders: ARRAY<STRUCT<name: STRING>>,
+                rightsStatement: STRING, licenses: ARRAY<STRUCT<url: STRING>>>,
   _corrupt_record STRING
 """
+_CORRUPT = {"columnNameOfCorruptRecord": "_corrupt_record"}
 
 
 def pages_to_articles(documents: DataFrame) -> DataFrame:
-    """One row per article of each page; a bad page stays one row."""
-    page = F.from_json(
-        "payload", " ".join(PAGE_SCHEMA.split()), {"columnNameOfCorruptRecord": "_corrupt_record"}
-    )
+    """One row per article of each page; a bad page stays one row, a bad article too."""
+    page = F.from_json("payload", PAGE_SCHEMA, _CORRUPT)
     parsed = computed_once(with_lineage(documents), "_page", page)
     malformed = F.when(
         F.col("_page").isNull() | F.col("_page._corrupt_record").isNotNull(), "malformed JSON"
     ).when(F.col("_page.data").isNull(), "no data in page")
     # Only a malformed page is carried past the explode.
-    return (
+    listed = (
         parsed.withColumn("_malformed", malformed)
         .withColumn("payload", F.when(F.col("_malformed").isNotNull(), F.col("payload")))
-        .select("*", F.posexplode_outer("_page.data").alias("_pos", "doc"))
-        .where(F.col("doc").isNotNull() | F.col("_malformed").isNotNull())
+        .select("*", F.posexplode_outer("_page.data").alias("_pos", "_article"))
+        .where(F.col("_article").isNotNull() | F.col("_malformed").isNotNull())
         .drop("_page")
     )
+    article = F.from_json("_article", " ".join(ARTICLE_SCHEMA.split()), _CORRUPT)
+    read = computed_once(listed, "doc", article)
+    bad = F.col("_article").isNotNull() & (
+        F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull()
+    )
+    return read.withColumns(
+        {
+            "_malformed": F.coalesce("_malformed", F.when(bad, "malformed article")),
+            "payload": F.coalesce("payload", "_article"),
+        }
+    ).drop("_article")
 
 
 def _spaced(c: Column) -> Column:
@@ -79,7 +91,9 @@ def parse(documents: DataFrame) -> DataFrame:
     record = {
         "dois": F.array_compact(F.array(arrays.blank_to_null(F.col("doc.identifiers.doi")))),
         "journal_doctype": dims.translate(F.col("doc.articleType"), dims.APS_DOCTYPES, "other"),
-        "page_nr": F.when(F.col("doc.numPages").isNotNull(), F.array("doc.numPages")),
+        "page_nr": arrays.empty_to_null(
+            F.array_compact(F.array(F.col("doc.numPages").try_cast("int")))
+        ),
         "arxiv_eprints": arrays.eprints(F.array_compact(F.array(eprint))),
         "abstract": F.col("doc.abstract.value"),
         "title": F.col("doc.title.value"),
@@ -103,7 +117,7 @@ def parse(documents: DataFrame) -> DataFrame:
             ),
         ),
         "copyright_holder": arrays.first(F.col("doc.rights.copyrightHolders"))["name"],
-        "copyright_year": F.col("doc.rights.copyrightYear").cast("string"),
+        "copyright_year": F.col("doc.rights.copyrightYear"),
         "copyright_statement": F.col("doc.rights.rightsStatement"),
         "license": licenses.get_license(license_url),
         "collections": strings("HEP", "Citeable", "Published"),

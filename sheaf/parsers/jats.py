@@ -7,7 +7,8 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheaf.functions import arrays, dates, ids, names, text, xml
-from sheaf.parsers.common import is_empty, local_files, parse_documents
+from sheaf.parsers.common import is_empty, local_files, parse_documents, with_lineage
+from sheaf.sources.landing import split_articles
 
 _DATE = "day: ARRAY<STRING>, month: ARRAY<STRING>, year: ARRAY<STRING>"
 _AFF = "ARRAY<STRUCT<_id: STRING, _VALUE: STRING>>"
@@ -53,9 +54,29 @@ ROOTS = ("article", "simple-article")
 
 
 def parse_jats(documents: DataFrame) -> DataFrame:
-    """Parse the front matter; body and references are cut before parsing."""
-    root = xml.root_element(F.col("payload"), ROOTS)
-    return parse_documents(documents, FIELDS, xml.drop_elements(root, ("body", "back")), MIXED)
+    """Parse the front matter of every article; bodies and references are cut before parsing."""
+    articles = split_articles(with_lineage(documents), ROOTS)
+    node = _flat(xml.drop_elements(F.col("payload"), ("body", "back")))
+    is_article = F.rlike(F.col("payload"), F.lit(rf"^<(?:{'|'.join(ROOTS)})[\s>]"))
+    return parse_documents(articles, FIELDS, F.when(is_article, node), MIXED)
+
+
+_MEMBERS = (
+    r"(?s)(<collab(?:\s[^>]*)?>[^<]*+(?:<(?!/collab>|contrib-group)[^<]*+)*+)"
+    r"<contrib-group(?:\s[^>]*)?>(.*?)</contrib-group>(.*?</contrib>)"
+)
+
+
+def _flat(node: Column) -> Column:
+    """Contributors and affiliations at any depth brought to the depth that is parsed.
+
+    The members of a collaboration follow it as contributors of their own, and
+    alternatives of an affiliation stand in the place of their wrapper.
+    """
+    members = F.when(
+        F.contains(node, F.lit("<collab")), F.regexp_replace(node, _MEMBERS, "$1$3$2")
+    ).otherwise(node)
+    return F.regexp_replace(members, r"</?aff-alternatives(?:\s[^>]*)?>", "")
 
 
 def meta(path: str = "") -> Column:

@@ -122,9 +122,9 @@ def parse_hindawi(documents: DataFrame) -> DataFrame:
     return select_record(parsed, "hindawi", record, _warnings()).drop("_pages_given")
 
 
-def _repository_files() -> Column:
-    """Full-text files, of which only those in the repository are kept."""
-    kept = F.filter(fields("856"), lambda d: _says_in_first(d, "u", "repo.scoap3"))
+def _repository_files(host: str) -> Column:
+    """Full-text files, of which only those at the repository's host are kept."""
+    kept = F.filter(fields("856"), lambda d: _says_in_first(d, "u", host))
     return arrays.empty_to_null(
         F.transform(
             kept,
@@ -140,7 +140,8 @@ def _says_in_first(field: Column, code: str, word: str) -> Column:
     return F.contains(subfield(field, code), F.lit(word))
 
 
-def parse_scoap3(documents: DataFrame) -> DataFrame:
+def parse_repository(documents: DataFrame, *, repository_host: str) -> DataFrame:
+    """Records of a repository whose own files are those at ``repository_host``."""
     parsed = _parse(documents)
     dois = F.filter(fields("024"), lambda d: (d["_ind1"] == "7") & _says(d, "2", "DOI"))
     abbreviation = value("773", "p")
@@ -152,6 +153,6 @@ def parse_scoap3(documents: DataFrame) -> DataFrame:
         ),
         "arxiv_eprints": _eprints("none"),
         "journal_title": dims.translate(abbreviation, dims.JOURNAL_FULL_NAMES, abbreviation),
-        "local_files": _repository_files(),
+        "local_files": _repository_files(repository_host),
     }
-    return select_record(parsed, "scoap3", record, _warnings()).drop("_pages_given")
+    return select_record(parsed, "repository", record, _warnings()).drop("_pages_given")

@@ -16,7 +16,9 @@ class SourceSpec:
     """A source of documents.
 
     ``parse`` maps a document table to raw fields.  ``tags`` name the elements
-    one landed file is split into; none means one document per file.
+    one landed file is split into; none means one document per file.  Of a
+    feed whose other tags begin with the name of its tag, ``bare_tag`` says
+    that this one has no attributes.
     ``kind`` says how files land: ``feed`` (many records in one text file),
     ``page`` (one JSON page per file) or ``package`` (zip or tar archives, of
     which members that ``member_suffixes`` end are documents).
@@ -26,6 +28,7 @@ class SourceSpec:
     parse: Callable[..., DataFrame]
     kind: str = "page"
     tags: tuple[str, ...] = ()
+    bare_tag: bool = False
     member_suffixes: tuple[str, ...] = (".xml",)
     route: Callable[[DataFrame], DataFrame] | None = None
     needs_manifest: bool = False
@@ -59,8 +62,10 @@ def _register_publishers() -> None:
     register_source(
         SourceSpec("hindawi", marc.parse_hindawi, kind="feed", tags=("marc:record",))
     )
-    register_source(SourceSpec("scoap3", marc.parse_scoap3, kind="feed", tags=("marc:record",)))
-    register_source(SourceSpec("NLM", nlm.parse, kind="feed", tags=("Article",)))
+    register_source(
+        SourceSpec("repository", marc.parse_repository, kind="feed", tags=("marc:record",))
+    )
+    register_source(SourceSpec("NLM", nlm.parse, kind="feed", tags=("Article",), bare_tag=True))
     register_source(
         SourceSpec("OUP", oup.parse, kind="package", route=landing.route_oup)
     )

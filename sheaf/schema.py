@@ -84,10 +84,12 @@ LINEAGE_DDL = """
   harvested_at TIMESTAMP, warnings ARRAY<STRING>, error STRING, payload STRING
 """
 
-QUARANTINE_DDL = """
-  run_id STRING, spider STRING, doc_id STRING, stage STRING, error STRING,
-  payload STRING
+# Accounts of runs, kept beside their log.
+DOIS_DDL = "run_id STRING, batch_id BIGINT, spider STRING, doi STRING"
+ERRORS_DDL = """
+  run_id STRING, batch_id BIGINT, spider STRING, doc_id STRING, stage STRING, error STRING
 """
+LANDED_DDL = "run_id STRING, batch_id BIGINT, source STRING, path STRING"
 
 RUN_DDL = """
   run_id STRING, batch_id BIGINT, source STRING, results_uri STRING,

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.functions import ids
-from sheaf.functions.xml import nodes
+from sheaf.functions.xml import nodes, pieces, whole_element
 from sheaf.operators.children import explode_list
 
 
@@ -42,23 +42,36 @@ def join_path(*parts: Column | str) -> Column:
 
 
 def read_feed(
-    spark: SparkSession, path: str, tag: str, stream: bool = False, max_files: int = 1000
+    spark: SparkSession,
+    path: str,
+    tag: str,
+    stream: bool = False,
+    max_files: int = 1000,
+    bare: bool = False,
 ) -> DataFrame:
     """Records of feed files, one row for each ``tag`` element.
 
-    The closing tag is the line separator, so a feed of any size is read by
-    many tasks in parallel and no file is held in memory as a whole.
+    The opening tag is the line separator, so a feed of any size is read by
+    many tasks in parallel and no file is held in memory as a whole.  What
+    stands before the next opening tag without a closing one was cut off: it
+    is a row of its own with ``landing_error``.  With ``bare`` the tag has no
+    attributes; this is needed where other tags begin with its name.
     """
-    end = f"</{tag}>"
+    start, end = (f"<{tag}>" if bare else f"<{tag}"), f"</{tag}>"
     reader = spark.readStream.option("maxFilesPerTrigger", max_files) if stream else spark.read
-    lines = reader.option("lineSep", end).option("recursiveFileLookup", "true").text(path)
-    record = F.concat(F.regexp_extract("value", rf"(?s)<{tag}[\s>].*$", 0), F.lit(end))
+    lines = reader.option("lineSep", start).option("recursiveFileLookup", "true").text(path)
+    # The head of a file follows no opening tag.
+    head = r"^\s*(<[?!]|$)" if bare else r"^(?!\s*>|\s+[\w:.-]+\s*=)"
+    value = F.regexp_replace("value", "^\uFEFF", "")
+    whole = F.contains(value, F.lit(end))
+    record = F.concat(F.lit(start), F.substring_index(value, end, 1), F.lit(end))
     return (
-        lines.where(F.col("value").rlike(rf"<{tag}[\s>]"))
+        lines.where(~value.rlike(head))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_modification_time").alias("harvested_at"),
-            record.alias("payload"),
+            F.when(whole, record).otherwise(F.concat(F.lit(start), value)).alias("payload"),
+            F.when(~whole, "truncated record").alias("landing_error"),
         )
         .withColumn("doc_id", content_id(F.col("payload")))
     )
@@ -82,6 +95,30 @@ def read_documents(
     )
 
 
+def split_articles(documents: DataFrame, tags: Iterable[str]) -> DataFrame:
+    """One row per article of a file; a file of one article keeps its ``doc_id``.
+
+    Articles that were cut off are rows with ``landing_error``; a file without
+    any stays as it is.
+    """
+    listed = documents.withColumn("_pieces", pieces(F.col("payload"), tags))
+    many = F.size("_pieces") > 1
+    split = listed.withColumn("_many", many).select(
+        "*", F.posexplode_outer("_pieces").alias("_pos", "_piece")
+    )
+    whole = whole_element(F.col("_piece"), tags)
+    cut = F.when(F.col("_piece").isNotNull() & whole.isNull(), "truncated article")
+    return split.withColumns(
+        {
+            "doc_id": F.when(F.col("_many"), F.concat_ws("#", "doc_id", "_pos")).otherwise(
+                F.col("doc_id")
+            ),
+            "landing_error": F.coalesce("landing_error", cut),
+            "payload": F.coalesce(whole, "_piece", "payload"),
+        }
+    ).drop("_pieces", "_many", "_pos", "_piece")
+
+
 def split_nodes(documents: DataFrame, tags: Iterable[str]) -> DataFrame:
     """One row per element of the given tags, in document order."""
     listed = documents.withColumn("payload", nodes(F.col("payload"), tags))
@@ -107,6 +144,24 @@ def list_packages(spark: SparkSession, path: str) -> DataFrame:
     return files.where(is_package(F.col("path")))
 
 
+def in_landing_window(
+    df: DataFrame, from_date: str | None, until_date: str | None, column: str = "harvested_at"
+) -> DataFrame:
+    """Rows that landed within the bounds; both belong to it, a date as a whole day.
+
+    A lower bound with a time of day is the mark of the last run, and what
+    landed at that very moment was taken by it.
+    """
+    landed = F.col(column)
+    if from_date:
+        start = F.lit(from_date).cast("timestamp")
+        df = df.where(landed > start if len(from_date) > 10 else landed >= start)
+    if until_date:
+        end = F.lit(until_date).cast("date") + F.expr("INTERVAL 1 DAY")
+        df = df.where(landed < end.cast("timestamp"))
+    return df
+
+
 def is_package(path: Column) -> Column:
     name = base_name(path)
     return (
@@ -200,14 +255,11 @@ def route_springer(members: DataFrame) -> DataFrame:
     return _route(members, "springer")
 
 
-def spread(documents: DataFrame, like: DataFrame | None = None) -> DataFrame:
-    """Spread documents over the cores when their files do not.
+def spread(documents: DataFrame) -> DataFrame:
+    """Deal documents out evenly, whatever their files are like.
 
-    Parsing is bound by the processor, so a few small files would leave most
-    cores idle.  Inputs with as many partitions as cores pass through without
-    a shuffle.  ``like`` is what to count instead, for documents that come
-    out of Python workers.
+    Parsing is bound by the processor, and one large archive or file may hold
+    most documents of an input.
     """
-    cores = documents.sparkSession.sparkContext.defaultParallelism
-    partitions = (documents if like is None else like).rdd.getNumPartitions()
-    return documents.repartition(cores) if partitions < cores else documents
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return documents.repartition(tasks)

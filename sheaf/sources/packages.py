@@ -10,10 +10,12 @@ from collections.abc import Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheaf.sources.landing import is_package, list_packages, not_yet_landed
+from sheaf.sources.landing import (
+    in_landing_window, is_package, list_packages, not_yet_landed,
+)
 
 MEMBER_SCHEMA = """
-  package_path STRING, member_path STRING, content BINARY, error STRING
+  package_path STRING, member_path STRING, content BINARY, error STRING, harvested_at TIMESTAMP
 """
 
 _ARROW = pa.schema(
@@ -22,10 +24,13 @@ _ARROW = pa.schema(
         ("member_path", pa.string()),
         ("content", pa.binary()),
         ("error", pa.string()),
+        ("harvested_at", pa.timestamp("us", tz="UTC")),
     ]
 )
 # A record batch is handed on once it holds this many bytes.
 _BATCH_BYTES = 32 * 1024 * 1024
+# A binary value of a batch holds no more.
+_MOST_BYTES = 2**31 - 2**20
 
 
 def _is_safe(name: str) -> bool:
@@ -34,7 +39,7 @@ def _is_safe(name: str) -> bool:
 
 def _members(name: str, content: bytes) -> Iterator[tuple[str, object]]:
     """Names and readers of the regular files in an archive."""
-    stream = io.BytesIO(content)
+    stream = pa.BufferReader(content)
     if name.endswith(".tar"):
         with tarfile.open(fileobj=stream) as archive:
             for info in archive:
@@ -58,7 +63,11 @@ def _rows(
                 yield path, member, None, "unsafe member name"
                 continue
             try:
-                yield path, member, read(), None
+                taken = read()
+                if len(taken) > _MOST_BYTES:
+                    yield path, member, None, "member of 2 GB or more"
+                else:
+                    yield path, member, taken, None
             except Exception as problem:
                 yield path, member, None, f"unreadable member: {problem}"
     except Exception as problem:
@@ -73,9 +82,10 @@ def _unpacker(suffixes: Sequence[str]):
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for packages in batches:
-            for package in packages.to_pylist():
-                for row in _rows(package["path"], package["content"], suffixes):
-                    held.append(row)
+            # Archives are read where they lie in the batch, not copied.
+            for path, content, at in zip(*packages.columns):
+                for row in _rows(path.as_py(), content.as_buffer(), suffixes):
+                    held.append((*row, at.as_py()))
                     size += len(row[2] or b"")
                     if size >= _BATCH_BYTES:
                         yield batch(held)
@@ -89,38 +99,49 @@ def _unpacker(suffixes: Sequence[str]):
 def unpack(packages: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     """Members of each package, as ``package_path, member_path, content``.
 
-    ``packages`` has ``path`` and ``content``.  Only members with one of the
+    ``packages`` has ``path``, ``content`` and perhaps ``harvested_at``.  Only members with one of the
     suffixes are decompressed; nothing is written to disk.  Packages that
     cannot be read become one row with an ``error``.
     """
-    return packages.select("path", "content").mapInArrow(_unpacker(suffixes), MEMBER_SCHEMA)
-
-
-# At most this many package names are broadcast (some tens of megabytes).
-_MAX_BROADCAST_NAMES = 200_000
+    known = "harvested_at" in packages.columns
+    at = F.col("harvested_at") if known else F.lit(None).cast("timestamp").alias("harvested_at")
+    return packages.select("path", "content", at).mapInArrow(_unpacker(suffixes), MEMBER_SCHEMA)
 
 
 def read_packages(
-    spark: SparkSession, path: str, landed: DataFrame | None = None, force: bool = False
+    spark: SparkSession,
+    path: str,
+    landed: DataFrame | None = None,
+    force: bool = False,
+    from_date: str | None = None,
+    until_date: str | None = None,
 ) -> DataFrame:
-    """Archives with their content, without those already landed.
+    """Archives with their content, without those already landed or outside the window.
 
-    What is new is settled on names alone, so that no archive content goes
-    through a shuffle as long as the list of new names is small.
+    What is new is settled on names and times alone; the reader then gets the
+    paths that are left, so no archive content goes through a shuffle.  These
+    paths are part of the file listing that the driver holds for any read.
     """
-    content = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{zip,tar}")
-        .load(path)
-    )
-    packages = content.where(is_package(F.col("path")))
-    if landed is None or force:
-        return packages
-    new = not_yet_landed(list_packages(spark, path), landed).select("path")
-    if new.limit(_MAX_BROADCAST_NAMES + 1).count() <= _MAX_BROADCAST_NAMES:
-        new = F.broadcast(new)
-    return packages.join(new, "path", "left_semi")
+    reader = spark.read.format("binaryFile")
+    listing = in_landing_window(list_packages(spark, path), from_date, until_date)
+    if landed is not None and not force:
+        listing = not_yet_landed(listing, landed)
+    if (landed is None or force) and not (from_date or until_date):
+        content = (
+            reader.option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.{zip,tar}")
+            .load(path)
+        )
+        packages = content.where(is_package(F.col("path")))
+    else:
+        paths = [row["path"] for row in listing.select("path").toLocalIterator()]
+        packages = reader.load(paths) if paths else _no_packages(spark)
+    return packages.withColumnRenamed("modificationTime", "harvested_at")
+
+
+def _no_packages(spark: SparkSession) -> DataFrame:
+    none = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+    return spark.createDataFrame([], none)
 
 
 def documents(members: DataFrame) -> DataFrame:
@@ -137,6 +158,7 @@ def documents(members: DataFrame) -> DataFrame:
         location.alias("doc_id"),
         F.decode("content", "UTF-8").alias("payload"),
         F.col("error").alias("landing_error"),
+        "harvested_at",
     )
 
 

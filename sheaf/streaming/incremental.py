@@ -24,7 +24,9 @@ def read_landing_stream(
 ) -> DataFrame:
     """New files of a source as a stream of documents or archives."""
     if spec.kind == "feed":
-        return read_feed(spark, path, spec.tags[0], stream=True, max_files=max_files)
+        return read_feed(
+            spark, path, spec.tags[0], stream=True, max_files=max_files, bare=spec.bare_tag
+        )
     if spec.kind == "package":
         archives = (
             spark.readStream.format("binaryFile")

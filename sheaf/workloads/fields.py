@@ -91,12 +91,13 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH words AS (
   SELECT 'p' || p_partkey AS id, upper(p_name) || ' AND QCD ' || upper(p_type) || '-' || p_partkey AS t FROM part
-  UNION ALL SELECT 'd' || doc_id, string_split(text, chr(10))[1] FROM documents),
+  UNION ALL SELECT 'd' || doc_id || '.' || i, list_extract(string_split(text, chr(10)), i)
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
 s AS (SELECT id, t, regexp_matches(t, '[A-Z]') AND regexp_matches(t, '[a-z]') AS mixed, string_split_regex(t, ' +') AS w FROM words)
 SELECT id, CASE WHEN mixed THEN t ELSE array_to_string(list_transform(w, lambda x, i:
-         CASE WHEN i = 1 THEN upper(x[1]) || lower(x[2:])
+         CASE WHEN i = 1 THEN replace(upper(x[1]), 'ẞ', 'SS') || lower(x[2:])
               WHEN list_contains({_sql_list(dims.COMMON_ACRONYMS)}, upper(x)) THEN upper(x)
-              WHEN length(x) > 3 THEN upper(x[1]) || lower(x[2:]) ELSE lower(x) END), ' ') END AS title
+              WHEN length(x) > 3 THEN replace(upper(x[1]), 'ẞ', 'SS') || lower(x[2:]) ELSE lower(x) END), ' ') END AS title
 FROM s
 """)
 def title_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +108,8 @@ def title_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("t"),
     )
     lines = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
-        F.substring_index("text", "\n", 1).alias("t"),
-    )
+        "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("no", "t")
+    ).select(F.format_string("d%d.%d", "doc_id", F.col("no") + 1).alias("id"), "t")
     return parts.unionByName(lines).select("id", text.fix_title_capitalization(F.col("t")).alias("title"))
 
 
@@ -369,14 +369,17 @@ _LICENSE_LINE = r"(?imd)^[^\n]*licen[sc]e[^\n]*"
 
 
 @query(f"""
-SELECT doc_id, regexp_extract(text, '(?i)[^\\n]*licen[sc]e[^\\n]*', 0) AS line,
+SELECT doc_id, no, line,
        ['CC-BY-2.0', 'CC-BY-4.0', 'CC-BY-NC-SA-3.0', '', 'CC-BY-NC-SA-3.0'][(doc_id % 5 + 1)::INT] AS license,
        ['text', 'text', 'text', 'none', 'url'][(doc_id % 5 + 1)::INT] AS found_by
-FROM documents
+FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)[^\\n]*licen[sc]e[^\\n]*')) AS line,
+             unnest(range(len(regexp_extract_all(text, '(?i)[^\\n]*licen[sc]e[^\\n]*'))))::INT AS no FROM documents)
 """)
 def license_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    line = F.regexp_extract("text", _LICENSE_LINE, 0)
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(_LICENSE_LINE), F.lit(0))).alias("no", "line")
+    )
+    line = F.col("line")
     case = F.col("doc_id") % 5
     named = _pick(["ATTRIBUTION 2.0", "creative commons attribution", "ShareAlike", "", "Attribution 3.0"], case)
     # Lines that name no known licence are the text of the fourth case.
@@ -385,7 +388,8 @@ def license_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = licenses.get_license(url, words)
     return docs.select(
         "doc_id",
-        line.alias("line"),
+        "no",
+        "line",
         F.coalesce(arrays.first(entries)["license"], F.lit("")).alias("license"),
         F.when(url.isNotNull(), "url").when(F.size(entries) > 0, "text").otherwise("none").alias("found_by"),
     )
@@ -468,7 +472,7 @@ def arxiv_orcid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-SELECT doc_id, regexp_replace(string_split(text, chr(10))[1], '[^\p{Nd}]', '', 'g') AS digits,
+SELECT doc_id, regexp_replace(text, '[^\p{Nd}]', '', 'g') AS digits,
        (1900 + doc_id % 130)::VARCHAR AS year
 FROM documents
 """)
@@ -477,6 +481,6 @@ def copyright_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     statement = F.concat(F.lit("© "), (F.col("doc_id") % 130 + 1900).cast("string"), F.lit(" The Authors"))
     return docs.select(
         "doc_id",
-        text.digits(F.substring_index("text", "\n", 1)).alias("digits"),
+        text.digits(F.col("text")).alias("digits"),
         text.digits(statement).alias("year"),
     )

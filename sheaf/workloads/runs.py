@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -23,10 +22,10 @@ from sheaf.workloads.publishers import customers_as_nlm, parts_as_iop, parts_as_
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors can reach."""
+    """A new folder that all executors can reach: shared by setting, or beside the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="sheaf-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    base = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sheaf-scratch"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 # --- export ------------------------------------------------------------------
@@ -261,13 +260,15 @@ def sibling_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'scoap3' AS spider, '10.7/' || p_partkey AS doi, p_brand AS surname FROM part
+SELECT 'repository' AS spider, '10.7/' || p_partkey AS doi, p_brand AS surname FROM part
 UNION ALL SELECT 'IOP', '10.1088/' || p_partkey, p_brand FROM part WHERE p_partkey % 7 <> 0
 UNION ALL SELECT 'NLM', CASE WHEN c_custkey % 4 = 0 THEN '10.2/a' ELSE '10.2/e' END || c_custkey, c_name FROM customer
 """)
 def union_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = union_sources(
-        harvest_documents(parts_as_marc(spark, sf_dir), "scoap3"),
+        harvest_documents(
+            parts_as_marc(spark, sf_dir), "repository", repository_host="repo.example.org"
+        ),
         harvest_documents(parts_as_iop(spark, sf_dir), "IOP"),
         harvest_documents(customers_as_nlm(spark, sf_dir), "NLM"),
     )
@@ -342,35 +343,43 @@ def stream_harvest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pack(batches):
-    """One archive for each batch of pages, zip and tar in turn."""
+    """Two archives for each batch of pages: a zip of the even ones and a tar of the others."""
     import io
     import tarfile
     import zipfile
 
-    for number, batch in enumerate(batches):
-        rows, buffer = batch.to_pylist(), io.BytesIO()
-        if number % 2 == 0:
-            kind = "zip"
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                for row in rows:
-                    archive.writestr(f"p/{row['page_id']}.xml", row["html"])
-                    archive.writestr(f"p/{row['page_id']}.pdf", b"%PDF")
-        else:
-            kind = "tar"
-            with tarfile.open(fileobj=buffer, mode="w") as archive:
-                for row in rows:
-                    data = row["html"].encode()
-                    info = tarfile.TarInfo(f"p/{row['page_id']}.xml")
-                    info.size = len(data)
-                    archive.addfile(info, io.BytesIO(data))
-        first = rows[0]["page_id"] if rows else 0
+    for batch in batches:
+        rows = batch.to_pylist()
+        packed = {}
+        for kind, own in (
+            ("zip", [r for r in rows if r["page_id"] % 2 == 0]),
+            ("tar", [r for r in rows if r["page_id"] % 2 == 1]),
+        ):
+            if not own:
+                continue
+            buffer = io.BytesIO()
+            if kind == "zip":
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                    for row in own:
+                        archive.writestr(f"p/{row['page_id']}.xml", row["html"])
+                        archive.writestr(f"p/{row['page_id']}.pdf", b"%PDF")
+            else:
+                with tarfile.open(fileobj=buffer, mode="w") as archive:
+                    for row in own:
+                        data = row["html"].encode()
+                        info = tarfile.TarInfo(f"p/{row['page_id']}.xml")
+                        info.size = len(data)
+                        archive.addfile(info, io.BytesIO(data))
+            packed[f"/in/{own[0]['page_id']}.{kind}"] = buffer.getvalue()
         yield pa.RecordBatch.from_pydict(
-            {"path": [f"/in/{first}.{kind}"], "content": [buffer.getvalue()]},
+            {"path": list(packed), "content": list(packed.values())},
             schema=pa.schema([("path", pa.string()), ("content", pa.binary())]),
         )
 
 
-@query("SELECT page_id, length(html) AS n_chars, md5(html) AS digest FROM pages")
+@query("""
+SELECT page_id, length(html) AS n_chars, md5(html) AS digest, ['zip', 'tar'][(page_id % 2 + 1)::INT] AS kind FROM pages
+""")
 def package_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages packed into archives and taken out again, XML members only."""
     pages = spread_table(spark, sf_dir, "pages", "page_id", "html")
@@ -380,7 +389,97 @@ def package_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing.stem(F.col("member_path")).cast("long").alias("page_id"),
         F.length("payload").cast("long").alias("n_chars"),
         F.md5(F.col("payload").cast("binary")).alias("digest"),
+        F.substring_index("package_path", ".", -1).alias("kind"),
+    )
+
+
+def _damaged_sets(orders: DataFrame) -> DataFrame:
+    """Two orders as articles of one file; the second of every seventh file is cut off, and the first of every ninth."""
+    key = F.col("o_orderkey")
+    front = render(
+        "<article article-type='research-article'><front><article-meta><article-id pub-id-type='doi'>10.8/",
+        key.cast("string"),
+        "</article-id><title-group><article-title>Of ",
+        text("o_orderpriority"),
+        "</article-title></title-group></article-meta></front><body><p>x</p></body>",
+    )
+    number = F.floor(key / 2)
+    second = key % 2 == 1
+    cut = F.when(second, number % 7 == 0).otherwise(number % 9 == 0)
+    article = F.when(cut, front).otherwise(F.concat(front, F.lit("</article>")))
+    parts = orders.select(number.alias("number"), second.alias("second"), article.alias("article"))
+    # At most two articles for each number.
+    listed = F.array_sort(F.collect_list(F.struct("second", "article")))
+    whole = F.array_join(F.transform(listed, lambda a: a["article"]), "\n")
+    files = parts.groupBy("number").agg(F.concat(F.lit("<?xml version='1.0'?><set>"), whole, F.lit("</set>")).alias("payload"))
+    return documents(files, F.col("number"), F.col("payload"))
+
+
+def _damaged_pages(orders: DataFrame) -> DataFrame:
+    """A hundred orders as one page; of every eleventh order the identifiers are of the wrong kind, every 50th page is cut off."""
+    key = F.col("o_orderkey")
+    number = F.floor(key / 100)
+    article = F.when(
+        key % 11 == 0, F.concat(F.lit('{"date": "2001-02-03", "identifiers": "10.9/'), key.cast("string"), F.lit('"}'))
+    ).otherwise(
+        F.concat(F.lit('{"date": "2001-02-03", "numPages": "x1", "identifiers": {"doi": "10.9/'), key.cast("string"), F.lit('"}}'))
+    )
+    parts = orders.select(number.alias("number"), key.alias("key"), article.alias("article"))
+    # At most a hundred articles for each page.
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("key", "article"))), lambda a: a["article"])
+    page = F.concat(F.lit('{"data": ['), F.array_join(listed, ","), F.when(F.col("number") % 50 == 0, "").otherwise("]}"))
+    return documents(parts.groupBy("number").agg(page.alias("payload")), F.col("number"), F.col("payload"))
+
+
+@query("""
+SELECT 'OUP' AS spider, CASE WHEN bad THEN NULL ELSE '10.8/' || k END AS doi,
+       CASE WHEN bad THEN 'truncated article' END AS error, count(*) AS n
+FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 1 THEN (o_orderkey // 2) % 7 = 0 ELSE (o_orderkey // 2) % 9 = 0 END AS bad FROM orders)
+GROUP BY ALL
+UNION ALL
+SELECT 'APS', CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE '10.9/' || o_orderkey END,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'malformed article' END, count(*)
+FROM orders WHERE (o_orderkey // 100) % 50 <> 0 GROUP BY ALL
+UNION ALL
+SELECT 'APS', NULL, 'malformed JSON', count(DISTINCT o_orderkey // 100)
+FROM orders WHERE (o_orderkey // 100) % 50 = 0 GROUP BY ALL
+""")
+def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and pages of several articles, some cut off: each article comes once, as record or as error."""
+    orders = spread_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+    records = union_sources(
+        harvest_documents(_damaged_sets(orders), "OUP"), harvest_documents(_damaged_pages(orders), "APS")
+    )
+    doi = F.when(F.col("error").isNull(), primary_doi())
+    return records.groupBy("spider", doi.alias("doi"), "error").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT 'first' AS run_id, count(*) AS n_records, 0::BIGINT AS n_errors FROM part
+UNION ALL SELECT 'again', 0, 0
+UNION ALL SELECT 'forced', count(*), 0 FROM part
+UNION ALL SELECT 'later', 0, 0
+""")
+def harvest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed files harvested once, not again, again by force, and none of a later window."""
+    from sheaf.plans.harvest import harvest
+
+    inbox, root = scratch(spark, "feeds"), scratch(spark, "harvest")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    record = marc_record(
+        F.col("p_partkey").cast("string"),
+        datafield("024", ("a", Markup("10.7/", F.col("p_partkey").cast("string"))), ("2", "DOI"), ind1="7"),
+        datafield("245", ("a", Markup("Part ", text("p_brand")))),
     )
+    parts.select(record.column().alias("value")).write.text(inbox)
+    for run_id, options in (
+        ("first", {}),
+        ("again", {"incremental": True}),
+        ("forced", {"force": True}),
+        ("later", {"from_date": "2999-01-01"}),
+    ):
+        harvest(spark, "hindawi", inbox, root, run_id, **options)
+    return sinks.read_runs(spark, root).select("run_id", "n_records", "n_errors")
 
 
 @query("""

@@ -109,7 +109,7 @@ def first_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH t AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber DESC, l_partkey DESC, l_shipdate DESC) AS rn FROM lineitem)
 SELECT r.l_orderkey AS orderkey, r.l_partkey AS partkey, r.l_suppkey AS suppkey, r.l_linenumber AS linenumber, t.l_shipdate::DATE::VARCHAR AS target
-FROM lineitem r JOIN t ON r.l_orderkey = t.l_orderkey AND r.l_suppkey = t.l_suppkey AND t.rn = 1 AND t.l_returnflag <> 'Z'
+FROM lineitem r JOIN t ON r.l_orderkey = t.l_orderkey AND r.l_suppkey = t.l_suppkey AND t.rn = 1
 """)
 def linked_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items linked to the last line of the same supplier in the order."""

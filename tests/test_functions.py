@@ -53,35 +53,35 @@ def test_split_fullname(evaluate):
         row = evaluate([value], names.split_fullname(F.col(X), switch))[0]
         return row["surname"], row["given_names"]
 
-    assert split("Doe, John Magic") == ("Doe", "John Magic")
-    assert split("Doe Boe, John Magic") == ("Doe Boe", "John Magic")
-    assert split("Doe Boe John Magic", switch=True) == ("Doe", "Boe John Magic")
-    assert split("John Magic Doe") == ("Doe", "John Magic")
-    assert split("John Magic Doe Boe") == ("Boe", "John Magic Doe")
-    assert split("John Magic, Doe Boe", switch=True) == ("Doe Boe", "John Magic")
+    assert split("Ruud, Tove Linnea") == ("Ruud", "Tove Linnea")
+    assert split("Ruud Berg, Tove Linnea") == ("Ruud Berg", "Tove Linnea")
+    assert split("Ruud Berg Tove Linnea", switch=True) == ("Ruud", "Berg Tove Linnea")
+    assert split("Tove Linnea Ruud") == ("Ruud", "Tove Linnea")
+    assert split("Tove Linnea Ruud Berg") == ("Berg", "Tove Linnea Ruud")
+    assert split("Tove Linnea, Ruud Berg", switch=True) == ("Ruud Berg", "Tove Linnea")
     assert split("") == ("", "")
     assert split(None) == ("", "")
 
 
 def test_collapse_initials(evaluate):
-    given = ["F. M. Lastname", "T.-A. B. C", "None"]
-    assert evaluate(given, names.collapse_initials(F.col(X))) == ["F.M. Lastname", "T.A.B. C", "None"]
+    given = ["K. P. Virtanen", "T.-A. B. C", "None"]
+    assert evaluate(given, names.collapse_initials(F.col(X))) == ["K.P. Virtanen", "T.A.B. C", "None"]
 
 
 def test_domain_and_numbers(evaluate):
-    assert evaluate(["http://www.example.com/0351/content"], urls.parse_domain(F.col(X))) == [
+    assert evaluate(["http://www.example.com/77/page"], urls.parse_domain(F.col(X))) == [
         "http://www.example.com/"
     ]
-    assert evaluate(["154 numbers", "no numbers"], text.has_numbers(F.col(X))) == [True, False]
+    assert evaluate(["27 sheets", "no sheets"], text.has_numbers(F.col(X))) == [True, False]
 
 
 def test_ranges(evaluate):
     vectors = {
-        "1981,1982,1983": "1981-1983",
-        "1981,1982,1985": "1981-1982, 1985",
-        "1981,1989,1995": "1981, 1989, 1995",
-        "1981,1982,1989,2015,2016": "1981-1982, 1989, 2015-2016",
-        "500,501,600": "500-501, 600",
+        "11,12,13": "11-13",
+        "11,12,15": "11-12, 15",
+        "4,19,25": "4, 19, 25",
+        "4,5,19,77,78": "4-5, 19, 77-78",
+        "90,91,100": "90-91, 100",
         "9,1,2,1": "9, 1-2, 1",
     }
     got = evaluate(vectors, range_as_string(F.split(F.col(X), ",")))
@@ -89,12 +89,12 @@ def test_ranges(evaluate):
 
 
 def test_collaboration(evaluate):
-    given = [" Jieci Wang for the Planck Collaboration ", " Jieci Wang for the development of some thing ", "The ATLAS collaborations"]
+    given = [" Mika Salo for the Kestrel Collaboration ", " Mika Salo for the development of ovens ", "The HERON collaborations"]
     rows = evaluate(given, text.collaboration_and_author(F.col(X)))
     assert [(r["collaboration"], r["author"]) for r in rows] == [
-        ("Planck", "Jieci Wang"),
+        ("Kestrel", "Mika Salo"),
         (given[1], None),
-        ("ATLAS", None),
+        ("HERON", None),
     ]
 
 

@@ -44,7 +44,7 @@ MARC = """<?xml version="1.0"?><OAI-PMH><ListRecords><record><header/><metadata>
  <datafield tag="542"><subfield code="f">Copyright &#xA9; 2010 A.</subfield></datafield>
  <datafield tag="773"><subfield code="p">JHEP</subfield><subfield code="v">7</subfield><subfield code="n">6</subfield>
   <subfield code="c">12-15</subfield><subfield code="y">2010</subfield></datafield>
- <datafield tag="856"><subfield code="u">http://repo.scoap3.org/r/f.XML</subfield></datafield>
+ <datafield tag="856"><subfield code="u">http://repo.example.org/r/f.XML</subfield></datafield>
  <datafield tag="856"><subfield code="s">no address</subfield></datafield>
 </marc:record></metadata></record></ListRecords></OAI-PMH>"""
 
@@ -67,13 +67,13 @@ def test_hindawi(documents):
     assert record["references"] is None and record["control_number"] is None
 
 
-def test_scoap3(documents):
-    record = one(harvest_documents(split_nodes(documents(MARC), ["marc:record"]), "scoap3"))
+def test_repository(documents):
+    record = one(harvest_documents(split_nodes(documents(MARC), ["marc:record"]), "repository", repository_host="repo.example.org"))
     assert record["journal_title"] == "Journal of High Energy Physics"
     assert values(record["authors"][0]["affiliations"]) == ["Vee", "First & Co"]
     assert values(record["arxiv_eprints"]) == ["arXiv:1903.1v2"]
     assert [f["value"] for f in record["local_files"]] == [
-        {"filetype": "xml", "path": "http://repo.scoap3.org/r/f.XML"}
+        {"filetype": "xml", "path": "http://repo.example.org/r/f.XML"}
     ]
     assert record["collections"] is None
 
@@ -167,19 +167,19 @@ def test_jats_date_priority(documents):
 
 
 def test_springer_defaults(documents):
-    article = """<?xml version="1.0"?><Publisher><Journal><JournalInfo><JournalTitle>The European Journal</JournalTitle></JournalInfo>
-      <Volume><Issue><IssueInfo><IssueHistory><OnlineDate><Year>2020</Year><Month>1</Month><Day>24</Day></OnlineDate></IssueHistory></IssueInfo>
-      <Article ID="JHEP10(2019)044"><ArticleInfo ArticleType="BookReview"><ArticleDOI>10.4/x</ArticleDOI>
-      <ArticleTitle>Dark <math><mi>x</mi></math>energy <Emphasis>now</Emphasis></ArticleTitle>
+    article = """<?xml version="1.0"?><Publisher><Journal><JournalInfo><JournalTitle>The Meadow Journal</JournalTitle></JournalInfo>
+      <Volume><Issue><IssueInfo><IssueHistory><OnlineDate><Year>2032</Year><Month>2</Month><Day>11</Day></OnlineDate></IssueHistory></IssueInfo>
+      <Article ID="XJ07(2031)009"><ArticleInfo ArticleType="BookReview"><ArticleDOI>10.4/x</ArticleDOI>
+      <ArticleTitle>Old <math><mi>x</mi></math>barley <Emphasis>grows</Emphasis></ArticleTitle>
       <ArticleFirstPage>1</ArticleFirstPage><ArticleLastPage>14</ArticleLastPage>
-      <ArticleHistory><OnlineDate><Year>2019</Year><Month>10</Month><Day>4</Day></OnlineDate></ArticleHistory></ArticleInfo>
+      <ArticleHistory><OnlineDate><Year>2031</Year><Month>7</Month><Day>9</Day></OnlineDate></ArticleHistory></ArticleInfo>
       </Article></Issue></Volume></Journal></Publisher>"""
     record = one(harvest_documents(documents(article, path="/s/a.Meta"), "Springer"))
-    assert record["date_published"] == "2019-10-04" and record["journal_year"] == 2019
-    assert record["title"] == "Dark energy now" and record["page_nr"] == [14]
-    assert record["journal_title"] == "European Journal" and record["journal_doctype"] == "review"
+    assert record["date_published"] == "2031-07-09" and record["journal_year"] == 2031
+    assert record["title"] == "Old barley grows" and record["page_nr"] == [14]
+    assert record["journal_title"] == "Meadow Journal" and record["journal_doctype"] == "review"
     assert record["license"][0]["license"] == "CC-BY-3.0"
-    assert values(record["collections"], "primary") == ["European Journal"]
+    assert values(record["collections"], "primary") == ["Meadow Journal"]
     assert record["warnings"] == ["no_authors", "no_arxiv"]
 
 
@@ -247,3 +247,38 @@ def test_documents_are_parsed_once(spark, documents):
     used = valid(records).where("size(authors) > 1").select("title", F.explode_outer("authors").alias("a"))
     plan = used._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml") == 1
+
+
+def test_every_article_of_a_file(documents):
+    """One of two articles is cut off: the other is a record, and it an error."""
+    one_, two = jats(), jats()
+    article = one_[one_.index("<article") :]
+    cut = article[: article.index("</article-meta>")]
+    for text, errors in (
+        ("<set>" + article + article + "</set>", [None, None]),
+        ("<set>" + cut + article + "</set>", ["truncated article", None]),
+        ("<set>" + article + cut, [None, "truncated article"]),
+    ):
+        rows = harvest_documents(documents(text), "IOP").orderBy("doc_id").collect()
+        assert [r["error"] for r in rows] == errors
+        assert [r["doc_id"] for r in rows] == ["d0#0", "d0#1"]
+
+
+def test_one_bad_value_costs_one_article(documents):
+    page = """{"data": [{"identifiers": {"doi": "10.9/a"}, "numPages": "x1"}, {"identifiers": "10.9/b"},
+      {"identifiers": {"doi": "10.9/c"}, "numPages": 3}]}"""
+    rows = harvest_documents(documents(page), "APS").collect()
+    good = {r["dois"][0]["value"]: r["page_nr"] for r in rows if r["error"] is None}
+    assert good == {"10.9/a": None, "10.9/c": [3]}
+    bad = [r for r in rows if r["error"]]
+    assert [r["error"] for r in bad] == ["malformed article"] and "10.9/b" in bad[0]["payload"] and "10.9/a" not in bad[0]["payload"]
+
+
+def test_contributors_inside_a_collaboration(documents):
+    inner = """<contrib-group><contrib contrib-type="collab"><collab>The Group<contrib-group><contrib contrib-type="author"><name>
+      <surname>In</surname><given-names>A</given-names></name><xref ref-type="aff" rid="x2"/></contrib></contrib-group></collab></contrib></contrib-group>
+      <aff-alternatives id="x1"><aff id="x2">Deep Hall</aff></aff-alternatives>"""
+    text = f"<article><front><article-meta>{inner}</article-meta></front></article>"
+    record = one(harvest_documents(documents(text), "OUP"))
+    assert [(a["full_name"], [f["value"] for f in a["affiliations"]]) for a in record["authors"]] == [("In, A", ["Deep Hall"])]
+    assert values(record["collaborations"]) == ["The Group"] or values(record["collaborations"], "value") == ["The Group"]

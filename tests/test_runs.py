@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import sheaf
 from sheaf.operators.children import explode_affiliations, explode_authors
 from sheaf.operators.ranges import adjacent_ranges, integer_ranges
-from sheaf.plans.harvest import in_window, next_from_date
+from sheaf.plans.harvest import harvest, harvest_documents, in_window, next_from_date
 from sheaf.plans.normalise import normalise, take_first
 from sheaf.sources import landing, manifest, packages, sinks
 from sheaf.streaming import stream_harvest
@@ -279,3 +279,105 @@ def test_json_sink(spark, tmp_path):
     assert sinks.write_json(records, str(tmp_path / "json")) == 2
     lines = [json.loads(l) for f in (tmp_path / "json" / "spider=hindawi").glob("*.json") for l in f.read_text().splitlines()]
     assert sorted(l["control_number"] for l in lines) == ["1", "2"]
+
+
+def test_cut_off_feed_records_are_errors(spark, tmp_path):
+    record = '<marc:record><controlfield tag="001">{}</controlfield><datafield tag="245"><subfield code="a">T</subfield></datafield>'
+    whole, cut = record + "</marc:record>", record
+    text = "\ufeff \n<?xml version='1.0'?><collection>" + cut.format(1) + whole.format(2) + whole.format(3) + cut.format(4)
+    (tmp_path / "feed.xml").write_text(text)
+    rows = landing.read_feed(spark, str(tmp_path), "marc:record").collect()
+    assert sorted((r["payload"].split("001\">")[1][0], r["landing_error"]) for r in rows) == [
+        ("1", "truncated record"), ("2", None), ("3", None), ("4", "truncated record"),
+    ]
+    records = harvest_documents(landing.read_feed(spark, str(tmp_path), "marc:record"), "hindawi").collect()
+    assert sorted(str(r["error"]) for r in records) == ["None", "None", "truncated record", "truncated record"]
+
+
+def test_bare_tags_of_feeds(spark, tmp_path):
+    text = "<?xml version='1.0'?><ArticleSet><Article><ArticleTitle>A</ArticleTitle></Article><Article><ArticleTitle>B</ArticleTitle></ArticleSet>"
+    (tmp_path / "feed.xml").write_text(text)
+    rows = landing.read_feed(spark, str(tmp_path), "Article", bare=True).collect()
+    assert sorted((r["payload"][:31], r["landing_error"]) for r in rows) == [
+        ("<Article><ArticleTitle>A</Artic", None), ("<Article><ArticleTitle>B</Artic", "truncated record"),
+    ]
+
+
+def _land_packages(folder, names):
+    import zipfile
+
+    article = (
+        "<article><front><article-meta><article-id pub-id-type='doi'>10.1088/{}</article-id><permissions>"
+        "<license href='http://creativecommons.org/licenses/by/3.0/'/></permissions></article-meta></front></article>"
+    )
+    for name in names:
+        with zipfile.ZipFile(folder / f"{name}.zip", "w") as archive:
+            archive.writestr(f"{name}/{name}.xml", article.format(name))
+
+
+def test_packages_are_taken_once(spark, tmp_path):
+    inbox, root = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    _land_packages(inbox, ["a", "b"])
+    counts = lambda entry: entry.first()["n_records"]
+    assert counts(harvest(spark, "IOP", str(inbox), root, "007")) == 2
+    assert counts(harvest(spark, "IOP", str(inbox), root, "2")) == 0
+    _land_packages(inbox, ["c"])
+    assert counts(harvest(spark, "IOP", str(inbox), root, "3", incremental=True)) == 1
+    assert counts(harvest(spark, "IOP", str(inbox), root, "4", force=True)) == 3
+    assert counts(harvest(spark, "IOP", str(inbox), root, "5", force=True, from_date="2999-01-01")) == 0
+    with pytest.raises(ValueError):
+        harvest(spark, "IOP", str(inbox), root, "6", journals=["X"])
+    dois = sinks.read_dois(spark, root)
+    assert {r["doi"] for r in dois.where("run_id = '007'").collect()} == {"10.1088/a", "10.1088/b"}
+    assert {r["run_id"] for r in sinks.read_runs(spark, root).collect()} == {"007", "2", "3", "4", "5"}
+
+
+def test_errors_of_a_run_are_kept(spark, tmp_path):
+    inbox, root = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    (inbox / "bad.zip").write_bytes(b"no archive")
+    _land_packages(inbox, ["a"])
+    harvest(spark, "IOP", str(inbox), root, "r", stages=[(1, lambda df: df.withColumn("extra", F.lit(1)))])
+    harvest(spark, "IOP", str(inbox), root, "s", force=True)
+    errors = sinks.read_errors(spark, root).where("run_id = 'r'").collect()
+    assert [(r["stage"], r["error"].split(":")[0]) for r in errors] == [("landing", "unreadable package")]
+    assert sinks.read_records(spark, root).where("run_id = 'r'").select("extra").first()["extra"] == 1
+
+
+def test_pages_by_date_journal_and_set(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    article = lambda i, day, journal, area: {
+        "identifiers": {"doi": f"10.9/{i}"}, "date": day, "journal": {"name": journal},
+        "classificationSchemes": {"subjectAreas": [{"id": "x", "label": area}]},
+    }
+    data = [article(1, "2020-01-01", "J", "S"), article(2, "2020-02-01", "J", "T"), article(3, "2020-02-01", "K", "S")]
+    (inbox / "page.json").write_text(json.dumps({"data": data}))
+    for number, (options, n) in enumerate(
+        [({}, 3), ({"published": ("2020-01-15", None)}, 2), ({"journals": ["J"]}, 2), ({"sets": ["S"]}, 2),
+         ({"published": (None, "2020-01-31"), "sets": ["S"], "journals": ["J"]}, 1)]
+    ):
+        entry = harvest(spark, "APS", str(inbox), str(tmp_path / f"out{number}"), "r", **options)
+        assert entry.first()["n_records"] == n
+
+
+def test_ranges_over_three_levels(spark):
+    from sheaf.operators.ranges import integer_ranges
+
+    spans = [(-70, 300), (302, 302), (1000, 1063), (4096, 5000), (5002, 5003)]
+    rows = [("k", v) for lo, hi in spans for v in range(lo, hi + 1)]
+    df = spark.createDataFrame(rows, "k STRING, v BIGINT")
+    for keys in (["k"], []):
+        for width in (4, 8, 64):
+            got = sorted((r["lo"], r["hi"]) for r in integer_ranges(df, keys, "v", width).collect())
+            assert got == spans
+
+
+def test_look_up_does_not_shuffle_the_facts(spark):
+    from sheaf import dims
+    from sheaf.operators.lookups import translate_codes
+
+    df = spark.range(10).selectExpr("CAST(id AS STRING) AS lang")
+    plan = translate_codes(df, dims.as_table(spark, dims.LANGUAGES), "lang", "name")._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
