@@ -28,8 +28,8 @@ from sheaf.llm.shared import map_texts, staged
 #: Words a worker remembers the hashes of.
 REMEMBERED = 500_000
 
-#: Parts of the universe in which the shingles of a set are counted, to tell sets apart cheaply.
-COUNTERS = 128
+#: Parts of the universe of each of which a set has one bit, to tell sets apart cheaply.
+PARTS = 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3D4B5)
@@ -244,7 +244,12 @@ def groups(docs: DataFrame, doc_id: str, text: str, words: int, num: int, den: i
     buckets = staged(shared_buckets(index_rows(base, words, num, den)))
     wanted = buckets.select("id").unionByName(buckets.select(F.col("lead").alias("id"))).distinct()
     whole = whole_sets(base, sets, wanted, words)
-    label = linked(buckets, lambda pairs: similar(pairs, whole, num, den))
+    label = linked(
+        buckets,
+        lambda pairs: similar(pairs, whole, num, den),
+        sketches(whole),
+        lambda x, y: may_be_similar_blocks(x, y, num, den),
+    )
     return sets.join(label.select(F.col("id").alias("set"), "component"), "set", "left").select(
         "doc", "mark", "n", F.coalesce("component", "set").alias("group")
     )
@@ -271,7 +276,11 @@ def index_rows(base: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 
 def whole_sets(base: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(id, n, counts, h): size, counters and whole sets of the wanted ids, each from one of its texts."""
+    """(id, n, bits, h): size, parities and whole sets of the wanted ids, each from one of its texts.
+
+    A bit tells whether a set has an odd number of shingles in a part of the
+    universe: sets differ in no fewer shingles than bits.
+    """
     texts = (
         sets.join(wanted, sets["set"] == wanted["id"])
         .groupBy("id")
@@ -280,39 +289,56 @@ def whole_sets(base: DataFrame, sets: DataFrame, wanted: DataFrame, words: int)
     )
 
     def build(names, texts):
-        out = {"id": names, "n": [], "counts": [], "h": []}
+        out = {"id": names, "n": [], "bits": [], "h": []}
         for value in texts:
             h = shingles(value, words)
             out["n"].append(len(h))
-            # Cut off at 127, counters still differ by no more than the sets do.
-            counts = np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=COUNTERS)
-            out["counts"].append(np.minimum(counts, 127).tolist())
+            odd = np.bincount((h >> np.uint64(54)).astype(np.int64), minlength=PARTS) & 1
+            out["bits"].append(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
             out["h"].append(h.view(np.int64).tolist())
         return out
 
     same = base["doc"].eqNullSafe(texts["doc"]) & (base["mark"] == texts["mark"])
     picked = base.join(texts, same).select("id", "text")
     # Rows that repeat both id and text give a set again; pairs are made distinct behind it.
-    return staged(map_texts(picked, ["id", "text"], build, "id bigint, n bigint, counts array<tinyint>, h array<bigint>"))
+    return staged(map_texts(picked, ["id", "text"], build, "id bigint, n bigint, bits array<bigint>, h array<bigint>"))
 
 
-def similar(pairs: DataFrame, whole: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of sets within the similarity.
+def may_be_similar(a: Column, b: Column, num: int, den: int) -> Column:
+    """Whether two sets can be similar by what needs no set: sizes and parities (structs of n and bits)."""
+    n = a["n"] + b["n"]
+    apart = F.lit(0)
+    for i in range(PARTS // 64):
+        apart = apart + F.bit_count(a["bits"][i].bitwiseXOR(b["bits"][i]))
+    # Sets that differ in d shingles share (n - d) / 2 of (n + d) / 2.
+    return (F.least(a["n"], b["n"]) * den >= F.greatest(a["n"], b["n"]) * num) & ((n - apart) * den >= (n + apart) * num)
 
-    First by what needs no set: the sizes, and the counters, whose differences
-    sum to no more than the sets differ.
-    """
-    count = lambda c: whole.select(F.col("id").alias(c), F.col("n").alias("n" + c), F.col("counts").alias("c" + c))
+
+def sketches(whole: DataFrame) -> DataFrame:
+    """(id, sketch): size and parities in one array, for :func:`may_be_similar_blocks`."""
+    return whole.select("id", F.concat(F.array("n"), F.col("bits")).alias("sketch"))
+
+
+def may_be_similar_blocks(xs: list, ys: list, num: int, den: int) -> np.ndarray:
+    """As :func:`may_be_similar`, for all pairs of two lists of sketches."""
+    x, y = np.array(xs, np.int64), np.array(ys, np.int64)
+    n = x[:, None, 0] + y[None, :, 0]
+    apart = np.zeros(n.shape, np.int64)
+    for i in range(1, x.shape[1]):
+        apart += np.bitwise_count((x[:, None, i] ^ y[None, :, i]).view(np.uint64))
+    sizes = np.minimum(x[:, None, 0], y[None, :, 0]) * den >= np.maximum(x[:, None, 0], y[None, :, 0]) * num
+    return sizes & ((n - apart) * den >= (n + apart) * num)
+
+
+def similar(pairs: DataFrame, whole: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of sets within the similarity; whole sets are joined only to those that may be."""
+    small = lambda c: whole.select(F.col("id").alias(c), F.struct("n", "bits").alias("s" + c))
     held = lambda c: whole.select(F.col("id").alias(c), F.col("h").alias("h" + c))
-    least, most = F.least("na", "nb"), F.greatest("na", "nb")
-    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, d: s + d)
-    # Sets that differ in d shingles share (na + nb - d) / 2 of (na + nb + d) / 2.
     near = (
-        pairs.join(count("a"), "a")
-        .join(count("b"), "b")
-        .filter(least * den >= most * num)
-        .filter((F.col("na") + F.col("nb") - apart) * den >= (F.col("na") + F.col("nb") + apart) * num)
-        .select("a", "b", "na", "nb")
+        pairs.join(small("a"), "a")
+        .join(small("b"), "b")
+        .filter(may_be_similar(F.col("sa"), F.col("sb"), num, den))
+        .select("a", "b", F.col("sa.n").alias("na"), F.col("sb.n").alias("nb"))
         .distinct()
     )
     both = near.join(held("a"), "a").join(held("b"), "b")

@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import staged
+from sheaf.llm.shared import map_texts, staged
 
 #: Columns that :class:`TaskBuckets` makes.
 FIELDS = "key bigint, lead bigint, id bigint"
+#: Items that are compared as one array.
+BLOCK = 256
 #: Keys that a task remembers; beyond them its memory starts anew.
 REMEMBERED = 400_000
 
@@ -90,7 +93,12 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    sketches: DataFrame | None = None,
+    may_link: Callable[[list, list], np.ndarray] | None = None,
+) -> DataFrame:
     """(id, component) of all items with a link; ``buckets`` as :func:`shared_buckets` gives them.
 
     ``verify`` takes distinct pairs (a, b), a < b, and returns those that are
@@ -98,7 +106,8 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
     the one with the largest buckets, of which copies are made rather than from
     each other; with the other leaders of its buckets, where these are still in
     another component; and the pairs of different components that meet in a
-    bucket.
+    bucket.  ``may_link`` tells by two lists of ``sketches`` (id, sketch: array of
+    longs) which of their pairs may be links, before these become rows.
     """
     pair = (F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
     members = buckets.select("key", "id").unionByName(buckets.select("key", F.col("lead").alias("id"))).distinct()
@@ -131,14 +140,54 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
         .filter("parts > 1")
         .select("key", "largest")
     )
-    mixed = staged(own.join(keys, "key"))
-    small = mixed.filter("component <> largest").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    other = mixed.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
-    across = small.join(other, "key").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    across = _across(own.join(keys, "key"), sketches, may_link)
     last = staged(verify(across.join(every, ["a", "b"], "left_anti")))
     return components(edges.unionByName(last))
 
 
+def _across(
+    mixed: DataFrame, sketches: DataFrame | None, may_link: Callable[[list, list], np.ndarray] | None
+) -> DataFrame:
+    """Pairs (a, b) that meet in a key from different components and may be links.
+
+    The items of a key are dealt into blocks of about ``BLOCK``, and every two
+    blocks are compared as arrays: only pairs that may be links become rows.
+    """
+    if sketches is None:
+        mixed = mixed.withColumn("sketch", F.lit(None).cast("array<bigint>"))
+    else:
+        mixed = mixed.join(sketches.dropDuplicates(["id"]), "id")
+    mixed = staged(mixed)
+    blocks = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = (
+        mixed.join(blocks, "key")
+        .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+        .groupBy("key", "blocks", "block")
+        .agg(F.collect_list(F.struct("id", "component", "sketch")).alias("items"))
+    )
+    # A block meets itself and those after it.
+    left = dealt.select("key", "items", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("with"), "block")
+    right = dealt.select("key", F.col("block").alias("with"), F.col("items").alias("others"))
+    met = left.join(right, ["key", "with"]).select("items", "others", (F.col("with") == F.col("block")).alias("same"))
+
+    def compare(left, right, same):
+        out = {"a": [], "b": []}
+        for xs, ys, one in zip(left, right, same, strict=True):
+            a, b = (np.array([i["id"] for i in side], np.int64) for side in (xs, ys))
+            c, d = (np.array([i["component"] for i in side], np.int64) for side in (xs, ys))
+            ok = c[:, None] != d[None, :]
+            if one:
+                ok &= a[:, None] < b[None, :]
+            if may_link is not None:
+                ok &= may_link([i["sketch"] for i in xs], [i["sketch"] for i in ys])
+            i, j = np.nonzero(ok)
+            out["a"] += np.minimum(a[i], b[j]).tolist()
+            out["b"] += np.maximum(a[i], b[j]).tolist()
+        return out
+
+    return map_texts(met, ["items", "others", "same"], compare, "a bigint, b bigint").distinct()
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs whose ends are in different components."""
     at = lambda c: label.select(F.col("id").alias(c), F.col("component").alias("c" + c))

@@ -174,6 +174,12 @@ class Pieces:
         # A text may be cut before a mark where no piece holds a mark behind another character.
         self.cuts = not any(re.search(f"[^{MARK}]{MARK}", s) for s in self.strings)
         self.seen: dict[str, tuple[int, ...]] = {}
+        # What each piece is in a decoded text.
+        odd = {UNKNOWN: " ⁇ ".encode(), CONTROL: b""}
+        self.spelled = [
+            bytes([self.byte_of[i]]) if k == BYTE else odd[k] if k in odd else t.encode("utf-8")
+            for i, (t, k) in enumerate(zip(self.strings, self.kinds, strict=True))
+        ]
         # The trie as lists, with the piece that ends in each state.
         self.base, self.check = self.trie.base.tolist(), self.trie.check.tolist()
         self.ends = [-1] * len(self.base)
@@ -252,15 +258,7 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of the pieces; control pieces have none, broken bytes become U+FFFD."""
-        raw = bytearray()
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                raw.append(self.byte_of[i])
-            elif kind == UNKNOWN:
-                raw += " ⁇ ".encode()
-            elif kind != CONTROL:
-                raw += self.strings[i].encode("utf-8")
+        raw = b"".join([self.spelled[i] for i in ids])
         text = raw.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if self.prefix and text[:1] == " " else text
 

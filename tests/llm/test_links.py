@@ -14,11 +14,6 @@ from sheaf.llm import decontaminate, jaccard, line_dedup, linking, toxicity
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="module", autouse=True)
-def folder(spark, tmp_path_factory):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 def roots(items, links):
     parent = {i: i for i in items}
 
