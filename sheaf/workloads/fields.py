@@ -41,6 +41,15 @@ def parse_pages(documents: DataFrame) -> DataFrame:
         F.regexp_extract(html, r"(?s)<h1>(.*?)</h1>", 1).alias("abstract"),
         F.regexp_extract_all(html, F.lit(r'<html lang="(\w+)"'), F.lit(1)).alias("language"),
         F.array("doc_id").alias("urls"),
+        # The text of the page, with the domain it stands on.
+        F.array(
+            F.struct(
+                urls.parse_domain(F.col("doc_id")).alias("source"),
+                text.clean_whitespace(
+                    text.remove_tags(text.remove_tags_with_content(html, ["script"]))
+                ).alias("value"),
+            )
+        ).alias("public_notes"),
     )
 
 
@@ -53,6 +62,11 @@ _TITLE = r"regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
 _H1 = r"regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"
 _LANGUAGE = f"coalesce({_sql_map(dims.LANGUAGES)}[lang], upper(lang[1]) || lower(lang[2:]))"
 
+_BODY = r"""trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<script\s*/>', '', 'g'),
+         '(?s)</?[^ >/]+.*?>', '', 'g'),
+         '[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))"""
+_DOMAIN = r"""lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) || '://' || regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) || '/'"""
+
 # Canonical form of the addresses in `pages`: their arguments need no escapes.
 _URL_CTE = r"""
 u AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS a FROM pages),
@@ -70,10 +84,11 @@ c AS (SELECT page_id, url, scheme || '://' || host || CASE path WHEN '' THEN '/'
 WITH {_URL_CTE},
 h AS (SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang,
              trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')) AS title,
-             trim(regexp_replace({_H1}, '\\s+', ' ', 'g')) AS h1 FROM pages)
-SELECT page_id, nullif(title, '') AS title, nullif(h1, '') AS heading, canonical AS url,
+             trim(regexp_replace({_H1}, '\\s+', ' ', 'g')) AS h1, url AS address,
+             {_BODY} AS body FROM pages)
+SELECT page_id, body, {_DOMAIN} AS domain, nullif(title, '') AS title, nullif(h1, '') AS heading, canonical AS url,
        CASE WHEN lang <> 'en' THEN {_LANGUAGE} END AS language
-FROM h JOIN c USING (page_id)
+FROM (SELECT h.*, c.canonical, address AS url FROM h JOIN c USING (page_id))
 """)
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spread_table(spark, sf_dir, "pages", "page_id", "url", "html").select(
@@ -85,6 +100,8 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("abstract").alias("heading"),
         arrays.first(F.col("urls"))["value"].alias("url"),
         arrays.first(F.col("language")).alias("language"),
+        arrays.first(F.col("public_notes"))["source"].alias("domain"),
+        arrays.first(F.col("public_notes"))["value"].alias("body"),
     )
 
 
