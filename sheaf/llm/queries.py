@@ -25,6 +25,38 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ASCII_LOWER = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+
+_JACCARD_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex({_ASCII_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], chr(10)) AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 0) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON r.root = e.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(root) AS component_id
+FROM w JOIN r ON r.id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
+_BENCHMARK_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT item, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+h AS (SELECT doc_id, dw.k, i, item FROM dw JOIN bw ON dw.k = bw.k AND dw.s = bw.s),
+p AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def spans_text(spans: Column) -> Column:
     """``kind:start:end`` of every span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -58,7 +90,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
-@query("op10_decontaminate")
+@query("op10_decontaminate", _BENCHMARK_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = decontaminate.n_hit(F.col("hits"))
@@ -105,7 +137,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op4_jaccard_join")
+@query("op4_jaccard_join", _JACCARD_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
