@@ -26,7 +26,7 @@ from sheaf.llm.linking import FIELDS, TaskBuckets, linked, shared_buckets
 from sheaf.llm.shared import map_texts, staged
 
 #: Words a worker remembers the hashes of.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 #: Parts of the universe of each of which a set has one bit, to tell sets apart cheaply.
 PARTS = 1024

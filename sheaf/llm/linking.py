@@ -21,7 +21,7 @@ FIELDS = "key bigint, lead bigint, id bigint"
 #: Items that are compared as one array.
 BLOCK = 256
 #: Keys that a task remembers; beyond them its memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 class TaskBuckets:

@@ -34,7 +34,7 @@ CANDIDATES = 3000
 #: Clean texts with a term for each toxic one, at most.
 CLEAN = 0.08
 #: Words a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Words before and after a hit that are its context.
 BEFORE, AFTER = 8, 4
 
