@@ -34,9 +34,15 @@ CONTEXT = re.compile(
     r"client.?id|signature|session.?id|cookie|webhook|connection.?string",
     re.I | re.A,
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,256}", re.A)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}", re.A)
 #: Characters before a candidate in which the context word must stand.
 NEAR = 48
+#: Characters whose novelty is measured at once; longer candidates are measured in pieces.
+PIECE = 256
+#: A line of an encoded block, and what stands between two of them: line ends, plain or escaped, with indents, quotes and comment signs.
+BLOCK_LINE = re.compile(r"[A-Za-z0-9+/_=-]+", re.A)
+BESIDE = re.compile(r"""[\x20\t"',;+]*(?:\r?\n|\\[rn]|$)""")
+LINE_END = re.compile(r"""[\x20\t"',;+]*(?:\r?\n|\\r\\n|\\n)[\x20\t"'#*>]*""")
 #: Characters of surrounding text on either side that prime the dictionary.
 AROUND = 1024
 #: Least marginal bytes for each character, and in all.
@@ -94,10 +100,65 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def is_novel(value: str, before: str, after: str, identifiers: str = IDENTIFIERS) -> bool:
+    """Whether the value, or a piece of a long one, stays incompressible."""
+    n = -(-len(value) // PIECE)
+    edges = [len(value) * k // n for k in range(n + 1)]
+    for lo, hi in zip(edges, edges[1:]):
+        part = value[lo:hi]
+        around = (before + value[:lo])[-AROUND:], (value[hi : hi + AROUND] + after)[:AROUND]
+        size = novelty(part, *around, identifiers)
+        if size >= BYTES and size >= RATE * information(part):
+            return True
+    return False
+
+
+def _value(text: str, start: int, stop: int) -> tuple[int, int]:
+    """A run without the signs at its ends."""
+    value = text[start:stop].strip("=.-_/+")
+    if value:
+        start = text.index(value, start, stop)
+    return start, start + len(value)
+
+
+def _mixed(value: str) -> bool:
+    return len(value) >= 16 and bool(re.search("[0-9]", value)) and bool(re.search("[A-Za-z]", value))
+
+
+def block_lines(text: str, at: int, to: int) -> list[tuple[int, int]]:
+    """The line at a candidate and those that go on behind it: as wide, and at last a shorter one, with nothing beside them."""
+    lines, width = [(at, to)], to - at
+    while (between := LINE_END.match(text, to)) and (line := BLOCK_LINE.match(text, between.end())):
+        n = len(line[0])
+        if n > width or line[0].startswith("-") or (line.end() < len(text) and not BESIDE.match(text, line.end())):
+            break
+        if n < width and len(lines) < 2 and not _mixed(line[0]):
+            break
+        lines.append((line.start(), line.end()))
+        to = line.end()
+        if n < width:
+            break
+    return lines
+
+
 def novel_spans(text: str, known: list[tuple[int, int, str]], identifiers: str = IDENTIFIERS) -> list:
-    """Incompressible strings in sensitive context that no base span touches."""
+    """Incompressible strings in sensitive context that no base span touches, whole.
+
+    Lines of one width that follow the one in context are a block with it, to
+    their last and shorter one: if one of the full lines is novel, all are reported.
+    """
     out = []
     end = 0
+
+    def free(start: int, stop: int) -> bool:
+        return start < stop and not any(s < stop and start < e for s, e, _ in known)
+
+    def judged(at: int, to: int) -> bool:
+        start, stop = _value(text, at, to)
+        if not _mixed(text[start:stop]) or not free(start, stop):
+            return False
+        return is_novel(text[start:stop], text[max(0, start - AROUND) : start], text[stop : stop + AROUND], identifiers)
+
     for word in CONTEXT.finditer(text):
         lo, hi = max(word.end(), end), word.end() + NEAR
         for m in CANDIDATE.finditer(text, lo):
@@ -106,17 +167,17 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], identifiers: str =
             if m.start() and lo == m.start() and re.match(r"[A-Za-z0-9+/_=.-]", text[m.start() - 1]) and lo != word.end():
                 continue
             end = m.end()
-            value = m[0].strip("=.-_/+")
-            start = m.start() + m[0].index(value) if value else m.start()
-            stop = start + len(value)
-            if len(value) < 16 or not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
-                continue
-            if any(s < stop and start < e for s, e, _ in known):
-                continue
-            around = text[max(0, start - AROUND) : start], text[stop : stop + AROUND]
-            size = novelty(value, *around, identifiers)
-            if size >= BYTES and size >= RATE * information(value):
-                out.append((start, stop, "novel"))
+            lines = block_lines(text, m.start(), m.end())
+            # Two lines may be of one width by chance: then each is judged for itself.
+            if len(lines) < 3:
+                found = [line for line in lines if judged(*line)]
+            else:
+                found = lines if any(judged(*line) for line in lines) else []
+            for line in found:
+                start, stop = _value(text, *line)
+                if free(start, stop):
+                    out.append((start, stop, "novel"))
+                end = max(end, line[1])
     return out
 
 
