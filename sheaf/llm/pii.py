@@ -29,13 +29,15 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
-#: Tokens of a segment, at most; islands are cut where they are longer than this many tokens.
-LONGEST, ISLAND = 14, 40
+#: Tokens of a segment, at most.
+LONGEST = 14
 #: Probability from which a segment that no base span touches is reported.
 SURE = 0.95
 #: Documents that the weights are fitted on, at most, and islands taken of them.
 SAMPLE, ISLANDS = 4000, 240
 EPOCHS = 12
+#: Tokens of an island that is learned from, at most.
+TAUGHT = 40
 
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_")
 TRIGGER = re.compile(r"[0-9@]")
@@ -106,7 +108,7 @@ def islands(text: str, around: int = 3) -> list[list[tuple[int, int]]]:
         if not inside:
             continue
         tokens = tokens[max(0, inside[0] - around * 4) : inside[-1] + 1 + around * 4]
-        out += [tokens[i : i + ISLAND] for i in range(0, len(tokens), ISLAND)]
+        out.append(tokens)
     return out
 
 
@@ -303,7 +305,12 @@ def fit(
     )
 
     def cut(texts):
-        return {"part": [value[max(0, ts[0][0] - 1) : ts[-1][1] + 1] for value in texts for ts in islands(value)[:3]]}
+        # Only what is learned from is cut; what is searched is decoded whole.
+        parts = []
+        for value in texts:
+            own = [ts[i : i + TAUGHT] for ts in islands(value) for i in range(0, len(ts), TAUGHT)]
+            parts += [(value, ts) for ts in own[:3]]
+        return {"part": [value[max(0, ts[0][0] - 1) : ts[-1][1] + 1] for value, ts in parts]}
 
     parts = (
         map_texts(picked, ["t"], cut, "part string")
@@ -312,7 +319,7 @@ def fit(
         .limit(n_islands)
         .collect()
     )
-    return learn([(r.part, tokens) for r in parts for tokens in islands(r.part)])
+    return learn([(r.part, ts[i : i + TAUGHT]) for r in parts for ts in islands(r.part) for i in range(0, len(ts), TAUGHT)])
 
 
 def find(text: str | None, model: Field) -> list[tuple[int, int, str]]:
