@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import map_texts
+from sheaf.llm.shared import map_texts, staged
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 8000
@@ -29,8 +29,6 @@ SAMPLE = 8000
 REJECT = 0.7
 #: Lengths of stems that are tried.
 STEMS = range(3, 9)
-#: Terms that go from the counts to the choice, at most: the most frequent in toxic texts.
-CANDIDATES = 3000
 #: Clean texts with a term for each toxic one, at most.
 CLEAN = 0.08
 #: Words a worker remembers.
@@ -287,7 +285,7 @@ def fit(
     """Learn lexicon and weights from at most ``sample`` labelled rows that are not held out.
 
     The rows are those of the smallest hash of their id, so the choice depends
-    on nothing else.  A document with several labels counts as toxic if one of
+    on nothing else; each distinct text of them counts once.  A document with several labels counts as toxic if one of
     them says so; null labels are left out.  Without toxic rows the lexicon is
     empty and every text gets the same low score.
     """
@@ -301,6 +299,8 @@ def fit(
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("string").alias("__text")).join(
         F.broadcast(chosen), "__id"
     )
+    # Copies of a text are one; it is toxic if one of them is.
+    rows = staged(rows.groupBy("__text").agg(F.max("__y").alias("__y")))
 
     def count(texts, ys):
         toxic, clean = Counter(), Counter()
@@ -314,8 +314,6 @@ def fit(
         counted.groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter((F.col("toxic") >= 2) & (F.col("clean") <= CLEAN * F.col("toxic")))
-        .orderBy(F.desc("toxic"), "clean", "term")
-        .limit(CANDIDATES)
         .collect()
     )
     candidates = {r.term: (r.toxic, r.clean) for r in best}
