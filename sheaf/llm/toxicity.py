@@ -37,6 +37,8 @@ REMEMBERED = 200_000
 BEFORE, AFTER = 8, 4
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Two words with one digit or sign between them, which may be one word.
+JOINED = re.compile(r"(?<![^\W\d_])(?=([^\W\d_]+(?:[\d_]|[^\w\s])[^\W\d_]+))")
 QUOTES = frozenset("\"“”„«»‟〝〞")
 REPORTING = frozenset(
     "said says say wrote writes called calls calling quoted quotes quote quoting word words term terms slur slurs "
@@ -86,14 +88,17 @@ class LevenshteinAutomaton:
         return row[-1] <= self.limit
 
 
-def intersect(word: str, trie: Trie, limit: int = 1) -> list[tuple[str, int]]:
-    """Terms of the trie within ``limit`` edits of the word, with the distance."""
+def intersect(word: str, trie: Trie, limit: int = 1, prefixes: frozenset[str] = frozenset()) -> list[tuple[str, int]]:
+    """Terms of the trie within ``limit`` edits of the word, or ``prefixes`` of one that it begins with, with the distance."""
     automaton = LevenshteinAutomaton(word, limit)
     found, stack = [], [(trie.root, automaton.start())]
     while stack:
         node, row = stack.pop()
-        if "" in node and automaton.accepts(row):
-            found.append((node[""], row[-1]))
+        if "" in node:
+            if automaton.accepts(row):
+                found.append((node[""], row[-1]))
+            elif node[""] in prefixes and automaton.alive(row):
+                found.append((node[""], min(row)))
         for c, below in node.items():
             if c and automaton.alive(after := automaton.step(row, c)):
                 stack.append((below, after))
@@ -104,22 +109,23 @@ def intersect(word: str, trie: Trie, limit: int = 1) -> list[tuple[str, int]]:
 class Lexicon:
     """Whole terms, stems, and stems of which a text needs two words.
 
-    Whole terms of ``fuzzy_from`` letters and more may be misspelled.
+    Terms of ``fuzzy_from`` letters and more may be misspelled.
     """
 
     words: frozenset[str] = frozenset()
     stems: frozenset[str] = frozenset()
     paired: frozenset[str] = frozenset()
     benign: frozenset[str] = frozenset()
-    fuzzy_from: int = 5
+    fuzzy_from: int = 4
     _seen: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
-        long = [w for w in self.words if len(w) >= self.fuzzy_from]
+        self.open = self.stems | self.paired
+        long = [w for w in self.words | self.open if len(w) >= self.fuzzy_from]
         self.trie = Trie(long)
         self.stem_lengths = sorted({len(s) for s in self.stems | self.paired})
-        # With one edit, the first or the last two letters of a long term are untouched.
-        self.heads, self.tails = {w[:2] for w in long}, {w[-2:] for w in long}
+        # With one edit, the first two letters of a term are untouched, or those behind them, which may move by one.
+        self.heads, self.nexts = {w[:2] for w in long}, {w[2:4] for w in long}
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_seen"}
@@ -144,24 +150,32 @@ class Lexicon:
             if len(word) > n and (word[:n] in self.stems or word[:n] in self.paired):
                 return word[:n], 0
         if len(word) >= self.fuzzy_from - 1 and word not in self.benign and (
-            word[:2] in self.heads or word[-2:] in self.tails
+            word[:2] in self.heads or any(word[k : k + 2] in self.nexts for k in (1, 2, 3))
         ):
-            near = intersect(word, self.trie)
+            near = intersect(word, self.trie, prefixes=self.open)
             if near:
                 return near[0]
         return None
 
 
+def spellings(lower: str) -> set[str]:
+    """Words of a text, also those with one digit or sign between their letters."""
+    return {*WORD.findall(lower), *(m[1] for m in JOINED.finditer(lower))}
+
+
 def hits(text: str, lexicon: Lexicon) -> list[dict]:
     """Every word that stands for a term, with what its context says."""
     lower = text.lower()
-    if not any(lexicon.match(w) for w in set(WORD.findall(lower))):
+    if not any(lexicon.match(w) for w in spellings(lower)):
         return []
     spans = [(m.start(), m.end()) for m in WORD.finditer(lower)]
     words = [lower[a:b] for a, b in spans]
+    joined = {m.start(1): m[1] for m in JOINED.finditer(lower)}
     found = []
     for i, word in enumerate(words):
         term = lexicon.match(word)
+        if not term and (whole := joined.get(spans[i][0])) and not lexicon.match(words[i + 1]):
+            term = lexicon.match(whole)
         if not term:
             continue
         lo, hi = max(0, i - BEFORE), min(len(words), i + AFTER + 1)
@@ -328,21 +342,23 @@ def fit(
     stems = frozenset(t for t in chosen_terms if t[-1] not in ".+")
     lexicon = Lexicon(words, stems, paired)
 
+    def meet(texts):
+        near = {w for v in texts for w in spellings((v or "").lower()) if (m := lexicon.match(w)) and m[1]}
+        return {"word": list(near)}
+
+    # Words that look like a misspelled term, but stand in clean texts.
+    met = map_texts(rows.filter("__y = 0"), ["__text"], meet, "word string").distinct().collect()
+    learned = Lexicon(words, stems, paired, frozenset(r.word for r in met))
+
     def measure(texts, ys):
-        out = {"y": list(ys), "x": [features(v, lexicon) for v in texts], "near": []}
-        for value, y in zip(texts, ys, strict=True):
-            near = set(WORD.findall((value or "").lower())) if not y else ()
-            out["near"].append([w for w in near if (m := lexicon.match(w)) and m[1]])
-        return out
+        return {"y": list(ys), "x": [features(v, learned) for v in texts]}
 
-    measured = map_texts(rows, ["__text", "__y"], measure, "y int, x array<double>, near array<string>").collect()
+    measured = map_texts(rows, ["__text", "__y"], measure, "y int, x array<double>").collect()
     if not measured:
         return Model(lexicon, -6.0, PRIOR_MEAN)
-    # Words that look like a misspelled term, but stand in clean texts.
-    benign = frozenset(w for r in measured for w in r.near)
     x, y = np.array([r.x for r in measured]), np.array([float(r.y) for r in measured])
     bias, weights = regression(x, y)
-    return Model(Lexicon(words, stems, paired, benign), bias, weights)
+    return Model(learned, bias, weights)
 
 
 def score(

@@ -18,3 +18,13 @@ def test_copies_of_one_text_do_not_crowd_out_terms(spark):
     model = toxicity.fit(docs, labels)
     assert model.lexicon.match("gruntface")
     assert model.score("river gruntface stone") > model.score("river stone")
+
+
+def test_misspelled_stems_and_short_terms_are_met():
+    lexicon = toxicity.Lexicon(frozenset({"scum", "moron", "stupid", "worthless"}), frozenset({"idio", "grunt"}), frozenset({"snot"}))
+    assert lexicon.match("idjotic") == ("idio", 1) and lexicon.match("scvm") == ("scum", 1)
+    assert lexicon.match("grnted") == ("grunt", 1) and lexicon.match("river") is None
+    assert toxicity.Lexicon(frozenset(), lexicon.stems, benign=frozenset({"idjotic"})).match("idjotic") is None
+    for text, term in (("m0ron", "moron"), ("st*pid", "stupid"), ("worthle$s", "worthless"), ("id1otic", "idio")):
+        assert [(h["term"], h["edits"]) for h in toxicity.hits(f"a {text} b", lexicon)] == [(term, 1)], text
+    assert [h["edits"] for h in toxicity.hits("moron|stupid", lexicon)] == [0, 0]
