@@ -17,7 +17,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import map_texts
+from sheaf.llm.shared import map_texts, staged
 
 WINDOW = 13
 #: Bytes of benchmark text that one pass over the documents searches for.
@@ -112,9 +112,9 @@ def benchmark_hits(
     One row per document, repeated documents included.  Null and empty texts
     have no words and no hits.  A null item text is no pattern; a null item id
     counts as the empty id.  The benchmark is searched in blocks of
-    ``block_bytes``: each block is one pass over the documents, and only one
-    block's patterns are sent to the executors in a task, so neither the driver
-    nor a worker ever holds more.  An empty benchmark still gives all rows.
+    ``block_bytes``: each block is one pass over the documents, written as a
+    table before the next block is fetched, so neither the driver nor a task
+    holds more than one block's patterns.  An empty benchmark still gives all rows.
     """
     cleaned = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
@@ -132,6 +132,8 @@ def benchmark_hits(
     for number in range(n_blocks):
         rows = cleaned.filter(block == number).collect() if n_blocks > 1 else cleaned.collect()
         out = _search(out, [(r.item, r.words) for r in rows], keep, window, number == n_blocks - 1)
+        if number < n_blocks - 1:
+            out = staged(out)
     return out
 
 
