@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontaminate, fingerprints, html_text, jaccard, line_dedup, pii, secrets, sentencepiece, tokens, toxicity
+from sheaf.llm import (
+    collocations,
+    decontaminate,
+    fingerprints,
+    html_text,
+    jaccard,
+    line_dedup,
+    packing,
+    pii,
+    repair,
+    secrets,
+    sentencepiece,
+    tokens,
+    toxicity,
+)
 from sheaf.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +70,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+_COLLOCATIONS_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+f AS (SELECT lang, s, k, count(*) AS a
+      FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS s
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k))
+      GROUP BY lang, s, k HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, s, a, string_split(s, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT lang, s, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, len(w))) AS k FROM c)),
+scored AS (SELECT cut.lang, cut.s, cut.a, cut.k, x.a AS l, y.a AS r, (2000000::HUGEINT * cut.a) // (x.a + y.a) AS score
+           FROM cut JOIN f x ON x.lang = cut.lang AND x.s = first JOIN f y ON y.lang = cut.lang AND y.s = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, k) = 1),
+held AS (SELECT lang, s, max(a) AS longer
+         FROM (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS s
+               FROM (SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE len(w) > m))
+         GROUP BY lang, s),
+ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.s) AS rank, b.s AS phrase, b.a, l, r, score
+           FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.s = b.s WHERE h.longer IS NULL OR 100::HUGEINT * h.longer < 80::HUGEINT * b.a)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
 
 def spans_text(spans: Column) -> Column:
     """``kind:start:end`` of every span, joined by commas."""
@@ -137,6 +174,23 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_collocations", _COLLOCATIONS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_texts(table(spark, sf_dir, "documents"), path, 1)
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repaired(conversations, repair.damaged(conversations))
+
+
 @query("op4_jaccard_join", _JACCARD_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
