@@ -68,15 +68,8 @@ def flat_map(arr: Column, fn: Callable[[Column], Column]) -> Column:
     return F.flatten(F.array_compact(F.transform(arr, fn)))
 
 
-def nested(root: Column, *keys: str) -> Column:
-    """Value at a struct path, an empty string where any step is missing."""
-    for key in keys:
-        root = root.getField(key)
-    return F.coalesce(root.cast("string"), F.lit(""))
-
-
 def variant_nested(root: Column, *keys: str) -> Column:
-    """The same look-up on a VARIANT, for documents without a fixed schema."""
+    """Value at a path of a VARIANT, an empty string where any step is missing."""
     path = "$" + "".join(f'["{key}"]' for key in keys)
     return F.coalesce(F.try_variant_get(root, path, "string"), F.lit(""))
 

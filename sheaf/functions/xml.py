@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
+from sheaf.functions.arrays import let
+
 
 def escape_xml(c: Column) -> Column:
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
@@ -26,9 +28,34 @@ def node_pattern(tags: Iterable[str]) -> str:
     return rf"(?s)<({'|'.join(tags)})[\s>].*?</\1>"
 
 
+def _up_to_last(c: Column, closing: str) -> Column:
+    """The text up to the last of a closing tag, an empty one without any."""
+    tail = F.substring_index(c, closing, -1)
+    return F.left(c, F.length(c) - F.length(tail))
+
+
+def all_closed(c: Column, tags: Iterable[str]) -> Column:
+    """Whether a closing tag follows the last opening of each tag.
+
+    Then a search from an opening tag to the next closing one always ends, and
+    all of them together read the text once, however many are open.
+    """
+    ok = F.lit(True)
+    for tag in tags:
+        tail = F.substring_index(c, f"</{tag}>", -1)
+        ok &= ~(F.contains(tail, F.lit(f"<{tag}>")) | F.contains(tail, F.lit(f"<{tag} ")))
+    return ok
+
+
 def nodes(payload: Column, tags: Iterable[str]) -> Column:
-    """Every outermost element with one of the tags, as text, in order."""
-    return F.regexp_extract_all(payload, F.lit(node_pattern(tags)), F.lit(0))
+    """Every outermost element with one of the tags, as text, in order; none where one is left open."""
+    tags = list(tags)
+    found = lambda c: F.regexp_extract_all(c, F.lit(node_pattern(tags)), F.lit(0))
+    if len(tags) == 1:
+        # What follows the last closing tag holds no element.
+        return found(let(payload, lambda c: _up_to_last(c, f"</{tags[0]}>")))
+    none = F.array().cast("array<string>")
+    return let(payload, lambda c: F.when(all_closed(c, tags), found(c)).otherwise(none))
 
 
 def pieces(payload: Column, tags: Iterable[str]) -> Column:
@@ -49,18 +76,33 @@ def whole_element(piece: Column, tags: Iterable[str]) -> Column:
     )
 
 
+def _any_closing(c: Column, tags: Iterable[str]) -> Column:
+    found = F.lit(False)
+    for tag in tags:
+        found |= F.contains(c, F.lit(f"</{tag}>"))
+    return found
+
+
 def root_element(payload: Column, tags: Iterable[str]) -> Column:
     """The document element, without prologue and document type."""
-    return F.regexp_extract(payload, rf"(?s)<({'|'.join(tags)})[\s>].*</\1>", 0)
+    tags = list(tags)
+    pattern = rf"(?s)<({'|'.join(tags)})[\s>].*</\1>"
+    return let(payload, lambda c: F.when(_any_closing(c, tags), F.regexp_extract(c, pattern, 0)).otherwise(""))
 
 
 def drop_elements(c: Column, tags: Iterable[str]) -> Column:
     """Cut elements whose content is not needed, before parsing."""
-    return F.regexp_replace(c, rf"(?s)<({'|'.join(tags)})(?:\s[^>]*)?>.*</\1>", "")
+    tags = list(tags)
+    pattern = rf"(?s)<({'|'.join(tags)})(?:\s[^>]*)?>.*</\1>"
+    return let(c, lambda x: F.when(_any_closing(x, tags), F.regexp_replace(x, pattern, "")).otherwise(x))
 
 
 def _inline_cdata(c: Column) -> Column:
     """CDATA sections become escaped text."""
+    return let(c, _inlined)
+
+
+def _inlined(c: Column) -> Column:
     pieces = F.split(c, r"<!\[CDATA\[", -1)
 
     def piece(text: Column, position: Column) -> Column:
@@ -77,6 +119,10 @@ _REFERENCE = r"^(?:[xX]0*([0-9a-fA-F]{1,6})|0*([0-9]{1,7}));"
 
 def decode_char_refs(c: Column) -> Column:
     """Numeric character references become characters; ``< > &`` stay escaped."""
+    return let(c, _decoded)
+
+
+def _decoded(c: Column) -> Column:
     pieces = F.split(c, "&#", -1)
 
     def piece(text: Column, position: Column) -> Column:
@@ -104,13 +150,80 @@ def protect_markup(c: Column, tags: Iterable[str]) -> Column:
 
     ``from_xml`` has no type for text interleaved with elements, so wherever
     one of the tags holds markup its content is put into a CDATA section.
+    Where one is left open the text stays: it is malformed anyway.
     """
-    names = "|".join(tags)
-    return F.regexp_replace(
-        c,
-        rf"(?s)(<((?:\w+:)?(?:{names}))(?:\s[^>]*)?(?<!/)>)([^<]*<(?!/\2>).*?)(</\2>)",
-        "$1<![CDATA[$3]]>$4",
-    )
+    tags = list(tags)
+    pattern = rf"(?s)(<((?:\w+:)?(?:{'|'.join(tags)}))(?:\s[^>]*)?(?<!/)>)([^<]*<(?!/\2>).*?)(</\2>)"
+
+    def protected(x: Column) -> Column:
+        return F.when(all_closed(x, tags), F.regexp_replace(x, pattern, "$1<![CDATA[$3]]>$4")).otherwise(x)
+
+    return let(c, protected)
+
+
+def siblings(c: Column, tag: str, group: str) -> Column:
+    """Elements of ``tag`` at any depth brought to the level of the outermost ones.
+
+    Each is followed by those that it held, in the order of their opening.
+    What else was in a ``group`` inside it follows it too, without the group's
+    own tags.  The tags are numbered in one pass over them, with the open
+    elements as a stack; texts in which they do not match stay as they are.
+    """
+    opening = rf"<{tag}(?=[\s>])[^>]*+(?<!/)>"
+    # Closing tags are pieces of their own, opening ones take the text behind them along.
+    cut = rf"(?=</?(?:{tag}|{group})[\s>])|(?<=</{tag}>)|(?<=</{group}>)"
+    is_open = lambda p: F.rlike(p, F.lit(f"^{opening}"))
+    is_group = lambda p: F.rlike(p, F.lit(rf"^<{group}(?=[\s>])[^>]*+(?<!/)>"))
+
+    def step(state: Column, piece: Column) -> Column:
+        """Elements open, numbers given, and the owner of each piece; the state is copied at each step, so it holds no text."""
+        opened, n, marks = state["opened"], state["n"], state["marks"]
+
+        def after(opened: Column, n: Column, owner: Column) -> Column:
+            marked = F.concat(marks, owner.cast("string"), F.lit(","))
+            return F.struct(opened.alias("opened"), n.alias("n"), marked.alias("marks"))
+
+        inside = F.size(opened) > 0
+        top, below = F.element_at(opened, -1), F.slice(opened, 1, F.size(opened) - 1)
+        return (
+            F.when(is_open(piece), after(F.concat(opened, F.array(n)), n + 1, n))
+            .when(~inside, after(opened, n + 1, n))
+            # Tags of inner groups are left out: their owners are negative.
+            .when(is_group(piece), after(F.concat(opened, F.array(n)), n + 1, -n))
+            .when(piece == f"</{group}>", after(below, n, -top))
+            .when(piece == f"</{tag}>", after(below, n, top))
+            .otherwise(after(opened, n, top))
+        )
+
+    def owned(piece: Column, mark: Column) -> Column:
+        owner = mark.cast("int")
+        bare = F.regexp_replace(piece, rf"^</?{group}(?:\s[^>]*+)?>", "")
+        return F.struct(F.abs(owner).alias("owner"), F.when(owner < 0, bare).otherwise(piece).alias("text"))
+
+    def flat(pieces: Column) -> Column:
+        start = F.struct(F.array().cast("array<int>").alias("opened"), F.lit(1).alias("n"), F.lit("").alias("marks"))
+        marks = F.aggregate(pieces, start, step, lambda s: s["marks"])
+        parts = F.zip_with(pieces, F.split(F.rtrim(marks, F.lit(",")), ","), owned)
+        # The sort is stable: the pieces of an element keep their order.
+        in_order = F.array_sort(parts, lambda a, b: a["owner"] - b["owner"])
+        return F.array_join(F.transform(in_order, lambda e: e["text"]), "")
+
+    def shape(pieces: Column) -> Column:
+        kind = lambda p: F.when(is_open(p), "o").when(p == f"</{tag}>", "c").otherwise("")
+        return F.array_join(F.transform(pieces, kind), "")
+
+    def nested(shape: Column) -> Column:
+        opens = F.length(F.replace(shape, F.lit("c"), F.lit("")))
+        return F.contains(shape, F.lit("oo")) & (2 * opens == F.length(shape))
+
+    def brought(text: Column) -> Column:
+        tidy = F.regexp_replace(text, rf"</({tag}|{group})\s+>", "</$1>")
+        return let(
+            F.split(tidy, cut, -1),
+            lambda pieces: F.when(let(shape(pieces), nested), flat(pieces)).otherwise(text),
+        )
+
+    return let(c, brought)
 
 
 def prepare_xml(node: Column, mixed: Iterable[str] = ()) -> Column:
@@ -127,7 +240,10 @@ _INLINE = (
 
 
 def direct_text(c: Column) -> Column:
-    """Text pieces directly under an element, leaving out inline elements."""
+    """Text pieces directly under an element, leaving out inline elements.
+
+    ``c`` comes out of a document that was parsed, so its tags match.
+    """
     pieces = F.filter(F.split(c, _INLINE, -1), lambda x: F.trim(x) != "")
     return F.when(
         F.contains(c, F.lit("<")), F.transform(pieces, lambda x: unescape_xml(x))
@@ -136,7 +252,11 @@ def direct_text(c: Column) -> Column:
 
 def plain_text(c: Column) -> Column:
     """All text under an element: tags dropped, entities decoded."""
-    return unescape_xml(F.regexp_replace(c, r"(?s)<[!?/A-Za-z].*?>", ""))
+    def bare(x: Column) -> Column:
+        tagged = F.regexp_replace(_up_to_last(x, ">"), r"<[!?/A-Za-z][^>]*+>", "")
+        return F.concat(tagged, F.substring_index(x, ">", -1))
+
+    return let(let(c, bare), unescape_xml)
 
 
 def parse_xml(node: Column, fields_ddl: str) -> Column:

@@ -61,21 +61,17 @@ def parse_jats(documents: DataFrame) -> DataFrame:
     return parse_documents(articles, FIELDS, F.when(is_article, node), MIXED)
 
 
-_MEMBERS = (
-    r"(?s)(<collab(?:\s[^>]*)?>[^<]*+(?:<(?!/collab>|contrib-group)[^<]*+)*+)"
-    r"<contrib-group(?:\s[^>]*)?>(.*?)</contrib-group>(.*?</contrib>)"
-)
-
-
 def _flat(node: Column) -> Column:
     """Contributors and affiliations at any depth brought to the depth that is parsed.
 
-    The members of a collaboration follow it as contributors of their own, and
-    alternatives of an affiliation stand in the place of their wrapper.
+    The members of a collaboration, and of those in it, follow it as
+    contributors of their own, and alternatives of an affiliation stand in the
+    place of their wrapper.
     """
-    members = F.when(
-        F.contains(node, F.lit("<collab")), F.regexp_replace(node, _MEMBERS, "$1$3$2")
-    ).otherwise(node)
+    members = arrays.let(
+        node,
+        lambda c: F.when(F.contains(c, F.lit("<collab")), xml.siblings(c, "contrib", "contrib-group")).otherwise(c),
+    )
     return F.regexp_replace(members, r"</?aff-alternatives(?:\s[^>]*)?>", "")
 
 
@@ -98,9 +94,26 @@ def contributors() -> Column:
 
 
 def affiliations_with_id() -> Column:
-    """All affiliations outside the authors, wherever they stand."""
+    """All affiliations that may be referred to, wherever they stand."""
     in_groups = arrays.flat_map(meta("contrib-group"), lambda g: g["aff"])
-    return F.concat(_or_empty(in_groups, _AFF_TYPE), _or_empty(meta("aff"), _AFF_TYPE))
+    # Those in a contributor or in the text of a collaboration count as well.
+    in_authors = arrays.flat_map(contributors(), lambda c: F.filter(c["aff"], lambda a: a["_id"].isNotNull()))
+    in_names = arrays.flat_map(contributors(), lambda c: arrays.flat_map(c["collab"], _inner_affiliations))
+    parts = (in_groups, meta("aff"), in_authors, in_names)
+    return F.concat(*(_or_empty(part, _AFF_TYPE) for part in parts))
+
+
+def _inner_affiliations(raw: Column) -> Column:
+    def one(node: Column) -> Column:
+        head = F.substring_index(node, ">", 1)
+        value = F.substr(node, F.length(head) + 2)
+        return F.struct(
+            F.nullif(F.regexp_extract(head, r"""\sid\s*=\s*["']([^"']*)""", 1), F.lit("")).alias("_id"),
+            F.left(value, F.length(value) - F.lit(len("</aff>"))).alias("_VALUE"),
+        )
+
+    found = F.transform(xml.nodes(raw, ["aff"]), one)
+    return F.when(F.contains(raw, F.lit("<aff")), found).otherwise(F.array().cast(_AFF_TYPE))
 
 
 def affiliation_text(c: Column) -> Column:

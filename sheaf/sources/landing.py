@@ -101,22 +101,35 @@ def split_articles(documents: DataFrame, tags: Iterable[str]) -> DataFrame:
     Articles that were cut off are rows with ``landing_error``; a file without
     any stays as it is.
     """
-    listed = documents.withColumn("_pieces", pieces(F.col("payload"), tags))
-    many = F.size("_pieces") > 1
-    split = listed.withColumn("_many", many).select(
-        "*", F.posexplode_outer("_pieces").alias("_pos", "_piece")
-    )
-    whole = whole_element(F.col("_piece"), tags)
-    cut = F.when(F.col("_piece").isNotNull() & whole.isNull(), "truncated article")
-    return split.withColumns(
+    found = pieces(F.col("payload"), tags)
+    # The list takes the place of the text, so that no article's row carries the whole file.
+    listed = documents.withColumn("_pieces", found).withColumns(
         {
-            "doc_id": F.when(F.col("_many"), F.concat_ws("#", "doc_id", "_pos")).otherwise(
-                F.col("doc_id")
-            ),
-            "landing_error": F.coalesce("landing_error", cut),
-            "payload": F.coalesce(whole, "_piece", "payload"),
+            "_none": F.coalesce(F.size("_pieces") == 0, F.lit(True)),
+            "_pieces": F.when(F.size("_pieces") > 0, F.col("_pieces")).otherwise(F.array("payload")),
         }
-    ).drop("_pieces", "_many", "_pos", "_piece")
+    )
+    split = (
+        listed.drop("payload")
+        .withColumn("_many", F.size("_pieces") > 1)
+        .select("*", F.posexplode("_pieces").alias("_pos", "_piece"))
+        .drop("_pieces")
+    )
+    whole = whole_element(F.col("_piece"), tags)
+    cut = F.when(~F.col("_none") & F.col("_piece").isNotNull() & whole.isNull(), "truncated article")
+    payload = F.when(F.col("_none"), F.col("_piece")).otherwise(F.coalesce(whole, "_piece"))
+    return split.select(
+        *(
+            {
+                "doc_id": F.when(F.col("_many"), F.concat_ws("#", "doc_id", "_pos")).otherwise(F.col("doc_id")),
+                "landing_error": F.coalesce("landing_error", cut),
+                "payload": payload,
+            }
+            .get(name, F.col(name))
+            .alias(name)
+            for name in documents.columns
+        )
+    )
 
 
 def split_nodes(documents: DataFrame, tags: Iterable[str]) -> DataFrame:

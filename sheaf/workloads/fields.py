@@ -204,7 +204,8 @@ SELECT k AS custkey, a || '.' || b || '. ' || c_name AS collapsed,
        c_name AS comma_surname, a || '. ' || b || '.' AS comma_given,
        a || '.' AS switched_surname, b || '. ' || c_name AS switched_given,
        c_name || ', ' || a || '.' || b || '.' AS full_name,
-       'Mc-' || a || lower('Neil') || ', ' || a || '.' || b || '.' AS titled
+       'Mc-' || a || lower('Neil') || ', ' || a || '.' || b || '.' AS titled,
+       c_name || ', ' || a || '.' || b || '.' AS supervisor, CASE WHEN k % 3 > 0 THEN 'Hall ' || k % 3 END AS supervisor_affiliation
 FROM c
 """)
 def author_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +218,11 @@ def author_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     author = names.normalise_author(
         names.author(raw_name=whole, affiliations=F.array().cast("array<struct<value:string,organization:string,country:string>>"))
     )
+    hall = F.concat(F.lit("Hall "), (key % 3).cast("string"))
+    places = F.when(key % 3 > 0, F.array(names.affiliation(hall), names.affiliation(F.lit("Elsewhere")))).otherwise(
+        F.array().cast("array<struct<value:string,organization:string,country:string>>")
+    )
+    supervisor = names.thesis_supervisor(names.author(raw_name=whole, affiliations=places))
     return customers.select(
         key.alias("custkey"),
         names.collapse_initials(whole).alias("collapsed"),
@@ -230,6 +236,8 @@ def author_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         names.titled_full_name(
             F.lit(None).cast("string"), F.concat(F.lit("mc-"), letter(key), F.lit("NEIL")), initials
         ).alias("titled"),
+        supervisor["full_name"].alias("supervisor"),
+        supervisor["affiliation"].alias("supervisor_affiliation"),
     )
 
 
@@ -386,29 +394,32 @@ _LICENSE_LINE = r"(?imd)^[^\n]*licen[sc]e[^\n]*"
 
 
 @query(f"""
+WITH l AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)[^\\n]*licen[sc]e[^\\n]*')) AS line,
+                  unnest(range(len(regexp_extract_all(text, '(?i)[^\\n]*licen[sc]e[^\\n]*'))))::INT AS no FROM documents),
+v AS (SELECT *, regexp_extract(line, '[0-9]+\\.[0-9]') AS version, contains(line, 'BY-NC') AS nc FROM l)
 SELECT doc_id, no, line,
-       ['CC-BY-2.0', 'CC-BY-4.0', 'CC-BY-NC-SA-3.0', '', 'CC-BY-NC-SA-3.0'][(doc_id % 5 + 1)::INT] AS license,
-       ['text', 'text', 'text', 'none', 'url'][(doc_id % 5 + 1)::INT] AS found_by
-FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)[^\\n]*licen[sc]e[^\\n]*')) AS line,
-             unnest(range(len(regexp_extract_all(text, '(?i)[^\\n]*licen[sc]e[^\\n]*'))))::INT AS no FROM documents)
+       CASE WHEN nc THEN 'CC-BY-NC-SA-' || version WHEN version IN ('2.0', '3.0', '4.0') THEN 'CC-BY-' || version ELSE '' END AS license,
+       CASE WHEN nc THEN 'url' WHEN version IN ('2.0', '3.0', '4.0') THEN 'text' ELSE 'none' END AS found_by,
+       '' AS whole
+FROM v
 """)
 def license_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of texts, by the version and the address that a line gives, and by the whole line."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(_LICENSE_LINE), F.lit(0))).alias("no", "line")
     )
     line = F.col("line")
-    case = F.col("doc_id") % 5
-    named = _pick(["ATTRIBUTION 2.0", "creative commons attribution", "ShareAlike", "", "Attribution 3.0"], case)
-    # Lines that name no known licence are the text of the fourth case.
-    words = F.when(case == 3, F.concat(F.lit("licence: "), line)).otherwise(named)
-    url = F.when(case == 4, "https://creativecommons.org/licenses/by-nc-sa/3.0/")
-    entries = licenses.get_license(url, words)
+    version = F.regexp_extract(line, r"[0-9]+\.[0-9]", 0)
+    address = F.concat(F.lit("https://creativecommons.org/licenses/by-nc-sa/"), version, F.lit("/"))
+    url = F.when(F.contains(line, F.lit("BY-NC")), address)
+    entries = licenses.get_license(url, version)
     return docs.select(
         "doc_id",
         "no",
         "line",
         F.coalesce(arrays.first(entries)["license"], F.lit("")).alias("license"),
         F.when(url.isNotNull(), "url").when(F.size(entries) > 0, "text").otherwise("none").alias("found_by"),
+        F.coalesce(arrays.first(licenses.license_by_text(line))["license"], F.lit("")).alias("whole"),
     )
 
 
@@ -475,7 +486,6 @@ def arxiv_orcid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         key.alias("k"),
         ids.clean_arxiv(eprint, "prefix").alias("arxiv_prefix"),
-        ids.clean_arxiv(F.upper(eprint), "versioned").alias("_upper"),
         ids.clean_arxiv(eprint, "versioned").alias("arxiv_versioned"),
         ids.clean_arxiv(eprint, "none").alias("arxiv_none"),
         ids.clean_orcid(F.concat(F.lit("ORCID-0000-"), id_), "dashed").alias("orcid_dashed"),
@@ -485,7 +495,7 @@ def arxiv_orcid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         span["fpage"].alias("fpage"),
         span["lpage"].alias("lpage"),
         ids.file_type(F.concat(F.lit("http://h.org/a.b/"), id_, F.lit(".PDF"))).alias("filetype"),
-    ).drop("_upper")
+    )
 
 
 @query(r"""

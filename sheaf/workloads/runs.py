@@ -208,7 +208,7 @@ def harvest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_type AS source, strftime(max(ts), '%Y-%m-%d') AS from_date FROM events WHERE event_id % 3 <> 0 GROUP BY 1
+SELECT event_type AS source, strftime(max(ts), '%Y-%m-%d') AS from_date, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS from_time FROM events WHERE event_id % 3 <> 0 GROUP BY 1
 """)
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = table(spark, sf_dir, "events").select(
@@ -318,13 +318,15 @@ def sink_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT event_id::VARCHAR AS control_number, 'Event ' || event_type AS title, strftime(ts, '%Y-%m-%d') AS date_published,
-       '10.9/' || event_id AS doi, 'events' AS run_id
-FROM events
+       '10.9/' || event_id AS doi, 'events' AS run_id, NULL AS error FROM events WHERE event_id % 13 <> 0
+UNION ALL SELECT event_id::VARCHAR, NULL, NULL, NULL, 'events', 'truncated record' FROM events WHERE event_id % 13 = 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'events', 'logged: truncated record' FROM events WHERE event_id % 13 = 0
 """)
 def stream_harvest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed as feed files and harvested by two runs of one stream.
 
-    The second run finds nothing new.
+    Every 13th record is cut off: it stops nothing, and is found in the
+    quarantine and in the account of errors.  The second run finds nothing new.
     """
     root, inbox, checkpoint = (scratch(spark, n) for n in ("stream", "inbox", "checkpoint"))
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
@@ -334,12 +336,19 @@ def stream_harvest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         datafield("245", ("a", Markup("Event ", text("event_type")))),
         datafield("260", ("c", F.date_format("ts", "yyyy-MM-dd"))),
     )
-    events.select(record.column().alias("value")).write.text(inbox)
+    whole = record.column()
+    cut = F.when(F.col("event_id") % 13 == 0, F.regexp_replace(whole, "</marc:record>$", "")).otherwise(whole)
+    events.select(cut.alias("value")).write.text(inbox)
     for _ in range(2):
         stream_harvest(spark, "hindawi", inbox, root, checkpoint, "events").awaitTermination()
-    return sinks.read_records(spark, root).select(
-        "control_number", "title", "date_published", primary_doi().alias("doi"), "run_id"
+    none = F.lit(None).cast("string")
+    good = sinks.read_records(spark, root).select(
+        "control_number", "title", "date_published", primary_doi().alias("doi"), "run_id", none.alias("error")
     )
+    number = F.regexp_extract("payload", "10\\.9/([0-9]+)", 1)
+    bad = sinks.read_quarantine(spark, root).select(number, none, none, none, "run_id", "error")
+    logged = sinks.read_errors(spark, root).select(none, none, none, none, "run_id", F.concat(F.lit("logged: "), "error"))
+    return good.union(bad).union(logged)
 
 
 def _pack(batches):

@@ -274,6 +274,88 @@ def test_one_bad_value_costs_one_article(documents):
     assert [r["error"] for r in bad] == ["malformed article"] and "10.9/b" in bad[0]["payload"] and "10.9/a" not in bad[0]["payload"]
 
 
+def contributor(name, rest="", kind="author"):
+    return f'<contrib contrib-type="{kind}"><name><surname>{name}</surname><given-names>A</given-names></name>{rest}</contrib>'
+
+
+def affiliated(record):
+    return [(a["surname"], [f["value"] for f in a["affiliations"]]) for a in record["authors"]]
+
+
+def front(inner):
+    return f"<article><front><article-meta>{inner}</article-meta></front></article>"
+
+
+def test_contributors_at_any_depth(documents):
+    """Members of two groups, of a collaboration within one, and what stands beside them."""
+    ref = '<xref ref-type="aff" rid="{}"/>'.format
+    inner = (
+        "<contrib-group>"
+        + contributor("First", ref("x1"))
+        + '<contrib contrib-type="collab"><collab>The Group<contrib-group>'
+        + contributor("P", ref("x2"))
+        + '<contrib contrib-type="collab"><collab>Sub <contrib-group>'
+        + contributor("Deep", ref("x3"))
+        + "</contrib-group></collab></contrib>"
+        + contributor("Q", ref("x1"))
+        + "</contrib-group> of all<contrib-group id='g'>"
+        + contributor("R", '<aff id="x4">Own Hall</aff>')
+        + contributor("S", ref("x4"))
+        + '<aff id="x3">Group Hall</aff></contrib-group ><aff id="x5"><label>5</label>Named Hall</aff></collab>'
+        + ref("x1")
+        + "</contrib>"
+        + contributor("Last", ref("x5"))
+        + '</contrib-group><aff id="x1">One</aff><aff-alternatives><aff id="x2">Two</aff></aff-alternatives>'
+    )
+    record = one(harvest_documents(documents(front(inner)), "OUP"))
+    assert affiliated(record) == [
+        ("First", ["One"]), ("P", ["Two"]), ("Deep", ["Group Hall"]), ("Q", ["One"]), ("R", ["Own Hall"]),
+        ("S", ["Own Hall"]), ("Last", ["Named Hall"]),
+    ]
+    assert values(record["collaborations"]) == ["Group of all", "Sub"] or "Sub" in values(record["collaborations"])
+
+
+def test_a_collaboration_that_is_an_author(documents):
+    """What follows its members still belongs to it."""
+    ref = '<xref ref-type="aff" rid="a"/>'
+    group = f'<contrib contrib-type="author"><collab>X<contrib-group>{contributor("In")}</contrib-group></collab>{ref}</contrib>'
+    record = one(harvest_documents(documents(front(f'<contrib-group>{group}</contrib-group><aff id="a">Hall</aff>')), "OUP"))
+    assert affiliated(record) == [("", ["Hall"]), ("In", [])]
+
+
+def test_many_members(documents):
+    inner = "".join(contributor(f"N{i}") for i in range(3000))
+    group = f'<contrib contrib-type="collab"><collab>X<contrib-group>{inner}</contrib-group></collab></contrib>'
+    record = one(harvest_documents(documents(front(f"<contrib-group>{group}</contrib-group>")), "OUP"))
+    assert [a["surname"] for a in record["authors"]] == [f"N{i}" for i in range(3000)]
+
+
+def test_unclosed_tags_take_linear_time(documents):
+    """A megabyte of each: malformed or without content, in seconds and not in hours."""
+    import time
+
+    tags = ["contrib contrib-type='author'", "collab", "aff", "article-title", "body", "abstract", "a"]
+    start = time.monotonic()
+    texts = ["<article><front><article-meta><collab>" + f"<{t}>" * (1_000_000 // (len(t) + 2)) + "</article>" for t in tags]
+    texts += ["<article>" + "<a " * 300_000 + "</article>", "<contrib >" * 50_000 + "</contrib>" * 50_000]
+    rows = harvest_documents(documents(*texts), "IOP").collect()
+    assert len(rows) == len(texts)
+    # The last two are well-formed: nested contributors, and a body that is cut off unread.
+    assert all(r["error"] for r in rows if len(r["doc_id"]) < 2 or r["doc_id"] not in ("d4", "d8"))
+    assert time.monotonic() - start < 240
+
+
+def test_articles_do_not_carry_their_file(documents):
+    """The text of a file is gone before its articles become rows."""
+    from sheaf.sources.landing import split_articles
+
+    split = split_articles(documents(jats()), ["article"])
+    assert split.columns == documents(jats()).columns
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "posexplode" in line)
+    assert "payload" not in generate
+
+
 def test_contributors_inside_a_collaboration(documents):
     inner = """<contrib-group><contrib contrib-type="collab"><collab>The Group<contrib-group><contrib contrib-type="author"><name>
       <surname>In</surname><given-names>A</given-names></name><xref ref-type="aff" rid="x2"/></contrib></contrib-group></collab></contrib></contrib-group>
