@@ -7,11 +7,12 @@ is the prefix of a window, so Spark's ROLLUP over the columns, which sums
 successively shorter prefixes, gives the counts of all phrases of all lengths,
 and on its last level the number of words.
 
-Words of which a phrase could not be frequent are padded too: a first pass
-counts words and pairs of neighbours by places of a hash table of fixed size,
-and only where a place stays below the least count, its words and pairs are
-surely rare.  Places that are shared make windows longer than they need to be;
-no frequent phrase is lost by them and no count is changed.
+Words behind which a phrase cannot be frequent are padded too: passes over
+words, pairs and so on below the longest count these by places of hash tables
+of fixed size, and only where a place stays below the least count, its phrases
+are surely rare.  Each pass leaves out what holds a rare shorter phrase.
+Places that are shared make windows longer than they need to be; no frequent
+phrase is lost by them and no count is changed.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ from pyspark.sql.types import StructType
 
 from sheaf.llm.shared import staged
 
-#: Places of the table by which rare words and pairs are told; a power of two, a bit each where it is sent.
-PLACES = 1 << 27
+#: Places of each table by which rare phrases are told; a power of two, a bit each where it is sent.
+PLACES = 1 << 28
 #: Words that a task holds before it counts them together.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Parts that the candidates of a language are first ranked in, level by level.
 PARTS = (1024, 16, 1)
 
@@ -66,17 +67,27 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             # No byte of UTF-8 is 255, so it may stand for the end of a piece.
             raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            words = raw.lower().translate(_TO_END).replace(b"\xff", b" \xff ").split()
-            words.append(b"\xff")
-            numbers, parts = held.setdefault(lang, (_Numbers(), []))
-            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-            n += len(words)
-            if n >= CHUNK:
-                yield from flushed()
-                n = 0
+            for part in _cut(raw.lower().translate(_TO_END)):
+                words = part.replace(b"\xff", b" \xff ").split()
+                words.append(b"\xff")
+                numbers, parts = held.setdefault(lang, (_Numbers(), []))
+                parts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+                n += len(words)
+                if n >= CHUNK:
+                    yield from flushed()
+                    n = 0
     yield from flushed()
 
 
+def _cut(text: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+    """A long text in parts that end where a piece does."""
+    at = 0
+    while (end := text.find(b"\xff", at + size)) >= 0:
+        yield text[at:end]
+        at = end + 1
+    yield text[at:]
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _K[0]
     return x ^ (x >> np.uint64(29))
@@ -87,12 +98,36 @@ def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _word_places(hashes: np.ndarray, places: int) -> np.ndarray:
-    return (_mixed(hashes * _K[1]) & np.uint64(places - 1)).astype(np.int64)
+def _place(codes: np.ndarray, places: int) -> np.ndarray:
+    return (_mixed(codes * _K[1]) & np.uint64(places - 1)).astype(np.int64)
+
 
+def _behind(x: np.ndarray) -> np.ndarray:
+    """What stands one word further."""
+    return np.append(x[1:], x.dtype.type(0))
 
-def _pair_places(first: np.ndarray, second: np.ndarray, places: int) -> np.ndarray:
-    return (_mixed(first * _K[1] + second * _K[2]) & np.uint64(places - 1)).astype(np.int64)
+
+def _levels(
+    lang: str, words: list[bytes], numbers: np.ndarray, tables: list[np.ndarray], places: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For phrases of 1, 2 ... words: where those begin that may be frequent, and the places of what had to be looked up.
+
+    The tables have a bit per place for phrases of 1, 2 ... words; of those one
+    word longer only the parts are known.
+    """
+    word = _hashes(lang, words)[numbers]
+    code, may = word, numbers > 0
+    for k in range(1, len(tables) + 2):
+        at = np.flatnonzero(may)
+        place = _place(code[at], places)
+        if k <= len(tables):
+            may = np.zeros(len(numbers), bool)
+            may[at] = (tables[k - 1][place >> 6] >> (place & 63) & 1).astype(bool)
+        yield may, place
+        # One word longer: both parts must be frequent.
+        may = may & _behind(may)
+        word = _behind(word)
+        code = _mixed(code * _K[2]) + word
 
 
 def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
@@ -115,20 +150,17 @@ def _mapped(texts: DataFrame, fields: str, work) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def frequent_places(texts: DataFrame, least: int, places: int) -> np.ndarray:
-    """A bit per place: whether the words and pairs there occur ``least`` times together."""
+def frequent_places(texts: DataFrame, k: int, least: int, places: int, tables: list) -> np.ndarray:
+    """A bit per place: whether the phrases of ``k`` words there occur ``least`` times together.
+
+    ``tables`` holds the broadcast bits for shorter phrases; only phrases of
+    which both shorter ones may be frequent are counted.
+    """
 
     def work(lang, words, numbers):
-        hashes = _hashes(lang, words)
-        # Numbers 0 are no words, and a pair with one is none.
-        counts = np.bincount(numbers, minlength=len(words))[1:]
-        a, b = numbers[:-1], numbers[1:]
-        pairs, n = np.unique((a * len(words) + b)[(a > 0) & (b > 0)], return_counts=True)
-        at = np.concatenate(
-            [_word_places(hashes[1:], places), _pair_places(hashes[pairs // len(words)], hashes[pairs % len(words)], places)]
-        )
-        at, inverse = np.unique(at, return_inverse=True)
-        return [at.astype(np.int32), np.bincount(inverse, np.concatenate([counts, n]), len(at)).astype(np.int64)]
+        *_, (_, at) = _levels(lang, words, numbers, [t.value for t in tables], places)
+        at, n = np.unique(at, return_counts=True)
+        return [at.astype(np.int32), n.astype(np.int64)]
 
     counted = _mapped(texts, "place int, n bigint", work)
     frequent = counted.groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
@@ -136,7 +168,7 @@ def frequent_places(texts: DataFrame, least: int, places: int) -> np.ndarray:
     bits = frequent.groupBy(F.shiftright("place", 6).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("bits")
     )
-    table = np.zeros(max(1, places >> 6), np.int64)
+    table = np.zeros(places >> 6, np.int64)
     found = bits.toArrow()
     table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
     return table
@@ -147,36 +179,22 @@ def windows(docs: DataFrame, *, longest: int, least: int, lang: str = "lang", te
     if places & (places - 1) or places > 1 << 31 or places < 64:
         raise ValueError("places is a power of two from 64 to 2**31")
     texts = _texts(docs, lang, text)
-    table = docs.sparkSession.sparkContext.broadcast(frequent_places(texts, least, places))
     names = [f"w{i + 1}" for i in range(longest)]
+    tables: list = []
+    for k in range(1, longest):
+        tables.append(docs.sparkSession.sparkContext.broadcast(frequent_places(texts, k, least, places, tables)))
 
     def work(lang, words, numbers):
-        bits = table.value
-        is_frequent = lambda at: (bits[at >> 6] >> (at & 63) & 1).astype(bool)
-        hashes = _hashes(lang, words)
-        known = is_frequent(_word_places(hashes, places))
-        known[0] = False
-        first = numbers
-        second = np.append(numbers[1:], 0)
-        # Whether the pair that begins at a word may be frequent; only then windows go on behind it.
-        goes_on = known[first] & known[second]
-        at = np.flatnonzero(goes_on)
-        goes_on[at] = is_frequent(_pair_places(hashes[first[at]], hashes[second[at]], places))
         begins = np.flatnonzero(numbers > 0)
-        # A rare word counts as a word, and nothing begins with it.
-        column = np.where(known[first], first, 0)[begins]
-        on, lead = np.ones(len(begins), bool), [column]
-        code = column
-        padded = np.concatenate([numbers, np.zeros(longest, np.int64)])
-        further = np.concatenate([goes_on, np.zeros(longest, bool)])
-        distinct = len(words)
-        for i in range(1, longest):
-            on = on & further[begins + i - 1]
-            column = np.where(on, padded[begins + i], 0)
+        lead, code, padded = [], np.zeros(len(begins), np.int64), numbers
+        for may, _ in _levels(lang, words, numbers, [t.value for t in tables], places):
+            # A rare word counts as a word and nothing more; a window ends where no longer phrase can be frequent.
+            column = np.where(may[begins], padded[begins], 0)
             # Windows so far get dense numbers, so that numbers of longer ones stay small.
             _, code = np.unique(code, return_inverse=True)
-            code = code * distinct + column
+            code = code * len(words) + column
             lead.append(column)
+            padded = _behind(padded)
         _, one, n = np.unique(code, return_index=True, return_counts=True)
         spelt = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string(), safe=False)
         out = [spelt.take(pa.array(column[one])) for column in lead]
