@@ -29,8 +29,8 @@ from pyspark.sql.types import StructType
 
 from sheaf.llm.shared import staged
 
-#: Places of each table by which rare phrases are told; a power of two, a bit each where it is sent.
-PLACES = 1 << 28
+#: Places of each table by which rare phrases are told; a power of two.  At most places / 64 longs come to the driver and are sent to the workers.
+PLACES = 1 << 27
 #: Words that a task holds before it counts them together.
 CHUNK = 1_000_000
 #: Parts that the candidates of a language are first ranked in, level by level.
@@ -107,8 +107,27 @@ def _behind(x: np.ndarray) -> np.ndarray:
     return np.append(x[1:], x.dtype.type(0))
 
 
+class Places:
+    """A bit for each of ``n`` places; only the longs with any are sent to the workers."""
+
+    def __init__(self, n: int, at: np.ndarray, bits: np.ndarray) -> None:
+        self.n, self.at, self.bits, self.table = n, at, bits, None
+
+    def __getstate__(self) -> tuple:
+        return self.n, self.at, self.bits, None
+
+    def __setstate__(self, state: tuple) -> None:
+        self.n, self.at, self.bits, self.table = state
+
+    def __getitem__(self, place: np.ndarray) -> np.ndarray:
+        if self.table is None:
+            self.table = np.zeros(self.n >> 6, np.int64)
+            self.table[self.at] = self.bits
+        return (self.table[place >> 6] >> (place & 63) & 1).astype(bool)
+
+
 def _levels(
-    lang: str, words: list[bytes], numbers: np.ndarray, tables: list[np.ndarray], places: int
+    lang: str, words: list[bytes], numbers: np.ndarray, tables: list[Places], places: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For phrases of 1, 2 ... words: where those begin that may be frequent, and the places of what had to be looked up.
 
@@ -122,7 +141,7 @@ def _levels(
         place = _place(code[at], places)
         if k <= len(tables):
             may = np.zeros(len(numbers), bool)
-            may[at] = (tables[k - 1][place >> 6] >> (place & 63) & 1).astype(bool)
+            may[at] = tables[k - 1][place]
         yield may, place
         # One word longer: both parts must be frequent.
         may = may & _behind(may)
@@ -150,7 +169,7 @@ def _mapped(texts: DataFrame, fields: str, work) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def frequent_places(texts: DataFrame, k: int, least: int, places: int, tables: list) -> np.ndarray:
+def frequent_places(texts: DataFrame, k: int, least: int, places: int, tables: list) -> Places:
     """A bit per place: whether the phrases of ``k`` words there occur ``least`` times together.
 
     ``tables`` holds the broadcast bits for shorter phrases; only phrases of
@@ -168,10 +187,8 @@ def frequent_places(texts: DataFrame, k: int, least: int, places: int, tables: l
     bits = frequent.groupBy(F.shiftright("place", 6).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("bits")
     )
-    table = np.zeros(places >> 6, np.int64)
     found = bits.toArrow()
-    table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
-    return table
+    return Places(places, found.column("at").to_numpy(), found.column("bits").to_numpy())
 
 
 def windows(docs: DataFrame, *, longest: int, least: int, lang: str = "lang", text: str = "text", places: int = PLACES) -> DataFrame:
