@@ -13,7 +13,9 @@ any: no shuffle, no group, and a lost task is packed again from its rows.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from sheaf.llm.chunks import LONGEST, Memory, parts_of
+from sheaf.llm.chunks import Memory, parts_of
 from sheaf.llm.shared import SLICE
 
 
@@ -74,6 +76,8 @@ class Packer:
         self.limits, self.cut, self.next, self.open = limits, cut, first, open_
         self.caps = np.array([limits.tokens, limits.segments, limits.loss], float)
         self.waiting: list[Example] = []
+        #: A row for each waiting example: its tokens, segments and tokens that bear loss.
+        self.size = np.empty((open_, 3))
 
     def add(self, example: Example) -> Iterator[tuple]:
         if not self.cut and (
@@ -86,6 +90,7 @@ class Packer:
             example.start += n
             if example.start == example.end:
                 return
+        self.size[len(self.waiting)] = example.end - example.start, 1, example.loss(example.start, example.end)
         self.waiting.append(example)
         if len(self.waiting) >= self.open:
             while len(self.waiting) > self.open // 2:
@@ -97,8 +102,7 @@ class Packer:
 
     def filled(self) -> Iterator[tuple]:
         """One sequence of the waiting examples."""
-        waiting = self.waiting
-        size = np.array([(e.end - e.start, 1, e.loss(e.start, e.end)) for e in waiting], float)
+        waiting, size = self.waiting, self.size[: len(self.waiting)]
         shares = size / self.caps
         free = self.caps.copy()
         there = np.ones(len(waiting), bool)
@@ -111,15 +115,16 @@ class Packer:
             there[at] = False
             free -= size[at]
             taken.append((waiting[at], waiting[at].start, int(size[at, 0])))
-        left = [e for e, keep in zip(waiting, there, strict=True) if keep]
-        if self.cut and left and free[0] and free[1]:
+        if self.cut and free[0] and free[1] and there.any():
             # None fits whole: the longest gives what fills the sequence.
-            longest = max(left, key=lambda e: e.end - e.start)
-            n = longest.reach(int(free[2]), int(free[0]))
-            if n:
+            at = int(np.argmax(np.where(there, size[:, 0], -1.0)))
+            longest = waiting[at]
+            if n := longest.reach(int(free[2]), int(free[0])):
                 taken.append((longest, longest.start, n))
                 longest.start += n
-        self.waiting = left
+                size[at] = longest.end - longest.start, 1, longest.loss(longest.start, longest.end)
+        self.size[: there.sum()] = size[there]
+        self.waiting = [waiting[i] for i in np.flatnonzero(there)]
         yield from self.emitted(taken)
 
     def emitted(self, taken: list[tuple[Example, int, int]]) -> Iterator[tuple]:
@@ -163,6 +168,10 @@ def sequence_base(partition: int) -> int:
     return partition << 36
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
 class Ids:
     """Token ids of a tokenizer file as bytes, four to an id, little-endian; parts of texts are remembered."""
 
@@ -173,22 +182,21 @@ class Ids:
         # Ids of whole texts, as truncation and padding of the file would change them.
         self.library.no_truncation()
         self.library.no_padding()
-        self.memory = Memory(self.encoded)
+        self.memory = Memory(self.encoded, self.all_encoded)
 
     def encoded(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def all_encoded(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 10_000):
+            out += [_packed(e.ids) for e in self.library.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)]
+        return out
 
     def of(self, texts: list[str]) -> list[bytes]:
         cut = [parts_of(text) for text in texts]
-        memory = self.memory
-        fresh = list({part for _, rest in cut for part in rest if part not in memory and len(part) <= LONGEST})
-        for at in range(0, len(fresh), 10_000):
-            new = fresh[at : at + 10_000]
-            if len(memory) + len(new) > memory.most:
-                memory.clear()
-            made = self.library.encode_batch_fast([" " + part for part in new], add_special_tokens=False)
-            memory.update((part, np.array(e.ids, "<u4").tobytes()) for part, e in zip(new, made, strict=True))
-        return [self.encoded(first) + b"".join(map(memory.__getitem__, rest)) for first, rest in cut]
+        self.memory.learn([rest for _, rest in cut])
+        return [self.encoded(first) + b"".join(self.memory.of(rest)) for first, rest in cut]
 
 
 @lru_cache(maxsize=4)
