@@ -3,7 +3,8 @@
 A string of the vocabulary that encodes alone as one token counts one wherever
 it stands as a pre-token.  This is proved once per vocabulary by merging every
 entry's bytes; at run time the pre-tokens of a text are counted, the proved
-ones are taken directly, and only the rest are merged.
+ones are taken directly, and only the rest are merged.  Texts are cut where
+pre-tokens end anyway, and what such a part counts is remembered.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from functools import lru_cache
 import regex
 from pyspark.sql import DataFrame
 
+from sheaf.llm.chunks import Memory, parts_of
 from sheaf.llm.shared import map_texts
 
 #: Fixed value: the pre-token pattern of byte-level BPE.
@@ -29,7 +31,7 @@ _OTHER = regex.compile(
     "！-～\U0001f300-\U0001f5ff\U0001f600-\U0001f64f]"
 )
 #: Pre-tokens a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -70,6 +72,7 @@ class Counts:
             if self.merged(raw) == 1:
                 self.whole.add(string)
         self.seen: dict[str, int] = {}
+        self.memory = Memory(self.count_all, self.count_parts)
         self._library = None
 
     def merged(self, raw: bytes) -> int:
@@ -95,13 +98,31 @@ class Counts:
     def pretokens(self, text: str) -> list[str]:
         if not _OTHER.search(text):
             return PATTERN.findall(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each text: sums over parts that a worker knows from earlier texts."""
+        cut = [parts_of(text) for text in texts]
+        self.memory.learn([rest for _, rest in cut])
+        return [self.count_all(first) + sum(self.memory.of(rest)) for first, rest in cut]
+
+    def count_parts(self, parts: list[str]) -> list[int]:
+        """Tokens of each part: one of those proved whole, and of the rest, which the library merges in one call."""
+        rest = [p for p in parts if p not in self.whole]
+        merged = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [1 if p in self.whole else len(next(merged)) for p in parts]
+
+    @property
+    def library(self):
         if self._library is None:
             from tokenizers import Tokenizer
 
-            self._library = Tokenizer.from_file(self.path).pre_tokenizer
-        return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
+            self._library = Tokenizer.from_file(self.path)
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library
 
-    def count(self, text: str) -> int:
+    def count_all(self, text: str) -> int:
         parts = [text]
         total = 0
         if self.added is not None:
@@ -176,12 +197,8 @@ def token_counts(
     """
 
     def work(texts):
-        table = counts(tokenizer)
-        out = {"n_bytes": [], "n_tokens": []}
-        for value in texts:
-            value = value or ""
-            out["n_bytes"].append(len(value.encode("utf-8", "surrogatepass")))
-            out["n_tokens"].append(table.count(value))
-        return out
+        texts = [value or "" for value in texts]
+        sizes = [len(value.encode("utf-8", "surrogatepass")) for value in texts]
+        return {"n_bytes": sizes, "n_tokens": counts(tokenizer).counts(texts)}
 
     return map_texts(docs, [text], work, "n_bytes bigint, n_tokens bigint", keep=keep)
