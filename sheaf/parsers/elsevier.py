@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheaf import dims
 from sheaf.functions import arrays, ids, licenses, names, xml
@@ -142,53 +142,63 @@ def _authors() -> Column:
 # --- manifest ----------------------------------------------------------------
 
 
-def complete(articles: DataFrame, manifest: DataFrame) -> DataFrame:
+def complete(articles: DataFrame, listed: DataFrame) -> DataFrame:
     """Add journal, volume, pages, date and files from the manifest.
 
-    Articles the manifest does not list become errors.
+    ``listed`` is what :func:`sheaf.sources.manifest.listed_articles` gives.
+    Articles the manifest does not list become errors, and so does, as a row
+    of its own, what it lists and the package lacks.  Articles and listed rows
+    come together by package and DOI in one step, so each is computed once.
     """
     own = articles.columns
-    listed = (
-        manifest.withColumn("_listed", F.lit(True))
-        .drop("item_pos")
-        .withColumnRenamed("doi", "_key")
-    )
     # Articles without a DOI match nothing; a key of their own keeps them from
     # meeting in one task.
-    key = F.coalesce("doi", F.concat(F.lit("no DOI: "), "doc_id"))
-    joined = articles.withColumn("_key", key).join(listed, ["package_path", "_key"], "left")
+    key = F.coalesce("doi", F.concat(F.lit("no DOI: "), "doc_id")).alias("_key")
+    told = [c for c in listed.columns if c not in ("package_path", "doi")]
+    both = articles.select("package_path", key, F.struct(*own).alias("_article")).unionByName(
+        listed.select("package_path", F.col("doi").alias("_key"), F.struct(*told).alias("_listed")),
+        allowMissingColumns=True,
+    )
+    of_doi = Window.partitionBy("package_path", "_key")
+    is_article = F.col("_article").isNotNull()
+    met = both.withColumn("_known", F.max("_listed").over(of_doi)).where(
+        is_article | F.col("_listed.problem").isNotNull()
+    )
+    is_item = F.coalesce(F.col("_known.is_item"), F.lit(False)) & is_article
+    rows = met.select(
+        *(F.col(f"_article.{c}").alias(c) for c in own if c not in ("spider", "doc_id", "package_path", "error", "doi")),
+        F.coalesce("_article.spider", F.lit("Elsevier")).alias("spider"),
+        F.when(is_article, F.col("_article.doc_id")).otherwise(F.concat_ws("#", "package_path", "_key")).alias("doc_id"),
+        "package_path",
+        F.col("_article.error").alias("error"),
+        F.col("_listed.problem").alias("_problem"),
+        is_item.alias("_is_item"),
+        *(F.when(is_item, F.col(f"_known.{c}")).alias(c) for c in told if c not in ("is_item", "problem")),
+    )
     pages = ids.page_count(F.col("first_page"), F.col("last_page"))
     both_given = F.col("first_page").isNotNull() & F.col("last_page").isNotNull()
-    ok = F.col("error").isNull()
     date = F.substring("publication_date", 1, 10)
-    return (
-        joined.withColumns(
-            {
-                "journal_title": F.col("journal"),
-                "journal_volume": F.col("volume"),
-                "journal_fpage": F.col("first_page"),
-                "journal_lpage": F.col("last_page"),
-                "page_nr": F.when(pages.isNotNull(), F.array(pages)),
-                "date_published": date,
-                "journal_year": ids.to_int(F.substring(date, 1, 4)),
-                "collections": F.when(F.col("journal").isNotNull(), F.array("journal")),
-                "local_files": F.when(F.col("_listed"), _manifest_files()),
-                "warnings": F.array_compact(
-                    F.concat(
-                        "warnings",
-                        F.array(F.when(both_given & pages.isNull(), "bad_page_count")),
-                    )
-                ),
-                "error": F.when(ok & F.col("_listed").isNull(), "DOI not in manifest").otherwise(
-                    F.col("error")
-                ),
-            }
-        )
-        .select(
-            *[c for c in own if c != "doi"],
-            "journal_title", "journal_volume", "journal_fpage", "journal_lpage", "page_nr",
-            "date_published", "journal_year", "collections", "local_files",
-        )
+    unlisted = F.when(F.col("error").isNull() & ~F.col("_is_item"), "DOI not in manifest")
+    return rows.withColumns(
+        {
+            "journal_title": F.col("journal"),
+            "journal_volume": F.col("volume"),
+            "journal_fpage": F.col("first_page"),
+            "journal_lpage": F.col("last_page"),
+            "page_nr": F.when(pages.isNotNull(), F.array(pages)),
+            "date_published": date,
+            "journal_year": ids.to_int(F.substring(date, 1, 4)),
+            "collections": F.when(F.col("journal").isNotNull(), F.array("journal")),
+            "local_files": F.when(F.col("_is_item"), _manifest_files()),
+            "warnings": F.array_compact(
+                F.concat("warnings", F.array(F.when(both_given & pages.isNull(), "bad_page_count")))
+            ),
+            "error": F.coalesce("_problem", unlisted, "error"),
+        }
+    ).select(
+        *[c for c in own if c != "doi"],
+        "journal_title", "journal_volume", "journal_fpage", "journal_lpage", "page_nr",
+        "date_published", "journal_year", "collections", "local_files",
     )
 
 

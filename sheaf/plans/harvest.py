@@ -86,16 +86,10 @@ def parse_source(spec: SourceSpec, documents: DataFrame, **options) -> DataFrame
     options = {**spec.defaults, **options}
     if not spec.needs_manifest:
         return spec.parse(documents, **options)
-    listed = manifest.build_manifest(documents, options.pop("as_of", None))
+    listed = manifest.listed_articles(documents, options.pop("as_of", None))
     is_article = F.col("payload").rlike(r"<(?:simple-)?article[\s>]")
     articles = documents.where(is_article | F.col("landing_error").isNotNull())
-    problems = manifest.manifest_problems(documents).select(
-        F.lit(spec.name).alias("spider"),
-        F.concat_ws("#", "package_path", "doi").alias("doc_id"),
-        "package_path",
-        "error",
-    )
-    return union_sources(spec.parse(articles, listed, **options), problems)
+    return spec.parse(articles, listed, **options)
 
 
 def harvest_documents(

@@ -269,10 +269,10 @@ def route_springer(members: DataFrame) -> DataFrame:
 
 
 def spread(documents: DataFrame) -> DataFrame:
-    """Deal documents out evenly, whatever their files are like.
+    """Deal documents out evenly by their bytes, whatever their files are like.
 
     Parsing is bound by the processor, and one large archive or file may hold
-    most documents of an input.
+    most documents of an input.  How many parts there are is settled at run
+    time, by what was written for the exchange.
     """
-    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return documents.repartition(tasks)
+    return documents.hint("rebalance")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheaf import dims
 from sheaf.functions import arrays, xml
@@ -15,11 +15,10 @@ _FILES = """`files-info`: STRUCT<
   ml: ARRAY<STRUCT<pathname: ARRAY<STRING>>>,
   `web-pdf`: ARRAY<STRUCT<pathname: ARRAY<STRING>>>>"""
 
-_ISSUE = f"""
+# Issues and items are parsed by one schema.
+_ELEMENT = f"""
   `journal-issue-properties`: STRUCT<{_VOLUME}>, {_VOLUME},
-  `journal-issue-unique-ids`: STRUCT<{_VOLUME}>, {_FILES}
-"""
-_ITEM = f"""
+  `journal-issue-unique-ids`: STRUCT<{_VOLUME}>,
   `journal-item-unique-ids`: STRUCT<
     doi: ARRAY<STRING>, `jid-aid`: STRUCT<jid: ARRAY<STRING>, aid: ARRAY<STRING>>>,
   `journal-item-properties`: STRUCT<`online-publication-date`: ARRAY<STRING>>,
@@ -35,16 +34,6 @@ def is_dataset(member_path: Column) -> Column:
     return F.contains(member_path, F.lit("dataset.xml"))
 
 
-def _elements(documents: DataFrame, tag: str, ddl: str, position: str) -> DataFrame:
-    """One parsed row per element of the tag, with its place in the document."""
-    listed = documents.select(
-        "package_path", "member_path", xml.nodes(F.col("payload"), [tag]).alias("_nodes")
-    )
-    found = explode_list(listed, "_nodes", position, "_node")
-    parsed = computed_once(found, "doc", xml.parse_xml(xml.prepare_xml(F.col("_node")), ddl))
-    return parsed.where(F.col("doc._corrupt_record").isNull())
-
-
 def _pathname(kind: str) -> Column:
     return arrays.first(arrays.first(F.col(f"doc.`files-info`.`{kind}`"))["pathname"])
 
@@ -54,109 +43,118 @@ def _in_package(pathname: Column) -> Column:
     return join_path(package_stem(F.col("package_path")), pathname)
 
 
-def dataset_issues(datasets: DataFrame) -> DataFrame:
-    """Issues of all manifests: ``package_path, issue_pos, volume, issue_file``."""
-    issues = _elements(datasets, "journal-issue", _ISSUE, "issue_pos")
+#: What an item tells, and what an entry of an issue does.
+ITEM = ("journal", "publication_date", "xml_file", "pdf_file", "pdfa_file")
+ENTRY = ("volume", "first_page", "last_page")
+_POSITION = "struct<member_path:string,pos:int,entry:int>"
+
+
+def _typed(df: DataFrame, kind: Column | str, file: Column, **given: Column) -> DataFrame:
+    """Rows of one shape, whatever they tell: the file they are about, and what is known of it."""
+    empty = F.lit(None).cast("string")
+    position = given.pop("position", F.lit(None).cast(_POSITION))
+    return df.select(
+        "package_path",
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        file.alias("file"),
+        position.cast(_POSITION).alias("position"),
+        *(given.get(name, empty).alias(name) for name in ("doi", *ITEM, *ENTRY)),
+    )
+
+
+def _position(pos: Column, entry: Column | None = None) -> Column:
+    return F.struct(F.col("member_path"), pos.alias("pos"), (F.lit(0) if entry is None else entry).alias("entry"))
+
+
+def dataset_elements(datasets: DataFrame, as_of=None) -> DataFrame:
+    """Issues and items of all manifests, each parsed once, as typed rows.
+
+    An issue tells its volume and the file that lists its articles; an item
+    its article's DOI, journal, date and files.  Items without an online date
+    get ``as_of``, those without a DOI are left out.
+    """
+
+    def numbered(tag: str, kind: str) -> Column:
+        found = xml.nodes(F.col("payload"), [tag])
+        return F.transform(found, lambda n, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), n.alias("node")))
+
+    both = F.concat(numbered("journal-issue", "issue"), numbered("journal-item", "item"))
+    listed = datasets.select("package_path", "member_path", both.alias("_nodes"))
+    found = explode_list(listed, "_nodes", "_no", "_e")
+    node = xml.prepare_xml(F.col("_e.node"))
+    parsed = computed_once(found, "doc", xml.parse_xml(node, _ELEMENT)).where(
+        F.col("doc._corrupt_record").isNull()
+    )
+    is_item = F.col("_e.kind") == "item"
     volume = F.coalesce(
         F.col("doc.`journal-issue-properties`.`volume-issue-number`"),
         F.col("doc.`volume-issue-number`"),
         F.col("doc.`journal-issue-unique-ids`.`volume-issue-number`"),
     )
-    return issues.select(
-        "package_path",
-        F.struct("member_path", "issue_pos").alias("issue_pos"),
-        F.concat_ws(" ", arrays.first(volume["vol-first"]), arrays.first(volume["suppl"])).alias(
-            "volume"
+    code = arrays.first(F.col("doc.`journal-item-unique-ids`.`jid-aid`.jid"))
+    given = arrays.first(F.col("doc.`journal-item-properties`.`online-publication-date`"))
+    doi = arrays.first(F.col("doc.`journal-item-unique-ids`.doi"))
+    file, pdf = _in_package(_pathname("ml")), _in_package(_pathname("web-pdf"))
+    is_vtex = F.contains(base_name(F.col("package_path")), F.lit("vtex"))
+    return _typed(
+        parsed,
+        F.col("_e.kind"),
+        file,
+        position=_position(F.col("_e.pos")),
+        doi=F.when(is_item, doi),
+        volume=F.when(
+            ~is_item, F.concat_ws(" ", arrays.first(volume["vol-first"]), arrays.first(volume["suppl"]))
         ),
-        _in_package(_pathname("ml")).alias("issue_file"),
-    )
+        journal=F.when(is_item, dims.translate(code, dims.ELSEVIER_JOURNALS, code)),
+        publication_date=F.when(
+            is_item, F.coalesce(F.substring(given, 1, 10), F.lit(None if as_of is None else str(as_of)))
+        ),
+        xml_file=F.when(is_item, file),
+        pdf_file=F.when(is_item, pdf),
+        pdfa_file=F.when(is_item & is_vtex, vtex_pdfa_path(pdf)),
+    ).where((F.col("kind") == "issue") | F.col("doi").isNotNull())
 
 
-def issue_entries(issues: DataFrame, documents: DataFrame) -> DataFrame:
-    """Articles listed by the issues' own files, with their pages."""
-    # Only files that list articles take part in the join, not the articles.
-    files = documents.where(F.contains("payload", F.lit("include-item>"))).select(
-        "package_path", F.col("member_path").alias("issue_file"), "payload"
-    )
-    opened = issues.join(files, ["package_path", "issue_file"])
-    listed = opened.select(
+def issue_entries(issues: DataFrame) -> DataFrame:
+    """Articles that the issues' own files list, with their pages, as typed rows."""
+    listed = issues.where(F.contains("payload", F.lit("include-item>"))).select(
         "package_path",
-        "issue_pos",
-        "volume",
+        "member_path",
         xml.nodes(F.col("payload"), ["include-item", "ce:include-item"]).alias("_nodes"),
     )
     found = explode_list(listed, "_nodes", "_pos", "_node")
     entries = computed_once(found, "doc", xml.parse_xml(xml.prepare_xml(F.col("_node")), _ENTRY))
     pages = arrays.first(F.col("doc.pages"))
-    return entries.select(
-        "package_path",
-        "issue_pos",
-        "volume",
-        arrays.first(F.col("doc.doi")).alias("doi"),
-        arrays.first(pages["first-page"]).alias("first_page"),
-        arrays.first(pages["last-page"]).alias("last_page"),
-    ).where(F.col("doi").isNotNull())
-
-
-def dataset_items(datasets: DataFrame, as_of=None) -> DataFrame:
-    """Articles of all manifests with journal, date and files.
-
-    Articles without an online date get ``as_of``.
-    """
-    items = _elements(datasets, "journal-item", _ITEM, "item_pos")
-    code = arrays.first(F.col("doc.`journal-item-unique-ids`.`jid-aid`.jid"))
-    given = arrays.first(F.col("doc.`journal-item-properties`.`online-publication-date`"))
-    pdf = _in_package(_pathname("web-pdf"))
-    is_vtex = F.contains(base_name(F.col("package_path")), F.lit("vtex"))
-    return items.select(
-        "package_path",
-        F.struct("member_path", "item_pos").alias("item_pos"),
-        arrays.first(F.col("doc.`journal-item-unique-ids`.doi")).alias("doi"),
-        dims.translate(code, dims.ELSEVIER_JOURNALS, code).alias("journal"),
-        F.coalesce(F.substring(given, 1, 10), F.lit(None if as_of is None else str(as_of))).alias(
-            "publication_date"
-        ),
-        _in_package(_pathname("ml")).alias("xml_file"),
-        pdf.alias("pdf_file"),
-        F.when(is_vtex, vtex_pdfa_path(pdf)).alias("pdfa_file"),
+    return _typed(
+        entries,
+        "entry",
+        F.col("member_path"),
+        position=_position(F.lit(0), F.col("_pos")),
+        doi=arrays.first(F.col("doc.doi")),
+        first_page=arrays.first(pages["first-page"]),
+        last_page=arrays.first(pages["last-page"]),
     ).where(F.col("doi").isNotNull())
 
 
 def join_manifest(items: DataFrame, entries: DataFrame) -> DataFrame:
     """Items completed by the issue that lists them, if any.
 
-    A DOI listed by several issues of a package belongs to the first, one
-    with several items has the last.  Both sides are reduced to one row per
-    key by partial aggregation before the join, so copies cannot multiply.
+    ``items`` have ``item_pos``, ``entries`` have ``issue_pos`` besides
+    ``package_path``, ``doi`` and what they tell.  A DOI listed by several
+    issues of a package belongs to the first, one with several items has the
+    last.  Both come together in one aggregation, partial in each task, so
+    copies cannot multiply.
     """
     key = ["package_path", "doi"]
-
-    def one_per_key(df: DataFrame, pick, position: str) -> DataFrame:
-        rest = [c for c in df.columns if c not in key]
-        chosen = df.groupBy(*key).agg(pick(F.struct(*rest), F.col(position)).alias("_row"))
-        return chosen.select(*key, "_row.*")
-
-    last_items = one_per_key(items, F.max_by, "item_pos")
-    first_entries = one_per_key(entries, F.min_by, "issue_pos").drop("issue_pos")
-    return last_items.join(first_entries, key, "left")
-
-
-def entries_without_item(items: DataFrame, entries: DataFrame) -> DataFrame:
-    """Articles an issue lists but the manifest does not deliver."""
-    key = ["package_path", "doi"]
-    return (
-        entries.join(items, key, "left_anti")
-        .select(*key)
-        .distinct()
-        .withColumn("error", F.lit("issue lists a DOI without item"))
+    told = [c for c in items.columns if c not in key]
+    listed = [c for c in entries.columns if c not in (*key, "issue_pos")]
+    both = items.select(*key, F.struct(F.col("item_pos").alias("at"), *told).alias("_item")).unionByName(
+        entries.select(*key, F.struct("issue_pos", F.struct(*listed).alias("told")).alias("_entry")),
+        allowMissingColumns=True,
     )
-
-
-def items_without_file(manifest: DataFrame, documents: DataFrame) -> DataFrame:
-    """Items whose article did not come with the package; only names are read."""
-    delivered = documents.select("package_path", F.col("member_path").alias("xml_file"))
-    return manifest.join(delivered, ["package_path", "xml_file"], "left_anti").select(
-        "package_path", "doi", F.lit("item without article file").alias("error")
+    one = both.groupBy(*key).agg(F.max("_item").alias("_item"), F.min("_entry").alias("_entry"))
+    return one.where(F.col("_item").isNotNull()).select(
+        *key, *(F.col(f"_item.{c}") for c in told), *(F.col(f"_entry.told.{c}") for c in listed)
     )
 
 
@@ -165,20 +163,59 @@ def _of_kind(documents: DataFrame, kind: str) -> DataFrame:
     return documents.where(F.col("kind") == kind) if "kind" in documents.columns else documents
 
 
-def _parts(documents: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
+def listed_articles(documents: DataFrame, as_of=None) -> DataFrame:
+    """What a package's manifest and issues say of each DOI, and what is wrong with it.
+
+    A row per ``package_path`` and ``doi`` with the columns of ``ITEM`` and
+    ``ENTRY``, ``is_item`` (the manifest has it) and ``problem``.  Every
+    element is parsed once: issues, entries, items and the names of delivered
+    files first come together by file, where entries get the issue that lists
+    their file and items learn whether theirs came; and then by DOI.
+    """
     datasets = _of_kind(documents, "dataset").where(is_dataset(F.col("member_path")))
-    entries = issue_entries(dataset_issues(datasets), _of_kind(documents, "issue"))
-    return dataset_items(datasets, as_of), entries
+    files = _typed(documents, "file", F.col("member_path"))
+    typed = (
+        dataset_elements(datasets, as_of)
+        .unionByName(issue_entries(_of_kind(documents, "issue")))
+        .unionByName(files)
+    )
+    of_file = Window.partitionBy("package_path", "file")
+    is_a = lambda kind: F.col("kind") == kind
+    issue = F.min(F.when(is_a("issue"), F.struct("position", "volume"))).over(of_file)
+    met = typed.withColumns(
+        {"_issue": issue, "_came": F.max(is_a("file")).over(of_file) & F.col("file").isNotNull()}
+    ).where(is_a("item") | (is_a("entry") & F.col("_issue").isNotNull()))
+    item = F.struct("position", F.coalesce("_came", F.lit(False)).alias("came"), *ITEM)
+    entry = F.struct(
+        F.col("_issue.position").alias("issue"),
+        "position",
+        F.col("_issue.volume").alias("volume"),
+        "first_page",
+        "last_page",
+    )
+    # The last item of a DOI, and the first entry.
+    one = met.groupBy("package_path", "doi").agg(
+        F.max(F.when(is_a("item"), item)).alias("_item"), F.min(F.when(is_a("entry"), entry)).alias("_entry")
+    )
+    problem = F.when(F.col("_item").isNull(), "issue lists a DOI without item").when(
+        ~F.col("_item.came"), "item without article file"
+    )
+    return one.select(
+        "package_path",
+        "doi",
+        *(F.col(f"_item.{c}") for c in ITEM),
+        *(F.col(f"_entry.{c}") for c in ENTRY),
+        F.col("_item").isNotNull().alias("is_item"),
+        problem.alias("problem"),
+    )
 
 
 def build_manifest(documents: DataFrame, as_of=None) -> DataFrame:
     """Manifest of all packages from their members."""
-    return join_manifest(*_parts(documents, as_of))
+    return listed_articles(documents, as_of).where("is_item").drop("is_item", "problem")
 
 
 def manifest_problems(documents: DataFrame) -> DataFrame:
     """What manifests and issues promise but packages do not hold."""
-    items, entries = _parts(documents)
-    return entries_without_item(items, entries).unionByName(
-        items_without_file(join_manifest(items, entries), documents)
-    )
+    found = listed_articles(documents).where(F.col("problem").isNotNull())
+    return found.select("package_path", "doi", F.col("problem").alias("error"))

@@ -7,7 +7,6 @@ from xml.sax.saxutils import escape
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sheaf.functions.xml import escape_xml
-from sheaf.sources.landing import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of a table, spread over the cores if it is a small file."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    # The rows become documents many times their size, so bytes say little here.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, name).select(*columns).repartition(tasks)
 
 
 def text(value: Column | str) -> Column:

@@ -117,6 +117,55 @@ def test_unpack(spark, archives):
     assert packages.unpack(read).count() == 6
 
 
+def test_archives_are_opened_by_the_tasks(spark, tmp_path):
+    """Whatever their names are; the driver gets no list of new ones, and no content is read for the listing."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    names = ["a b.zip", "c%20d.zip", "é+#&.zip", "sub/e.zip"]
+    for name in names:
+        (folder / name).parent.mkdir(exist_ok=True)
+        with zipfile.ZipFile(folder / name, "w") as z:
+            z.writestr("m.xml", name)
+    for where in (str(folder), f"file://{folder}"):
+        landed = landing.list_packages(spark, where).where(F.col("path").contains("a b")).select("path")
+        new = packages.read_packages(spark, where, landed)
+        assert "content" not in new.columns
+        plan = new._jdf.queryExecution().optimizedPlan().toString()
+        assert "content" not in plan.split("Join")[0]
+        rows = packages.documents(packages.unpack(new, (".xml",))).collect()
+        assert sorted(r["payload"] for r in rows) == sorted(names[1:])
+        assert all(r["landing_error"] is None for r in rows)
+    assert not packages.can_open("viewfs://store/in")
+
+
+def test_archives_in_a_store_of_spark(spark, tmp_path, monkeypatch):
+    """Where tasks cannot open paths, Spark's reader hands on the content: the same members."""
+    for i in range(3):
+        with zipfile.ZipFile(tmp_path / f"{i}.zip", "w") as z:
+            z.writestr("m.xml", str(i))
+    monkeypatch.setattr(packages, "can_open", lambda path: False)
+    listed = landing.list_packages(spark, str(tmp_path))
+    landed = listed.where(F.col("path").endswith("1.zip")).select("path")
+    read = packages.read_packages(spark, str(tmp_path), landed)
+    assert sorted(r["payload"] for r in packages.documents(packages.unpack(read)).collect()) == ["0", "2"]
+
+
+def test_documents_are_dealt_by_bytes(spark):
+    docs = spark.range(10).selectExpr("id", "string(id) payload")
+    assert "RebalancePartitions" in landing.spread(docs)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_manifest_is_parsed_once(spark):
+    """One parse each of manifest elements, issue entries and articles."""
+    from sheaf.plans.harvest import harvest_documents
+
+    docs = spark.createDataFrame(
+        [("/in/P.zip", "P/dataset.xml", "<dataset/>")], "package_path STRING, member_path STRING, payload STRING"
+    ).withColumns({"doc_id": F.col("member_path"), "landing_error": F.lit(None).cast("string")})
+    plan = harvest_documents(docs, "Elsevier")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 3
+
+
 def test_skip_existing(spark, archives):
     listed = landing.list_packages(spark, str(archives))
     assert listed.count() == 3
@@ -210,10 +259,8 @@ def test_manifest_keeps_each_issue(spark):
     docs = spark.createDataFrame(rows, "package_path STRING, member_path STRING, payload STRING")
     listed = manifest.build_manifest(docs, as_of="2020-01-01").collect()
     assert sorted((r["doi"], r["volume"]) for r in listed) == [("10.5/1", "1 C"), ("10.5/2", "2 C"), ("10.5/3", "3 C")]
-    datasets = docs.where(manifest.is_dataset(F.col("member_path")))
-    entries = manifest.issue_entries(manifest.dataset_issues(datasets), docs)
-    orphans = manifest.entries_without_item(manifest.dataset_items(datasets), entries).collect()
-    assert [r["doi"] for r in orphans] == ["10.5/gone"]
+    orphans = manifest.listed_articles(docs).where("not is_item").collect()
+    assert [(r["doi"], r["volume"], r["problem"]) for r in orphans] == [("10.5/gone", "1 C", "issue lists a DOI without item")]
     problems = sorted((r["doi"], r["error"].split()[0]) for r in manifest.manifest_problems(docs).collect())
     assert problems == [("10.5/1", "item"), ("10.5/2", "item"), ("10.5/3", "item"), ("10.5/gone", "issue")]
 
