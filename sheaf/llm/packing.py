@@ -13,9 +13,8 @@ any: no shuffle, no group, and a lost task is packed again from its rows.
 
 from __future__ import annotations
 
-import sys
+import json
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -28,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from sheaf.llm.chunks import Memory, parts_of
 from sheaf.llm.shared import SLICE
+from sheaf.llm.tokens import OTHER, PATTERN, byte_alphabet
 
 
 @dataclass(frozen=True)
@@ -168,12 +167,13 @@ def sequence_base(partition: int) -> int:
     return partition << 36
 
 
-def _packed(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
-
-
 class Ids:
-    """Token ids of a tokenizer file as bytes, four to an id, little-endian; parts of texts are remembered."""
+    """Token ids of whole texts by a byte-level BPE file, as bytes, four to an id, little-endian.
+
+    Where the file's merges are in the order of their ids, tiktoken finds the
+    same ids several times faster; texts with characters in whose classes the
+    two libraries may differ are left to the file's own library.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -182,26 +182,37 @@ class Ids:
         # Ids of whole texts, as truncation and padding of the file would change them.
         self.library.no_truncation()
         self.library.no_padding()
-        self.memory = Memory(self.encoded, self.all_encoded)
-
-    def encoded(self, text: str) -> bytes:
-        return _packed(self.library.encode(text, add_special_tokens=False).ids)
-
-    def all_encoded(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 10_000):
-            out += [_packed(e.ids) for e in self.library.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)]
-        return out
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        cut = [parts_of(text) for text in texts]
-        self.memory.learn([rest for _, rest in cut])
-        return [self.encoded(first) + b"".join(self.memory.of(rest)) for first, rest in cut]
+        self.fast = self._ranked(path)
+
+    @staticmethod
+    def _ranked(path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        kind, cut = spec["model"], spec["pre_tokenizer"]
+        if kind["type"] != "BPE" or spec.get("normalizer") or cut["type"] != "ByteLevel" or cut["add_prefix_space"]:
+            return None
+        added = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        if any(a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"] for a in spec["added_tokens"]):
+            return None
+        alphabet, vocab = byte_alphabet(), kind["vocab"]
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in kind["merges"]]
+        singles = [i for token, i in vocab.items() if len(token) == 1]
+        if len(singles) != 256 or made != sorted(set(made)) or max(singles) > min(made, default=256):
+            return None
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if token not in added}
+        return tiktoken.Encoding(path, pat_str=PATTERN.pattern, mergeable_ranks=ranks, special_tokens=added)
+
+    def of(self, text: str) -> bytes:
+        if self.fast is not None and not OTHER.search(text):
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=4)
 def ids_of(path: str) -> Ids:
-    """One memory per worker process and file."""
+    """One per worker process and file."""
     return Ids(path)
 
 
@@ -252,7 +263,8 @@ def pack_texts(
             for at in range(0, whole.num_rows, SLICE):
                 docs, texts = (whole.column(i).slice(at, SLICE).to_pylist() for i in range(2))
                 made: list[tuple] = []
-                for doc, ids in zip(docs, ids_of(tokenizer).of([t or "" for t in texts]), strict=True):
+                for doc, value in zip(docs, texts, strict=True):
+                    ids = ids_of(tokenizer).of(value or "")
                     source = Source(doc, ids + end, len(ids) // 4 + 1)
                     example = Example(source, 0, source.total)
                     made += rows(packer.add(example))

@@ -25,7 +25,7 @@ PATTERN = regex.compile(
 )
 #: Blocks in which the character classes of ``regex`` and of the tokenizer library agree (tested);
 #: texts with other characters are cut by the library's own pre-tokenizer.
-_OTHER = regex.compile(
+OTHER = regex.compile(
     "[^\u0000-՗Ḁ-῿ -⁤⁰-ⁱ₠-₹℀-⅏←-⏰"
     "─-❵　-〿ぁ-ゖ゠-ヿ一-鿌가-힣"
     "！-～\U0001f300-\U0001f5ff\U0001f600-\U0001f64f]"
@@ -96,7 +96,7 @@ class Counts:
         return len(parts)
 
     def pretokens(self, text: str) -> list[str]:
-        if not _OTHER.search(text):
+        if not OTHER.search(text):
             return PATTERN.findall(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 

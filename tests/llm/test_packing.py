@@ -78,6 +78,22 @@ def test_odd_texts(spark):
     assert max(per.values()) <= 4
 
 
+def test_both_libraries_give_the_same_ids():
+    """On every character that the faster one gets, and on strings of vocabulary entries."""
+    from sheaf.llm.tokens import OTHER
+
+    ids = packing.ids_of(BPE)
+    assert ids.fast is not None
+    own = [c for c in map(chr, range(0x20000)) if not 0xD800 <= ord(c) < 0xE000 and not OTHER.search(c)]
+    rng = random.Random(6)
+    values = ["".join(f"a{c}b {c}{c} 1{c}\n" for c in own[i : i + 50]) for i in range(0, len(own), 50)]
+    values += ["".join(rng.choices(own, k=40)) for _ in range(2000)]
+    tokens = [library().decode([i]) for i in rng.sample(range(50256), 5000)]
+    values += [v for _ in range(5000) if not OTHER.search(v := "".join(rng.choices(tokens, k=rng.randint(1, 12))))]
+    for value in values:
+        assert ids.fast.encode_to_numpy(value, allowed_special="all").tolist() == library().encode(value, add_special_tokens=False).ids
+
+
 def test_tables_without_rows_and_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id BIGINT, text STRING")
     rows = packing.pack_texts(df, BPE, 1).collect()
