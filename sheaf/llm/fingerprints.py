@@ -142,12 +142,12 @@ def edited_fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     The edited text has its last third (rounded down, code points) replaced by
     as much of the beginning of the next document's text, by descending
     ``doc_id``; the last document's next is the first.  Null texts count as
-    empty; null ids come last.  Rows that repeat an id stand by descending
+    empty; null ids, and text ids that are no whole numbers, come last.  Rows that repeat an id stand by descending
     text, and all stay; a table of one row has itself as next.
     """
     base = docs.select(
         F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63))).alias("order"),
+        F.coalesce(F.col(doc_id).try_cast("bigint"), F.lit(-(1 << 63))).alias("order"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     third = F.floor(F.col("n_chars") / 3).cast("int")

@@ -18,7 +18,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import map_texts
+from sheaf.llm.shared import map_texts, smallest_hashes
 
 #: Labelled pages that the weights are learned from, at most.
 SAMPLE = 2000
@@ -50,8 +50,10 @@ ARTICLE = frozenset("article main".split())
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
+    # A tag ends at the next opening sign outside quotes, so that one left open costs no look to the end.
+    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
 )
+_COMMENT = re.compile(r"<!--.*", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAMES = re.compile(r"[A-Za-z]+")
 
@@ -85,7 +87,9 @@ def marks(attributes: str) -> str:
 def pieces(page: str) -> list[Piece]:
     """The blocks of a page in order; text of raw elements is skipped."""
     out: list[Piece] = []
-    stack: list[tuple[str, str, bool]] = []  # element, its mark, whether it is article text
+    # Open elements: name; first mark, nearest block, whether it is article text, whether any mark is no header, each with what is around it.
+    stack: list[tuple[str, str, str, bool, bool]] = []
+    names: Counter = Counter()
     text: list[str] = []
     tags: list[str] = []
 
@@ -94,25 +98,29 @@ def pieces(page: str) -> list[Piece]:
         text.clear()
         if not joined:
             return
-        apart = next((mark for _, mark, _ in stack if mark), "")
-        block = next((e for e, _, _ in reversed(stack) if e in BLOCKS), "body")
-        article = any(e in ARTICLE for e, _, _ in stack)
-        if apart == "header" and article and block in HEADINGS and not any(m and m != "header" for _, m, _ in stack):
-            inside = [e for e, _, _ in stack]
+        _, apart, block, article, other = stack[-1] if stack else ("", "", "body", False, False)
+        if apart == "header" and article and block in HEADINGS and not other:
+            inside = [e for e, *_ in stack]
             if any(e in ARTICLE for e in inside[: inside.index("header")] if "header" in inside):
                 apart = ""  # the heading of the article itself
         out.append(Piece(joined, apart or block, bool(apart), article, tags.copy()))
         tags.clear()
 
-    at, n = 0, len(page)
+    def close(to: int) -> None:
+        for name, *_ in stack[to:]:
+            names[name] -= 1
+        del stack[to:]
+
+    at, n, last = 0, len(page), page.rfind(">")
     while at < n:
-        m = TAG.search(page, at)
+        # Behind the last sign that ends a tag there can only be a comment.
+        m = TAG.search(page, at) if at <= last else _COMMENT.search(page, at)
         if not m:
             text.append(page[at:])
             break
         text.append(page[at : m.start()])
         at = m.end()
-        if not m[2]:
+        if m.re is _COMMENT or not m[2]:
             continue
         name = m[2].lower()
         if name == "br":
@@ -121,9 +129,9 @@ def pieces(page: str) -> list[Piece]:
             flush()
         if m[1]:
             tags.append("/" + name)
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if names[name] else ():
                 if stack[i][0] == name:
-                    del stack[i:]
+                    close(i)
                     break
                 if name == "p" and stack[i][0] in BLOCKS:
                     break
@@ -138,17 +146,17 @@ def pieces(page: str) -> list[Piece]:
                 at = page.find(">", end.start()) + 1 or n
             continue
         closes = IMPLIED.get(name)
-        if name in BLOCKS and stack and any(e == "p" for e, _, _ in stack):
+        if name in BLOCKS and names["p"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i][0] in BLOCKS:
                     break
         if closes:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in closes:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select", "menu"):
                     break
@@ -157,7 +165,11 @@ def pieces(page: str) -> list[Piece]:
             mark = ""
         elif name == "header":
             mark = "header"
-        stack.append((name, mark, name in ARTICLE))
+        _, apart, block, article, other = stack[-1] if stack else ("", "", "body", False, False)
+        stack.append(
+            (name, apart or mark, name if name in BLOCKS else block, article or name in ARTICLE, other or mark not in ("", "header"))
+        )
+        names[name] += 1
     flush()
     return out
 
@@ -213,16 +225,12 @@ def learn(pages: DataFrame, *, html: str = "html", sample: int = SAMPLE) -> dict
     """Weights from at most ``sample`` labelled pages.
 
     Pages that mark their article by an ``article`` or ``main`` element are the
-    labelled ones; the element itself is no feature.  Those whose text hashes
-    below a bound chosen for the size of the table are taken.  Without any, the
-    weights are empty and words and tags have their fixed ones.
+    labelled ones; the element itself is no feature.  Those of the smallest
+    hashes are taken.  Without any, the weights are empty and words and tags
+    have their fixed ones.
     """
-    share = min(1.0, sample / max(1, pages.count()))
-    own = (
-        pages.select(F.col(html).cast("string").alias("h"))
-        .filter(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < int(share * 1_000_000))
-        .filter(F.col("h").rlike("(?i)<(article|main)[\\s>]"))
-    )
+    labelled = pages.select(F.col(html).cast("string").alias("h")).filter(F.col("h").rlike("(?i)<(article|main)[\\s>]"))
+    own = smallest_hashes(labelled, "h", sample)
 
     def count(values):
         inside, outside = Counter(), Counter()

@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.shared import map_texts
+from sheaf.llm.shared import map_texts, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns.
@@ -72,7 +74,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     if not _DIGIT.search(text):
         return out
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             out.append((m.start(), m.end(), "ip"))
     for m in CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m[0])
@@ -152,7 +154,10 @@ class Field:
 
     def segments(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[str]]]:
         """Candidate segments (first token, behind the last, features) of an island."""
-        out = []
+        return list(self.candidates(text, tokens))
+
+    def candidates(self, text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[str]]]:
+        """As :meth:`segments`, one after the other: by first token, then by length."""
         for i, (start, _) in enumerate(tokens):
             head = text[start]
             if not (head.isalnum() or head == "+" or head == "("):
@@ -164,8 +169,7 @@ class Field:
                     break  # words apart belong to no entity of these types
                 end = tokens[j][1]
                 if text[end - 1].isalnum() and TRIGGER.search(text, start, end) and end - start >= 6:
-                    out.append((i, j + 1, span_features(text, start, end)))
-        return out
+                    yield i, j + 1, span_features(text, start, end)
 
     def potential(self, kind: str, found: list[str]) -> float:
         return sum(self.weights.get((kind, f), 0.0) for f in found)
@@ -241,18 +245,79 @@ class Field:
         """Segments of the best segmentation that are sure enough."""
         out = []
         for tokens in islands(text):
-            segments = self.segments(text, tokens)
-            if not segments:
-                continue
-            chosen = self.best(len(tokens), segments)
-            if chosen:
-                sure = {(i, j, k): p for i, j, k, p in self.marginals(len(tokens), segments)}
-                out += [(tokens[i][0], tokens[j - 1][1], k) for i, j, k in chosen if sure[i, j, k] >= self.sure]
+            chosen = self.decode(text, tokens)
+            out += [(tokens[i][0], tokens[j - 1][1], k) for i, j, k, p in chosen if p >= self.sure]
         return out
 
+    def decode(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, str, float]]:
+        """The best segmentation of an island of any length, with the probability of each segment.
+
+        Of a segment only its potentials are held, and of a token its sums and
+        back pointers, all as arrays.
+        """
+        n, kinds, states = len(tokens), len(KINDS), 1 + len(KINDS)
+        none = -math.inf
+        value = array("d", [none]) * (n * LONGEST * kinds)
+        any_segment = False
+        for i, j, found in self.candidates(text, tokens):
+            at = (i * LONGEST + j - i - 1) * kinds
+            for k, kind in enumerate(KINDS):
+                value[at + k] = self.potential(kind, found)
+            any_segment = True
+        if not any_segment:
+            return []
+        names = ("O", *KINDS)
+        turn = [[self.transition(s, kind) for kind in KINDS] for s in names]
+        alpha, score = array("d", [none]) * ((n + 1) * states), array("d", [none]) * ((n + 1) * states)
+        back = array("q", [-1]) * ((n + 1) * states)
+        alpha[0] = score[0] = 0.0
+        for j in range(1, n + 1):
+            here, last = j * states, (j - 1) * states
+            alpha[here] = _log_sum(alpha[last : last + states])
+            # Of equal ones the last name counts, as in best().
+            score[here], _, back[here] = max((score[last + s], names[s], last + s) for s in range(states))
+            for i in range(max(0, j - LONGEST), j):
+                at, from_ = (i * LONGEST + j - i - 1) * kinds, i * states
+                if value[at] == none:
+                    continue
+                for k in range(kinds):
+                    gain = value[at + k]
+                    into = [alpha[from_ + s] + turn[s][k] + gain for s in range(states)]
+                    alpha[here + 1 + k] = _log_sum([alpha[here + 1 + k], *into])
+                    top, _, s = max((score[from_ + s] + turn[s][k] + gain, names[s], s) for s in range(states))
+                    if top > score[here + 1 + k]:
+                        score[here + 1 + k], back[here + 1 + k] = top, from_ + s
+        beta = array("d", [none]) * ((n + 1) * states)
+        for s in range(states):
+            beta[n * states + s] = 0.0
+        for i in range(n - 1, -1, -1):
+            further = beta[(i + 1) * states]
+            edges = [
+                (k, value[at + k] + beta[j * states + 1 + k])
+                for j in range(i + 1, min(n, i + LONGEST) + 1)
+                if value[at := (i * LONGEST + j - i - 1) * kinds] != none
+                for k in range(kinds)
+            ]
+            for s in range(states):
+                beta[i * states + s] = _log_sum([further, *(turn[s][k] + v for k, v in edges)])
+        total = _log_sum(alpha[n * states :])
+        out = []
+        node = max(range(n * states, (n + 1) * states), key=lambda x: (score[x], names[x % states]))
+        while node >= states:
+            j, s = divmod(node, states)
+            i = back[node] // states
+            if s:
+                at = (i * LONGEST + j - i - 1) * kinds + s - 1
+                into = _log_sum([alpha[i * states + r] + turn[r][s - 1] for r in range(states)])
+                out.append((i, j, names[s], math.exp(min(0.0, into + value[at] + beta[node] - total))))
+            node = back[node]
+        return out[::-1]
 
-def _log_sum(values: list[float]) -> float:
+
+def _log_sum(values) -> float:
     most = max(values)
+    if most == -math.inf:
+        return most
     return most + math.log(sum(math.exp(v - most) for v in values))
 
 
@@ -291,25 +356,19 @@ def fit(
 ) -> Field:
     """A field fitted to at most ``n_islands`` islands of ``sample`` documents.
 
-    The documents are those whose text hashes below a bound chosen for the
-    size of the table, so the choice depends on nothing else.  Where none has
-    digits or at-signs, the field is empty and finds nothing.
+    The documents are those of the smallest hashes of text among those with
+    digits or at-signs, so the choice depends on nothing else.  Where none has
+    any, the field is empty and finds nothing.
     """
-    share = min(1.0, sample / max(1, docs.count()))
-    bound = int(share * 1_000_000)
-    picked = (
-        docs.select(F.col(text).cast("string").alias("t"))
-        .filter(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < bound)
-        .filter(F.col("t").rlike("[0-9@]"))
-        .dropDuplicates(["t"])
-    )
+    marked = docs.select(F.col(text).cast("string").alias("t")).filter(F.col("t").rlike("[0-9@]"))
+    picked = smallest_hashes(marked, "t", sample).dropDuplicates(["t"])
 
     def cut(texts):
         # Only what is learned from is cut; what is searched is decoded whole.
         parts = []
         for value in texts:
             own = [ts[i : i + TAUGHT] for ts in islands(value) for i in range(0, len(ts), TAUGHT)]
-            parts += [(value, ts) for ts in own[:3]]
+            parts += [(value, ts) for ts in own]
         return {"part": [value[max(0, ts[0][0] - 1) : ts[-1][1] + 1] for value, ts in parts]}
 
     parts = (

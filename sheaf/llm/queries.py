@@ -206,12 +206,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again."""
     model = str(public_tokenizers.path("piece_bpe_32k.model"))
     documents = table(spark, sf_dir, "documents")
-    encoded = sentencepiece.encode(documents, model, keep=("doc_id", "text"))
-    return sentencepiece.decode(encoded.withColumnRenamed("text", "own"), model, keep=("doc_id", "own", "ids")).select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_pieces"),
-        "ids",
-        (F.coalesce("own", F.lit("")) == F.col("text")).alias("restored"),
+    return sentencepiece.round_trip(documents, model).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "restored"
     )
 
 

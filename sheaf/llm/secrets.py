@@ -11,6 +11,8 @@ incompressible are reported as kind ``novel``, beside the fixed patterns.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from functools import lru_cache
 
 import zstandard
@@ -150,8 +152,23 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], identifiers: str =
     out = []
     end = 0
 
+    taken: list[list[int]] = []  # what base spans cover, without overlaps
+    for s, e, _ in sorted(known):
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+
     def free(start: int, stop: int) -> bool:
-        return start < stop and not any(s < stop and start < e for s, e, _ in known)
+        # The last one that begins before the end is the only one that may reach in.
+        at = bisect_left(taken, [stop]) - 1
+        return start < stop and (at < 0 or taken[at][1] <= start)
+
+    def candidates(lo: int, hi: int) -> Iterator[re.Match]:
+        """Whole candidates that begin from ``lo`` to ``hi``; nothing behind those is looked at."""
+        while m := CANDIDATE.search(text, lo, hi + 16):
+            yield (m := CANDIDATE.match(text, m.start()))
+            lo = m.end()
 
     def judged(at: int, to: int) -> bool:
         start, stop = _value(text, at, to)
@@ -161,9 +178,7 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], identifiers: str =
 
     for word in CONTEXT.finditer(text):
         lo, hi = max(word.end(), end), word.end() + NEAR
-        for m in CANDIDATE.finditer(text, lo):
-            if m.start() > hi:
-                break
+        for m in candidates(lo, hi):
             if m.start() and lo == m.start() and re.match(r"[A-Za-z0-9+/_=.-]", text[m.start() - 1]) and lo != word.end():
                 continue
             end = m.end()
@@ -173,6 +188,8 @@ def novel_spans(text: str, known: list[tuple[int, int, str]], identifiers: str =
                 found = [line for line in lines if judged(*line)]
             else:
                 found = lines if any(judged(*line) for line in lines) else []
+                # Of a plain block only the last and shorter line may begin another one.
+                end = max(end, lines[-2][1])
             for line in found:
                 start, stop = _value(text, *line)
                 if free(start, stop):

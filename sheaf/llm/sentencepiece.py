@@ -17,7 +17,9 @@ import re
 import struct
 from array import array
 from functools import lru_cache
+from operator import itemgetter
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from sheaf.llm.shared import map_texts
@@ -187,6 +189,7 @@ class Pieces:
             if base > 0 and self.check[state] >= 0 and self.check[base] == state and self.base[base] < 0:
                 self.ends[state] = -self.base[base] - 1
         self.gain = [0.0 if k == USER_DEFINED else s for k, s in zip(self.kinds, scores, strict=True)]
+        self.parts = Parts(self)
 
     def marked(self, text: str) -> str:
         """The text as the model sees it."""
@@ -196,7 +199,9 @@ class Pieces:
         return MARK + text if self.prefix and text else text
 
     def encode(self, text: str) -> list[int]:
-        text = self.marked(text)
+        return self.encode_marked(self.marked(text))
+
+    def encode_marked(self, text: str) -> list[int]:
         if not self.cuts:
             return list(self.viterbi(text))
         out: list[int] = []
@@ -212,6 +217,18 @@ class Pieces:
             out += ids
         return out
 
+    def encode_and_decode(self, text: str) -> tuple[np.ndarray, str]:
+        """Pieces of a text and the text that they give, both by parts that are known from earlier texts."""
+        text = self.marked(text)
+        if not self.cuts or MARK + MARK in text:
+            ids = self.encode_marked(text)
+            return np.array(ids, np.int32), self.decode(ids)
+        first, *rest = text.split(MARK)
+        parts = [self.parts.found(first)] if first else []
+        parts += itemgetter(*rest)(self.parts) if len(rest) > 1 else [self.parts[p] for p in rest]
+        ids, raw = zip(*parts) if parts else ((), ())
+        return np.frombuffer(b"".join(ids), np.int32), self.read(b"".join(raw))
+
     def viterbi(self, text: str) -> tuple[int, ...]:
         """Pieces of the segmentation of largest score; of equal ones, the longest last piece."""
         raw = text.encode("utf-8", "surrogatepass")
@@ -258,11 +275,33 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of the pieces; control pieces have none, broken bytes become U+FFFD."""
-        raw = b"".join([self.spelled[i] for i in ids])
+        return self.read(b"".join([self.spelled[i] for i in ids]))
+
+    def read(self, raw: bytes) -> str:
         text = raw.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+class Parts(dict):
+    """Pieces, as bytes, and spelling of parts behind a mark, remembered within bounds."""
+
+    def __init__(self, own: Pieces) -> None:
+        super().__init__()
+        self.own = own
+
+    def found(self, part: str) -> tuple[bytes, bytes]:
+        ids = self.own.viterbi(part)
+        return array("i", ids).tobytes(), b"".join([self.own.spelled[i] for i in ids])
+
+    def __missing__(self, part: str) -> tuple[bytes, bytes]:
+        found = self.found(MARK + part)
+        if len(part) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[part] = found
+        return found
+
+
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -288,6 +327,27 @@ def encode(
     return map_texts(docs, [text], work, "ids array<int>", keep=keep)
 
 
+def round_trip(
+    docs: DataFrame, model: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """``keep`` columns, ``ids`` as :func:`encode` gives them, and ``restored``: whether :func:`decode` of them gives the text.
+
+    Both are done in one pass, so the pieces leave the worker once.  A null
+    text counts as the empty one.
+    """
+
+    def work(texts):
+        own = pieces(model)
+        out = {"ids": [], "restored": []}
+        for value in texts:
+            ids, back = own.encode_and_decode(value) if value else ([], "")
+            out["ids"].append(ids)
+            out["restored"].append(back == (value or ""))
+        return out
+
+    return map_texts(docs, [text], work, "ids array<int>, restored boolean", keep=keep)
+
+
 def decode(
     encoded: DataFrame, model: str, *, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
@@ -52,13 +53,22 @@ def map_texts(
     return df.select(*picked).mapInArrow(run, schema)
 
 
+def smallest_hashes(df: DataFrame, column: str, n: int) -> DataFrame:
+    """The rows of the ``n`` smallest hashes of a column; of equal values all rows."""
+    key = F.xxhash64(column)
+    bound = df.select(key.alias("k")).distinct().orderBy("k").limit(n).agg(F.max("k")).first()[0]
+    return df.filter(key <= F.lit(bound))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see: ``spark.checkpoint.dir``.
 
     Where it is unset, as in tests on one machine, a folder beside the
-    warehouse is used.
+    warehouse is used; on a cluster it must be set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "sheaf-checkpoints")
 
 
