@@ -7,9 +7,9 @@ is the prefix of a window, so Spark's ROLLUP over the columns, which sums
 successively shorter prefixes, gives the counts of all phrases of all lengths,
 and on its last level the number of words.
 
-Words behind which a phrase cannot be frequent are padded too: passes over
-words, pairs and so on below the longest count these by places of hash tables
-of fixed size, and only where a place stays below the least count, its phrases
+Words behind which a phrase cannot be frequent are padded too: a pass over
+words and pairs, and one for each longer phrase below the longest, count these
+by places of hash tables of fixed size, and only where a place stays below the least count, its phrases
 are surely rare.  Each pass leaves out what holds a rare shorter phrase.
 Places that are shared make windows longer than they need to be; no frequent
 phrase is lost by them and no count is changed.
@@ -127,19 +127,19 @@ class Places:
 
 
 def _levels(
-    lang: str, words: list[bytes], numbers: np.ndarray, tables: list[Places], places: int
+    lang: str, words: list[bytes], numbers: np.ndarray, tables: list[Places | None], places: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For phrases of 1, 2 ... words: where those begin that may be frequent, and the places of what had to be looked up.
 
-    The tables have a bit per place for phrases of 1, 2 ... words; of those one
-    word longer only the parts are known.
+    The tables have a bit per place for phrases of 1, 2 ... words, or are not
+    known; of phrases one word longer only the parts are looked up.
     """
     word = _hashes(lang, words)[numbers]
     code, may = word, numbers > 0
     for k in range(1, len(tables) + 2):
         at = np.flatnonzero(may)
         place = _place(code[at], places)
-        if k <= len(tables):
+        if k <= len(tables) and tables[k - 1] is not None:
             may = np.zeros(len(numbers), bool)
             may[at] = tables[k - 1][place]
         yield may, place
@@ -169,16 +169,18 @@ def _mapped(texts: DataFrame, fields: str, work) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def frequent_places(texts: DataFrame, k: int, least: int, places: int, tables: list) -> Places:
-    """A bit per place: whether the phrases of ``k`` words there occur ``least`` times together.
+def frequent_places(texts: DataFrame, least: int, places: int, tables: list) -> Places:
+    """A bit per place: whether the phrases there occur ``least`` times together.
 
-    ``tables`` holds the broadcast bits for shorter phrases; only phrases of
-    which both shorter ones may be frequent are counted.
+    Without ``tables`` words and pairs are counted; with the broadcast bits of
+    phrases of 1 to k words those of k + 1 words, of which both parts may be
+    frequent.
     """
 
     def work(lang, words, numbers):
-        *_, (_, at) = _levels(lang, words, numbers, [t.value for t in tables], places)
-        at, n = np.unique(at, return_counts=True)
+        known = [t.value for t in tables]
+        levels = [at for _, at in _levels(lang, words, numbers, known or [None], places)]
+        at, n = np.unique(levels[-1] if known else np.concatenate(levels), return_counts=True)
         return [at.astype(np.int32), n.astype(np.int64)]
 
     counted = _mapped(texts, "place int, n bigint", work)
@@ -197,9 +199,12 @@ def windows(docs: DataFrame, *, longest: int, least: int, lang: str = "lang", te
         raise ValueError("places is a power of two from 64 to 2**31")
     texts = _texts(docs, lang, text)
     names = [f"w{i + 1}" for i in range(longest)]
-    tables: list = []
-    for k in range(1, longest):
-        tables.append(docs.sparkSession.sparkContext.broadcast(frequent_places(texts, k, least, places, tables)))
+    send = docs.sparkSession.sparkContext.broadcast
+    # Words and pairs share a table; longer phrases have one for each length.
+    tables = [send(frequent_places(texts, least, places, []))] * 2
+    while len(tables) < longest - 1:
+        tables.append(send(frequent_places(texts, least, places, tables)))
+    tables = tables[: longest - 1]
 
     def work(lang, words, numbers):
         begins = np.flatnonzero(numbers > 0)
@@ -226,11 +231,9 @@ def phrase_counts(docs: DataFrame, *, longest: int = 4, least: int = 30, **colum
     ``lang`` null is ``und``; a null text is the empty one.
     """
     names = [f"w{i + 1}" for i in range(longest)]
-    rolled = (
-        windows(docs, longest=longest, least=least, **columns)
-        .rollup("lang", *names)
-        .agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
-    )
+    # Tasks send each window some times; the prefixes are taken of the sums.
+    counted = windows(docs, longest=longest, least=least, **columns).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
     # Of a level all columns behind some are summed over; a prefix that ends in padding is no phrase.
     level = lambda k: (1 << (longest - k)) - 1
     real = F.col("level") == level(0)
