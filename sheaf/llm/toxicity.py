@@ -12,6 +12,7 @@ to somebody; a logistic regression over these hits gives the score.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -31,11 +32,14 @@ REJECT = 0.7
 STEMS = range(3, 9)
 #: Clean texts with a term for each toxic one, at most.
 CLEAN = 0.08
-#: Words a worker remembers.
-REMEMBERED = 200_000
+#: Words, and runs without white space, that a worker remembers, and the longest of these.
+REMEMBERED, LONGEST_RUN = 300_000, 64
 #: Words before and after a hit that are its context.
 BEFORE, AFTER = 8, 4
 
+#: What a worker knows, by lexicon.
+_KNOWN: dict[str, tuple[dict, set]] = {}
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Two words with one digit or sign between them, which may be one word.
 JOINED = re.compile(r"(?<![^\W\d_])(?=([^\W\d_]+(?:[\d_]|[^\w\s])[^\W\d_]+))")
@@ -88,8 +92,46 @@ class LevenshteinAutomaton:
         return row[-1] <= self.limit
 
 
+class OneEdit:
+    """The automaton of all strings within one edit of a word, by table.
+
+    Of the row of distances behind k letters only the three places about k can
+    be one or less.  So a state is these three, and the next one depends on
+    which of the word's letters there equal the letter read, and on how many
+    of the places are still in the word: a table of a few hundred entries, made
+    once for all words as entries are met.
+    """
+
+    START = (2, 0, 1)
+    table: dict = {}
+
+    @classmethod
+    def step(cls, word: str, k: int, state: tuple[int, int, int], c: str) -> tuple[int, int, int]:
+        """The state behind k + 1 letters, of which ``c`` is the last."""
+        there = word[k - 1 : k + 2] if k else " " + word[:2]
+        key = state, tuple([x == c for x in there]), min(len(word) - k, 4), k == 0
+        found = cls.table.get(key)
+        if found is None:
+            if len(cls.table) > 100_000:
+                cls.table.clear()
+            # By the automaton over whole rows.
+            row = [2] * (len(word) + 1)
+            for place, value in zip(range(k - 1, k + 2), state):
+                if 0 <= place <= len(word):
+                    row[place] = value
+            after = LevenshteinAutomaton(word, 1).step(tuple(row), c)
+            found = tuple([after[p] if 0 <= p <= len(word) else 2 for p in range(k, k + 3)])
+            cls.table[key] = found
+        return found
+
+
 def intersect(word: str, trie: Trie, limit: int = 1, prefixes: frozenset[str] = frozenset()) -> list[tuple[str, int]]:
     """Terms of the trie within ``limit`` edits of the word, or ``prefixes`` of one that it begins with, with the distance."""
+    found = _within_one(word, trie, prefixes) if limit == 1 else _within(word, trie, limit, prefixes)
+    return sorted(found, key=lambda f: (f[1], f[0]))
+
+
+def _within(word: str, trie: Trie, limit: int, prefixes: frozenset[str]) -> list[tuple[str, int]]:
     automaton = LevenshteinAutomaton(word, limit)
     found, stack = [], [(trie.root, automaton.start())]
     while stack:
@@ -102,7 +144,24 @@ def intersect(word: str, trie: Trie, limit: int = 1, prefixes: frozenset[str] =
         for c, below in node.items():
             if c and automaton.alive(after := automaton.step(row, c)):
                 stack.append((below, after))
-    return sorted(found, key=lambda f: (f[1], f[0]))
+    return found
+
+
+def _within_one(word: str, trie: Trie, prefixes: frozenset[str]) -> list[tuple[str, int]]:
+    n, step = len(word), OneEdit.step
+    found, stack = [], [(trie.root, OneEdit.START if n else (2, 0, 2), 0)]
+    while stack:
+        node, state, k = stack.pop()
+        if "" in node:
+            last = state[n - k + 1] if -1 <= n - k <= 1 else 2
+            if last <= 1:
+                found.append((node[""], last))
+            elif node[""] in prefixes and min(state) <= 1:
+                found.append((node[""], min(state)))
+        for c, below in node.items():
+            if c and min(after := step(word, k, state, c)) <= 1:
+                stack.append((below, after, k + 1))
+    return found
 
 
 @dataclass
@@ -118,8 +177,11 @@ class Lexicon:
     benign: frozenset[str] = frozenset()
     fuzzy_from: int = 4
     _seen: dict = field(default_factory=dict, repr=False)
+    _none: set = field(default_factory=set, repr=False)
 
     def __post_init__(self) -> None:
+        terms = [sorted(part) for part in (self.words, self.stems, self.paired, self.benign)]
+        self.key = hashlib.sha256(repr((terms, self.fuzzy_from)).encode("utf-8", "surrogatepass")).hexdigest()
         self.open = self.stems | self.paired
         long = [w for w in self.words | self.open if len(w) >= self.fuzzy_from]
         self.trie = Trie(long)
@@ -128,10 +190,15 @@ class Lexicon:
         self.heads, self.nexts = {w[:2] for w in long}, {w[2:4] for w in long}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_seen"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_seen", "_none")}
 
     def __setstate__(self, state):
-        self.__dict__.update(state, _seen={})
+        # What a worker knows of words stays from task to task, for the lexicon it used last.
+        if state["key"] not in _KNOWN:
+            _KNOWN.clear()
+            _KNOWN[state["key"]] = {}, set()
+        seen, none = _KNOWN[state["key"]]
+        self.__dict__.update(state, _seen=seen, _none=none)
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The term that a lower-case word stands for, and the edits."""
@@ -143,6 +210,22 @@ class Lexicon:
         seen[word] = found = self._look_up(word)
         return found
 
+    def meets(self, lower: str) -> bool:
+        """Whether any word of a text stands for a term.
+
+        No word holds white space, so runs without it that hold none are
+        remembered, and only others are looked into.
+        """
+        none = self._none
+        for run in set(lower.split()).difference(none):
+            if any(self.match(w) for w in spellings(run)):
+                return True
+            if len(run) <= LONGEST_RUN:
+                if len(none) >= REMEMBERED:
+                    none.clear()
+                none.add(run)
+        return False
+
     def _look_up(self, word: str) -> tuple[str, int] | None:
         if word in self.words:
             return word, 0
@@ -166,7 +249,7 @@ def spellings(lower: str) -> set[str]:
 def hits(text: str, lexicon: Lexicon) -> list[dict]:
     """Every word that stands for a term, with what its context says."""
     lower = text.lower()
-    if not any(lexicon.match(w) for w in spellings(lower)):
+    if not lexicon.meets(lower):
         return []
     spans = [(m.start(), m.end()) for m in WORD.finditer(lower)]
     words = [lower[a:b] for a, b in spans]
