@@ -72,6 +72,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "sheaf-checkpoints")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over: it does once the driver's JVM has noticed that they are garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
@@ -84,4 +89,5 @@ def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    free_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)

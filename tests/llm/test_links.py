@@ -147,7 +147,7 @@ def plain_lines(docs, similarity=0.9):
         (a, b)
         for a in range(len(distinct))
         for b in range(a + 1, len(distinct))
-        if (keys[a] == keys[b]).any() and line_dedup.alike(distinct[a], distinct[b], similarity)
+        if ((keys[a] == keys[b]) & (keys[a] != 0)).any() and line_dedup.alike(distinct[a], distinct[b], similarity)
     ]
     group = roots(range(len(distinct)), links)
     at = {line: i for i, line in enumerate(distinct)}
