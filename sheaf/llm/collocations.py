@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sheaf.llm.shared import staged
+from sheaf.llm.shared import free_shuffles, staged
 
 #: Places of each table by which rare phrases are told; a power of two.  At most places / 64 longs come to the driver and are sent to the workers.
 PLACES = 1 << 27
@@ -190,6 +190,7 @@ def frequent_places(texts: DataFrame, least: int, places: int, tables: list) ->
         F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("bits")
     )
     found = bits.toArrow()
+    free_shuffles(texts.sparkSession)
     return Places(places, found.column("at").to_numpy(), found.column("bits").to_numpy())
 
 
