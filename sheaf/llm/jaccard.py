@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.linking import FIELDS, TaskBuckets, linked, shared_buckets
+from sheaf.llm.linking import TaskBuckets, linked, shared_buckets
 from sheaf.llm.shared import map_texts, staged
 
 #: Words a worker remembers the hashes of.
@@ -236,12 +236,11 @@ def groups(docs: DataFrame, doc_id: str, text: str, words: int, num: int, den: i
         F.col(doc_id).alias("doc"), text_mark(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
     )
 
-    def measure(texts):
-        sets = [shingles(t, words) for t in texts]
-        return {"n": [len(h) for h in sets], "set": [set_id(h) if len(h) else None for h in sets]}
-
-    sets = staged(map_texts(base, ["text"], measure, "n bigint, set bigint", keep=("doc", "mark")))
-    buckets = staged(shared_buckets(index_rows(base, words, num, den)))
+    measured = staged(measure(base, words, num, den))
+    sets = measured.select("doc", "mark", "n", "set")
+    key = F.explode(F.arrays_zip("keys", "leads")).alias("k")
+    rows = measured.select("set", key).select(F.col("k.keys").alias("key"), F.col("k.leads").alias("lead"), F.col("set").alias("id"))
+    buckets = staged(shared_buckets(rows))
     wanted = buckets.select("id").unionByName(buckets.select(F.col("lead").alias("id"))).distinct()
     whole = whole_sets(base, sets, wanted, words)
     label = linked(
@@ -255,24 +254,31 @@ def groups(docs: DataFrame, doc_id: str, text: str, words: int, num: int, den: i
     )
 
 
-def index_rows(base: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Index rows (key, lead, id) of all texts; copies within a task are indexed once."""
+def measure(base: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(doc, mark, n, set, keys, leads) of every text: shingles, name of their set, index keys and their leads.
+
+    Copies within a task have keys once.
+    """
     seen: set[int] = set()
-    rows = TaskBuckets()
+    buckets = TaskBuckets()
 
-    def index(texts):
+    def work(texts):
         index_of = bands(num, den)
+        out = {"n": [], "set": [], "keys": [], "leads": []}
         for value in texts:
             h = shingles(value, words)
-            if not len(h) or (name := set_id(h)) in seen:
-                continue
-            if len(seen) >= REMEMBERED:
-                seen.clear()
-            seen.add(name)
-            rows.add(name, index_of.keys(h))
-        return rows.take()
-
-    return map_texts(base, ["text"], index, FIELDS)
+            name = set_id(h) if len(h) else None
+            keys: list[int] = []
+            if name is not None and name not in seen:
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(name)
+                keys = index_of.keys(h)
+            for column, found in zip(out.values(), (len(h), name, keys, buckets.leads_of(name, keys)), strict=True):
+                column.append(found)
+        return out
+
+    return map_texts(base, ["text"], work, "n bigint, set bigint, keys array<bigint>, leads array<bigint>", keep=("doc", "mark"))
 
 
 def whole_sets(base: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -> DataFrame:

@@ -41,13 +41,16 @@ class TaskBuckets:
         self.leads: list[int | None] = []
         self.ids: list[int] = []
 
-    def add(self, item: int, keys: list[int]) -> None:
+    def leads_of(self, item: int, keys: list[int]) -> list[int | None]:
+        """The lead of an item for each of its keys."""
         first = self.first
         if len(first) + len(keys) > REMEMBERED:
             first.clear()
-        for key in keys:
-            lead = first.setdefault(key, item)
-            self.leads.append(None if lead == item else lead)
+        found = [first.setdefault(key, item) for key in keys]
+        return [None if lead == item else lead for lead in found]
+
+    def add(self, item: int, keys: list[int]) -> None:
+        self.leads += self.leads_of(item, keys)
         self.keys += keys
         self.ids += [item] * len(keys)
 
