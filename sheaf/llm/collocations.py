@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,11 +196,10 @@ def frequent_places(texts: DataFrame, least: int, places: int, tables: list) ->
 
 
 def windows(docs: DataFrame, *, longest: int, least: int, lang: str = "lang", text: str = "text", places: int = PLACES) -> DataFrame:
-    """(lang, w1 ... , n): counts of the padded longest windows, a row per window and chunk of a task."""
+    """(lang, window, n): counts of the longest windows, a row per window and chunk of a task; its words are joined by blanks, without the padding."""
     if places & (places - 1) or places > 1 << 31 or places < 64:
         raise ValueError("places is a power of two from 64 to 2**31")
     texts = _texts(docs, lang, text)
-    names = [f"w{i + 1}" for i in range(longest)]
     send = docs.sparkSession.sparkContext.broadcast
     # Words and pairs share a table; longer phrases have one for each length.
     tables = [send(frequent_places(texts, least, places, []))] * 2
@@ -220,10 +220,11 @@ def windows(docs: DataFrame, *, longest: int, least: int, lang: str = "lang", te
             padded = _behind(padded)
         _, one, n = np.unique(code, return_index=True, return_counts=True)
         spelt = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string(), safe=False)
-        out = [spelt.take(pa.array(column[one])) for column in lead]
-        return [pa.array([lang] * len(one), pa.string()), *out, n.astype(np.int64)]
+        columns = [spelt.take(pa.array(column[one])) for column in lead]
+        window = pc.utf8_rtrim(pc.binary_join_element_wise(*columns, " "), characters=" ")
+        return [pa.array([lang] * len(one), pa.string()), window, n.astype(np.int64)]
 
-    return _mapped(texts, f"lang string, {', '.join(f'{w} string' for w in names)}, n bigint", work)
+    return _mapped(texts, "lang string, window string, n bigint", work)
 
 
 def phrase_counts(docs: DataFrame, *, longest: int = 4, least: int = 30, **columns) -> DataFrame:
@@ -233,8 +234,10 @@ def phrase_counts(docs: DataFrame, *, longest: int = 4, least: int = 30, **colum
     """
     names = [f"w{i + 1}" for i in range(longest)]
     # Tasks send each window some times; the prefixes are taken of the sums.
-    counted = windows(docs, longest=longest, least=least, **columns).groupBy("lang", *names).agg(F.sum("n").alias("n"))
-    rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
+    counted = windows(docs, longest=longest, least=least, **columns).groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    word = F.split("window", " ")
+    padded = [F.coalesce(F.get(word, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)]
+    rolled = counted.select("lang", *padded, "n").rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
     # Of a level all columns behind some are summed over; a prefix that ends in padding is no phrase.
     level = lambda k: (1 << (longest - k)) - 1
     real = F.col("level") == level(0)
