@@ -187,3 +187,49 @@ def test_dimension_sizes():
     }
     for name, size in sizes.items():
         assert len(set(getattr(dims, name))) == size, name
+
+
+def test_text_around_many_references_is_kept(evaluate):
+    given = ["a; &#65;b; &#x0000000041;c &#66 d &#;", "\u0001&#67;", "&#12345678;&#x;"]
+    expected = ["a; Ab; Ac &#66 d &#;", "\u0001C", "&#12345678;&#x;"]
+    assert evaluate(given, xml.decode_char_refs(F.col(X))) == expected
+
+
+def test_pieces_begin_with_opening_tags(evaluate):
+    given = ["<?xml?><a-b/><a x='1'>1</a> <ab>2</ab>\n<a>3", "no", "\u0001<a>1</a><ab\n>2</ab>", ""]
+    expected = [["<a x='1'>1</a> ", "<ab>2</ab>\n", "<a>3"], [], ["<a>1</a>", "<ab\n>2</ab>"], []]
+    assert evaluate(given, xml.pieces(F.col(X), ["a", "ab"])) == expected
+    whole = ["<a x='1'>1</a> ", "<ab>2</a></ab></a>", "<a>3</ab>", "<ac></a>", "x<a></a>"]
+    expected = ["<a x='1'>1</a>", "<ab>2</a></ab>", None, None, None]
+    assert evaluate(whole, xml.whole_element(F.col(X), ["a", "ab"])) == expected
+
+
+def test_siblings_that_are_closed_with_space_or_marked(evaluate):
+    given = [
+        "<g><c><n/><g ><c>x</c ><k/></g></c></g>",
+        "<g><c>1</c><c>2</c></g>",
+        "<g><c><c/><g><c>\u0001</c></g></c></g>",
+        "<g><c><g><c>x</g></c></g>",
+    ]
+    expected = ["<g><c><n/></c><k/><c>x</c></g>", given[1], given[2], given[3]]
+    assert evaluate(given, xml.siblings(F.col(X), "c", "g")) == expected
+
+
+def test_white_space_of_any_kind(evaluate):
+    given = ["a b", " a  b ", "a  b\n", "é é", "", None]
+    assert evaluate(given, text.clean_whitespace(F.col(X))) == ["a b", "a b", "a b", "é é", "", None]
+    given = [" a b ", "a b", "é ", " ", "", None]
+    assert evaluate(given, text.strip(F.col(X))) == ["a b", "a b", "é", "", "", None]
+
+
+def test_files_are_split_once(spark):
+    from sheaf.parsers.common import with_lineage
+    from sheaf.sources.landing import split_articles
+
+    files = with_lineage(spark.range(1).select(F.col("id").cast("string").alias("doc_id"), F.uuid().alias("payload")))
+    split = split_articles(files, ["article", "simple-article"])
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    # A filter that is inferred for the explode would split the text again.
+    assert "Filter" not in plan
+    # Neither does a look-ahead at each character split texts without the mark.
+    assert "regexp_replace" in plan
