@@ -33,39 +33,70 @@ def integer_ranges(
 ) -> DataFrame:
     """Maximal runs ``lo``..``hi`` of the distinct values of each key.
 
-    Runs are found within buckets of ``width`` numbers; those that touch an
-    edge are stitched within buckets of ``width`` squared, and what then
-    touches an edge once more, for the whole key.  A key that holds most rows
-    is thus spread over its buckets at every step but the last, which sees two
-    runs of ``width`` squared numbers at most.
+    The numbers of a bucket, up to 64, are the bits of one number, so equal
+    values and buckets come together in one aggregation that needs no order.
+    Only runs that touch a bucket's edge go on: they are stitched within
+    buckets of ``width`` squared, and what then touches an edge once more, for
+    the whole key.  A key that holds most rows is thus spread over its buckets
+    at every step but the last, which sees two runs of ``width`` squared
+    numbers at most.
     """
-    values = df.select(*keys, F.col(value).cast("long").alias("_v")).distinct()
-    bucketed = values.withColumn("_bucket", F.floor(F.col("_v") / width))
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_v")
-    runs = (
-        bucketed.withColumn("_run", F.col("_v") - F.row_number().over(within))
-        .groupBy(*keys, "_bucket", "_run")
-        .agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-        .select(*keys, "lo", "hi")
+    small = max(d for d in range(1, _BITS + 1) if width % d == 0)
+    values = df.select(*keys, F.col(value).cast("long").alias("_v"))
+    within = F.pmod("_v", F.lit(small)).cast("int")
+    buckets = (
+        values.withColumn("_first", F.col("_v") - within)
+        .groupBy(*keys, "_first")
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), within)).alias("_bits"))
+    )
+    runs = buckets.select(*keys, "_first", F.explode_outer(_runs_of_bits(F.col("_bits"), small)).alias("_run")).select(
+        *keys, (F.col("_first") + F.col("_run.lo")).alias("lo"), (F.col("_first") + F.col("_run.hi")).alias("hi")
     )
     wide = width * width
-    near = _stitch(runs, keys, width, F.floor(F.col("lo") / wide))
-    return _stitch(near, keys, wide, F.lit(0))
+    # Edges of the wider buckets are edges of the smaller ones too, so a run that touches none is whole.
+    near = _stitch(runs.where(_touches(small)), keys, F.floor(F.col("lo") / wide))
+    far = _stitch(near.where(_touches(wide)), keys, F.lit(0))
+    return runs.where(~_touches(small)).unionByName(near.where(~_touches(wide))).unionByName(far)
 
 
-def _stitch(runs: DataFrame, keys: Sequence[str], width: int, within: Column) -> DataFrame:
-    """Join runs that meet at an edge of buckets of ``width``, each part of a key for itself.
+_BITS = 64
 
-    A run that touches no edge is a group of its own and goes along.
-    """
-    at_edge = (F.pmod("lo", F.lit(width)) == 0) | (F.pmod(F.col("hi") + 1, F.lit(width)) == 0)
-    grouped = runs.withColumns({"_part": within, "_own": F.when(~at_edge, F.col("lo"))})
-    along = Window.partitionBy(*keys, "_part", "_own").orderBy("lo")
+
+def _runs_of_bits(bits: Column, width: int) -> Column:
+    """First and last position of each run of set bits."""
+
+    def run(lo: Column, hi: Column) -> Column:
+        return F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+
+    def positions(marked: Column) -> Column:
+        every = F.array(*[F.lit(i) for i in range(width)])
+        return F.filter(every, lambda i: F.call_function("shiftrightunsigned", marked, i).bitwiseAND(F.lit(1)) == 1)
+
+    starts = bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))
+    ends = bits.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(bits, 1)))
+    # Most buckets of scattered values hold a single run, of one value.
+    last = F.length(F.bin(bits)) - 1
+    return (
+        F.when(F.bit_count(bits) == 1, F.array(run(last, last)))
+        .when(bits.isNotNull(), F.zip_with(positions(starts), positions(ends), run))
+    )
+
+
+def _touches(width: int) -> Column:
+    """Whether a run meets an edge of buckets of ``width``."""
+    edge = (F.pmod("lo", F.lit(width)) == 0) | (F.pmod(F.col("hi") + 1, F.lit(width)) == 0)
+    return F.coalesce(edge, F.lit(False))
+
+
+def _stitch(runs: DataFrame, keys: Sequence[str], within: Column) -> DataFrame:
+    """Join runs that follow each other, each part of a key for itself."""
+    along = Window.partitionBy(*keys, "_part").orderBy("lo")
     broken = F.coalesce(F.lag("hi").over(along) + 1 != F.col("lo"), F.lit(True))
     return (
-        grouped.withColumn("_break", broken.cast("long"))
+        runs.withColumn("_part", within)
+        .withColumn("_break", broken.cast("long"))
         .withColumn("_island", F.sum("_break").over(along))
-        .groupBy(*keys, "_part", "_own", "_island")
+        .groupBy(*keys, "_part", "_island")
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .select(*keys, "lo", "hi")
     )

@@ -421,6 +421,25 @@ def test_ranges_over_three_levels(spark):
             assert got == spans
 
 
+def test_only_runs_at_an_edge_are_stitched(spark, monkeypatch):
+    """What is whole within a bucket is not sorted with the others; every bit of a bucket and NULL are kept."""
+    from sheaf.operators import ranges
+
+    seen, stitch = [], ranges._stitch
+
+    def counted(runs, *rest):
+        seen.append(runs.count())
+        return stitch(runs, *rest)
+
+    monkeypatch.setattr(ranges, "_stitch", counted)
+    values = [v for v in range(-640, 6400) if v % 3] + list(range(7000, 7300)) + [7999, 8000, 8063, 8064]
+    df = spark.createDataFrame([("k", v) for v in [*values, *values[::2], None]], "k STRING, v BIGINT")
+    got = sorted((r["lo"], r["hi"]) for r in ranges.integer_ranges(df, ["k"], "v", 64).collect() if r["lo"] is not None)
+    assert got == brute_ranges(values)
+    assert ranges.integer_ranges(df, ["k"], "v", 64).where("lo IS NULL AND hi IS NULL").count() == 1
+    assert seen[0] < len(got) / 8
+
+
 def test_look_up_does_not_shuffle_the_facts(spark):
     from sheaf import dims
     from sheaf.operators.lookups import translate_codes
