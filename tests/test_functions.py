@@ -233,3 +233,17 @@ def test_files_are_split_once(spark):
     assert "Filter" not in plan
     # Neither does a look-ahead at each character split texts without the mark.
     assert "regexp_replace" in plan
+
+
+def test_lists_are_made_once(spark):
+    """What is left of a list is asked of the list as made, and markup is looked at where there is some."""
+    from sheaf.functions.arrays import empty_to_null
+
+    df = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "x ARRAY<STRING>")
+    made = df.select(empty_to_null(F.transform("x", lambda v: F.reverse(v))).alias("r"))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1
+    assert sorted(str(row["r"]) for row in made.collect()) == ["None", "None", "['a', 'b']"]
+    titles = ["A  <sub>1</sub> <i>b</i>", "x & y", "Plain  One", "ALL CERN SUSY THINGS", None, " \u2009 "]
+    got = [r["t"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "i INT, t STRING")
+           .orderBy("i").select(text.clean_title(F.col("t")).alias("t")).collect()]
+    assert got == ["A $_{1}$ b", "X &amp; y", "Plain One", "All CERN SUSY Things", None, ""]
